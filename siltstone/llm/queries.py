@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
-from siltstone.llm import sentences, splits
+from siltstone.llm import mixing, pieces, sentences, splits
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -17,6 +17,33 @@ def p3_splits(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_records(table(tune(spark), d, "qa_pairs", "pair_id", "source"), table(spark, d, "split_shares", "split", "share"))
 
 
+def _limited_docs(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.limited(table(tune(spark), d, "docs", "doc_id", "format", "content"), table(spark, d, "piece_limits"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.cut_kinds(_limited_docs(spark, d))
+
+
+def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.pieces(_limited_docs(spark, d))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    _, report = mixing.mix(table(tune(spark), d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"))
+    return report.where("not reachable").select("source")
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    mixed, _ = mixing.mix(table(tune(spark), d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"))
+    return mixed.where("repeats > 0").select("doc_id", "source", "tokens", "repeats")
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    _, report = mixing.mix(table(tune(spark), d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"))
+    return report
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_units(table(tune(spark), d, "documents", "doc_id", "text", "lang"))
 
