@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
-from siltstone.llm import mixing, pieces, sentences, splits
+from siltstone.llm import leaks, mixing, pieces, sentences, splits
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -29,6 +29,15 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.pieces(_limited_docs(spark, d))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked(table(tune(spark), d, "documents", "doc_id", "text"), table(spark, d, "eval_items"))
+
+
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    """Also passages with one edit."""
+    return leaks.find_leaks(table(tune(spark), d, "documents", "doc_id", "text"), table(spark, d, "eval_items"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     _, report = mixing.mix(table(tune(spark), d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"))
     return report.where("not reachable").select("source")
