@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
-from siltstone.llm import leaks, mixing, pieces, sentences, splits
+from siltstone.llm import leaks, mixing, pairs, pieces, sentences, splits
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -17,6 +17,10 @@ def p3_splits(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_records(table(tune(spark), d, "qa_pairs", "pair_id", "source"), table(spark, d, "split_shares", "split", "share"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.defects(table(tune(spark), d, "qa_pairs", "pair_id", "question", "answer", "instruction"))
+
+
 def _limited_docs(spark: SparkSession, d: str) -> DataFrame:
     return pieces.limited(table(tune(spark), d, "docs", "doc_id", "format", "content"), table(spark, d, "piece_limits"))
 
