@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
-from siltstone.llm import leaks, mixing, pairs, pieces, sentences, splits
+from siltstone.llm import leaks, mixing, pairs, pieces, quality, sentences, splits
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -33,6 +33,20 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.pieces(_limited_docs(spark, d))
 
 
+def _quality(spark: SparkSession, d: str, stats: bool) -> DataFrame:
+    chunks = table(tune(spark), d, "chunks", "doc_id", "chunk_ix", "content").select(F.lit("chunks").alias("origin"), F.col("doc_id").alias("row_id"), F.col("chunk_ix").alias("ix"), F.col("content").alias("text"))
+    contexts = table(spark, d, "qa_pairs", "pair_id", "context").select(F.lit("qa_pairs").alias("origin"), F.col("pair_id").alias("row_id"), F.lit(0).alias("ix"), F.col("context").alias("text"))
+    return quality.verdicts(chunks.union(contexts), ["origin", "row_id", "ix"], stats=stats, emissions=quality.trained(chunks))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _quality(spark, d, False).where("kind <> 'prose'").select("origin", "row_id", "ix", "kind").distinct()
+
+
+def p7_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return _quality(spark, d, True).dropDuplicates(["origin", "row_id", "ix"])
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked(table(tune(spark), d, "documents", "doc_id", "text"), table(spark, d, "eval_items"))
 
