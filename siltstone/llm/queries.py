@@ -6,7 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
-from siltstone.llm import leaks, mixing, pairs, pieces, quality, sentences, splits
+from siltstone.llm import leaks, markup, mixing, pairs, pieces, quality, sentences, splits
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.kinds_of(table(tune(spark), d, "docs", "doc_id", "content"))
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(tune(spark), d, "docs", "doc_id", "source", "content", "loaded_at")
+    once = docs.groupBy("doc_id").agg(F.max_by(F.struct("source", "content"), "loaded_at").alias("d")).select("doc_id", "d.source", "d.content")
+    return markup.clean_documents(once)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
