@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
-from siltstone.llm import leaks, markup, mixing, pairs, pieces, quality, sentences, splits
+from siltstone.llm import leaks, markup, mixing, pairs, pieces, quality, scans, sentences, splits
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,6 +43,14 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.pieces(_limited_docs(spark, d))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return scans.Noise(table(tune(spark), d, "scanned_pages")).found()
+
+
+def p6_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return scans.Noise(table(tune(spark), d, "scanned_pages")).paragraphs()
+
+
 def _quality(spark: SparkSession, d: str, stats: bool) -> DataFrame:
     chunks = table(tune(spark), d, "chunks", "doc_id", "chunk_ix", "content").select(F.lit("chunks").alias("origin"), F.col("doc_id").alias("row_id"), F.col("chunk_ix").alias("ix"), F.col("content").alias("text"))
     contexts = table(spark, d, "qa_pairs", "pair_id", "context").select(F.lit("qa_pairs").alias("origin"), F.col("pair_id").alias("row_id"), F.lit(0).alias("ix"), F.col("context").alias("text"))
