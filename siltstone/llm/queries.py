@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
-from siltstone.llm import leaks, markup, mixing, pairs, pieces, quality, scans, sentences, splits
+from siltstone.llm import leaks, markup, mixing, neardup, pairs, pieces, quality, scans, sentences, splits
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_pairs(table(tune(spark), d, "qa_pairs", "pair_id", "question", "answer"))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_groups(table(tune(spark), d, "qa_pairs", "pair_id", "question", "answer"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
