@@ -49,7 +49,7 @@ def cosine_of(a: Counter, b: Counter) -> float:
     return dot / math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values())) if dot else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def bow_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
     """Cosine of the word counts of two texts; null counts as empty."""
     seen: dict[str, Counter] = {}
@@ -291,7 +291,7 @@ def rouge_l(candidate: list[str], reference: list[str]) -> float:
     return f_measure((full & ~row).bit_count(), len(candidate), len(reference))
 
 
-METRICS = "bleu double, meteor double, rouge1 double, rouge2 double, rougeL double"
+METRICS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("bleu", "meteor", "rouge1", "rouge2", "rougeL")])
 
 
 @F.pandas_udf(METRICS)
