@@ -24,6 +24,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -158,14 +159,144 @@ def keyed(sets: DataFrame, level: bytes) -> DataFrame:
     return map_rows(sets.where(F.length("words") > 0).select("sig", "words"), make, "key bigint, sig bigint, n int, p0 bigint, p1 bigint")
 
 
+def near_rows(i: np.ndarray, j: np.ndarray, size: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Which of the row pairs (i, j) may be similar enough, by sizes and by the largest difference of pivot distances."""
+    a, b = size[i], size[j]
+    most = (a + b) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9
+    ok = np.flatnonzero(np.minimum(a, b) >= SIMILARITY * np.maximum(a, b) - 1e-9)
+    for lo, hi in ((0, 4), (4, PIVOTS)):
+        ok = ok[np.abs(pivots[i[ok], lo:hi] - pivots[j[ok], lo:hi]).max(1) <= most[ok]]
+    return ok
+
+
+def pairs_within(key: np.ndarray, sig: np.ndarray, size: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates among rows sorted by key: rows one, two, … places apart while their keys are equal."""
+    out_a, out_b = [], []
+    i = np.flatnonzero(key[:-1] == key[1:]) if len(key) > 1 else np.zeros(0, np.int64)
+    d = 1
+    while len(i):
+        for k in range(0, len(i), 200_000):
+            x = i[k : k + 200_000]
+            ok = near_rows(x, x + d, size, pivots)
+            out_a.append(sig[x[ok]])
+            out_b.append(sig[x[ok] + d])
+        d += 1
+        i = i[i + d < len(key)]
+        i = i[key[i] == key[i + d]]
+    if not out_a:
+        return sig[:0], sig[:0]
+    a, b = np.concatenate(out_a), np.concatenate(out_b)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+#: Rows of one key that are compared within a task; larger keys are compared block by block, in as many tasks.
+BLOCK = 4096
+
+
+def _pivots(p0: np.ndarray, p1: np.ndarray) -> np.ndarray:
+    return np.hstack([np.ascontiguousarray(p).view(np.uint8).reshape(-1, 8) for p in (p0, p1)]).astype(np.int16)
+
+
+def compare_sorted(batches):
+    """Over rows sorted by key: candidates (``a``, ``b``), and the rows of keys larger than ``BLOCK`` with block numbers."""
+    held, rows, hot_key, hot_rows = [], 0, None, 0
+
+    def batch_of(**columns):
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _OUT], schema=_OUT)
+
+    def process(last: bool):
+        """Compare all complete keys of what is held; keep the rows of the last key unless it is the last batch."""
+        nonlocal held, rows, hot_key, hot_rows
+        key, sig, n, p0, p1 = (np.concatenate(c) for c in zip(*held))
+        start = 0
+        if hot_key is not None:  # more rows of a key that is already too large
+            stop = int(np.searchsorted(key, hot_key, "right")) if key[0] == hot_key else 0
+            if stop:
+                yield batch_of(key=key[:stop], sig=sig[:stop], n=n[:stop], p0=p0[:stop], p1=p1[:stop], block=(hot_rows + np.arange(stop)) // BLOCK)
+                hot_rows += stop
+            start = stop
+            if stop < len(key):
+                hot_key = None
+        end = len(key) if last else max(start, int(np.searchsorted(key, key[-1], "left")))
+        if end > start:
+            cuts = np.flatnonzero(np.diff(key[start:end])) + 1 + start
+            edges = np.concatenate([[start], cuts, [end]])
+            size = np.diff(edges)
+            big = np.flatnonzero(size > BLOCK)
+            keep = np.ones(end - start, bool)
+            for k in big:
+                x = slice(edges[k], edges[k + 1])
+                keep[x.start - start : x.stop - start] = False
+                yield batch_of(key=key[x], sig=sig[x], n=n[x], p0=p0[x], p1=p1[x], block=np.arange(size[k]) // BLOCK)
+            at = np.flatnonzero(keep) + start
+            a, b = pairs_within(key[at], sig[at], n[at].astype(np.float64), _pivots(p0[at], p1[at]))
+            for k in range(0, len(a), 50_000):
+                yield batch_of(a=a[k : k + 50_000], b=b[k : k + 50_000])
+        tail = len(key) - end
+        if tail > BLOCK and not last and hot_key is None:
+            hot_key, hot_rows = key[-1], tail
+            yield batch_of(key=key[end:], sig=sig[end:], n=n[end:], p0=p0[end:], p1=p1[end:], block=np.arange(tail) // BLOCK)
+            tail = 0
+        held = [(key[len(key) - tail :], sig[len(key) - tail :], n[len(key) - tail :], p0[len(key) - tail :], p1[len(key) - tail :])] if tail else []
+        rows = tail
+
+    for batch in batches:
+        held.append(tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns))
+        rows += batch.num_rows
+        if rows > 65_536:
+            yield from process(False)
+    if rows:
+        yield from process(True)
+
+
+_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("p0", pa.int64()), ("p1", pa.int64()), ("block", pa.int32())])
+
+
+def compare_blocks(batches):
+    """Over rows sorted by (key, x, y) with ``block`` x or y: candidates between the two blocks, or within one."""
+    held: list = []
+    now = None
+
+    def flush():
+        block, sig, n, p0, p1 = (np.concatenate(c) for c in zip(*held))
+        piv, size = _pivots(p0, p1), n.astype(np.float64)
+        left, right = np.flatnonzero(block == now[1]), np.flatnonzero(block == now[2])
+        for i in left:
+            j = right[right > i] if now[1] == now[2] else right
+            ok = near_rows(np.full(len(j), i), j, size, piv)
+            if len(ok):
+                a, b = np.full(len(ok), sig[i]), sig[j[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    for batch in batches:
+        key, x, y, *rest = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        change = np.flatnonzero((np.diff(key) != 0) | (np.diff(x) != 0) | (np.diff(y) != 0)) + 1
+        for lo, hi in zip([0, *change], [*change, len(key)]):
+            this = (key[lo], x[lo], y[lo])
+            if this != now:
+                if held:
+                    yield from flush()
+                held, now = [], this
+            held.append(tuple(c[lo:hi] for c in rest))
+    if held:
+        yield from flush()
+
+
 def candidates(sets: DataFrame, level: bytes) -> DataFrame:
-    """``a, b``: different sets under one key whose sizes and pivot distances allow the similarity."""
-    k = keyed(sets, level).repartition("key")
-    x = k.select("key", F.col("sig").alias("a"), F.col("n").alias("na"), F.col("p0").alias("a0"), F.col("p1").alias("a1"))
-    y = k.select("key", F.col("sig").alias("b"), F.col("n").alias("nb"), F.col("p0").alias("b0"), F.col("p1").alias("b1"))
-    most = "(na + nb) * {:.10f}".format((1 - SIMILARITY) / (1 + SIMILARITY) + 1e-9)
-    near = " and ".join(f"abs((shiftright(a{w}, {8 * i}) & 255) - (shiftright(b{w}, {8 * i}) & 255)) <= {most}" for w in (0, 1) for i in range(8))
-    return x.join(y, "key").where(f"a < b and least(na, nb) >= greatest(na, nb) * {SIMILARITY - 1e-9} and {near}").select("a", "b").distinct()
+    """``a, b`` (``a`` < ``b``): different sets under one key whose sizes and pivot distances allow the similarity."""
+    sorted_ = keyed(sets, level).repartition("key").sortWithinPartitions("key")
+    found = cut(sorted_.mapInArrow(compare_sorted, "a bigint, b bigint, key bigint, sig bigint, n int, p0 bigint, p1 bigint, block int"), "compared")
+    pairs = found.where("a is not null").select("a", "b")
+    hot = found.where("key is not null").select("key", "sig", "n", "p0", "p1", "block")
+    if not hot.isEmpty():
+        most = hot.groupBy("key").agg(F.max("block").alias("most"))
+        # Every row goes to the pairs of blocks that its own is part of.
+        spread = hot.join(most, "key").withColumn("other", F.explode(F.sequence(F.lit(0), "most")))
+        spread = spread.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "n", "p0", "p1")
+        blocks = spread.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(compare_blocks, "a bigint, b bigint")
+        pairs = pairs.union(blocks)
+    return pairs.where("a < b").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
