@@ -102,3 +102,4 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {k: f for k, f in dict(globals()).items() if k[0] == "p" and k[1].isdigit()}
+SQL: dict[str, str] = {}
