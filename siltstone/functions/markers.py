@@ -118,10 +118,10 @@ def merge_images(text: Column, images: Column, relationships: Column) -> Column:
     paragraphs = F.split(F.coalesce(text, F.lit("")), "\n\n")
 
     def placed(p: Column, i: Column) -> Column:
-        here = F.filter(relationships, lambda r: r["source"].isin("-") | (F.regexp_extract(r["source"], r"^(?:paragraph|page)_(\d+)$", 1) == i.cast("string")))
+        here = F.filter(relationships, lambda r: F.regexp_extract(r["source"], r"^(?:paragraph|page)_(\d+)$", 1) == i.cast("string"))
 
         def lines(r: Column) -> Column:
-            section = F.element_at(F.transform(F.filter(images, lambda m: m["target"] == r["target"]), lambda m: m["section"]), 1)
+            section = F.get(F.transform(F.filter(images, lambda m: m["target"] == r["target"]), lambda m: m["section"]), F.lit(0))
             note = F.when(r["context"].isNotNull() & section.contains(OBJECTS), "\n[This visual content provides additional context for the surrounding text]")
             return F.when(section.isNotNull(), F.concat_ws("\n\n", F.when(r["context"].isNotNull(), F.concat(F.lit(f"\n[{VISUAL}: "), r["context"], F.lit("]"))), section, note))
 

@@ -34,10 +34,10 @@ class Template:
     def reply(self, prompt: str) -> str:
         kind, _, body = prompt.rpartition("Text:")
         body = body.strip()
-        if "RATE" in kind:
+        if kind.startswith("RATE"):
             words = re.findall(r"\w+", body)
             return f"{min(1.0, 0.4 + len(set(words)) / 100):.2f}"
-        if "JUDGE" in kind:
+        if kind.startswith("JUDGE"):
             return json.dumps({"valid": True, "scores": {"answer_validity": 0.9, "question_quality": 0.8, "instruction_quality": 0.8}, "issues": [], "improvements": []})
         sentences = [s for s in re.split(r"(?<=[.!?])\s+", body) if len(s.split()) >= 5][: self.triplets]
         parts = [f"{TRIPLET_START}\nQUESTION: Which facts does the given passage state in its sentence number {i + 1}?\nANSWER: {' '.join(s.split())}\nINSTRUCTION: Find sentence {i + 1} and repeat what it says.\n{TRIPLET_END}" for i, s in enumerate(sentences)]

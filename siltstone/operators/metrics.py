@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.functions.arrow import overlap_metrics
-from siltstone.functions.text import jaccard, ngrams, words
+from siltstone.functions.arrow import ngram_overlap, overlap_metrics
+from siltstone.functions.text import words
 
 WH = ("what", "who", "where", "when", "why", "how", "which", "whose", "whom")
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
@@ -28,11 +28,6 @@ def question_quality(question: Column) -> Column:
     return F.when(n < 5, 0.7).when(n > 25, 0.8).otherwise(1.0) * F.when(wh, 1.0).otherwise(0.9) * F.when(mark, 1.0).otherwise(0.8)
 
 
-def ngram_overlap(a: Column, b: Column) -> Column:
-    """0.4 of the Jaccard similarity of word pairs and 0.6 of that of word triples."""
-    return 0.4 * jaccard(F.array_distinct(ngrams(a, 2)), F.array_distinct(ngrams(b, 2))) + 0.6 * jaccard(F.array_distinct(ngrams(a, 3)), F.array_distinct(ngrams(b, 3)))
-
-
 def pair_metrics(pairs: DataFrame) -> DataFrame:
     """Pairs with all metrics; overall is the mean of BLEU, METEOR, ROUGE-L, relevance and question quality."""
     m = pairs.withColumn("m", overlap_metrics("answer", "context")).select("*", "m.*").drop("m")
@@ -45,11 +40,11 @@ def diversity(texts: DataFrame, group: str, order: str, text: str) -> DataFrame:
 
     Groups of one text are only lexical. Pairs are formed within a group by a join on it.
     """
-    t = texts.select(group, order, words(F.col(text)).alias("w"))
-    lexical = t.select(group, F.explode("w").alias("w")).groupBy(group).agg((F.count_distinct("w") / F.count("w")).alias("lexical"))
+    t = texts.select(group, order, F.col(text).alias("t"))
+    lexical = t.select(group, F.explode(words(F.col("t"))).alias("w")).groupBy(group).agg((F.count_distinct("w") / F.count("w")).alias("lexical"))
     size = t.groupBy(group).agg(F.count("*").alias("n"))
-    b = t.select(group, F.col(order).alias("o2"), F.col("w").alias("w2"))
-    overlap = t.join(b, group).where(F.col(order) < F.col("o2")).groupBy(group).agg(F.avg(ngram_overlap(F.col("w"), F.col("w2"))).alias("overlap"))
+    b = t.select(group, F.col(order).alias("o2"), F.col("t").alias("t2"))
+    overlap = t.join(b, group).where(F.col(order) < F.col("o2")).groupBy(group).agg(F.avg(ngram_overlap("t", "t2")).alias("overlap"))
     x = size.join(lexical, group, "left").join(overlap, group, "left")
     value = F.when(F.col("n") < 2, F.coalesce("lexical", F.lit(0.0))).otherwise(0.5 * F.coalesce("lexical", F.lit(0.0)) + 0.5 * (1 - F.coalesce("overlap", F.lit(0.0))))
     return x.select(group, value.alias("diversity"))

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.config import Config
-from siltstone.functions.arrow import bow_cosine, chunked
+from siltstone.functions.arrow import chunked
 from siltstone.functions.parse import density, parse_qa_lines, parse_triplets, parse_verdicts
 from siltstone.functions.text import clean_text
 from siltstone.io import cut
 from siltstone.models.clients import Template, generate
 from siltstone.models.prompts import Prompts, format_examples
-from siltstone.operators.filters import content_ok, dense_enough, lengths_fit, pair_valid, route
+from siltstone.operators.filters import content_ok, dense_enough, lengths_fit, pair_valid, route, supported
 from siltstone.operators.similarity import chunk_scores, merge_chunks, near_dup_flags
 
 
@@ -64,8 +64,10 @@ def run(docs: DataFrame, model: Callable | None = None, config: Config = Config(
     routed = cut(route(judged(unique, model, prompts), config.quality.judge_threshold), "routed")
     q = config.quality
     ok = routed.where("reason is null").join(docs.select("doc_id", "source", F.col("content").alias("document")), "doc_id")
-    final = ok.where(lengths_fit(F.col("question"), F.col("answer"), q)).where(content_ok(F.col("question"), F.col("answer"), q.content_filters)).where(bow_cosine("answer", "context") >= 0)
-    accepted = final.select("doc_id", "seq", "question", "answer", "instruction", "context", "validation_scores", "source")
+    fit = ok.where(lengths_fit(F.col("question"), F.col("answer"), q)).where(content_ok(F.col("question"), F.col("answer"), q.content_filters))
+    # Support and relevance are measured against the whole document.
+    final = supported(fit.withColumnRenamed("context", "passage").withColumnRenamed("document", "context"), q).where("ok")
+    accepted = final.select("doc_id", "seq", "question", "answer", "instruction", F.col("passage").alias("context"), "validation_scores", "source")
     return accepted, routed.where("reason is not null").select("doc_id", "seq", "question", "answer", "instruction", "reason", "validation_scores")
 
 
