@@ -38,7 +38,7 @@ def visual_answers(docs: DataFrame, key: str = "doc_id", text: str = "content",
     t = F.col(text)
     out = kind(1, "ocr_text", 0.8, F.filter(bodies(t, OCR), lambda b: F.length(b) >= min_length))
     out = out.union(kind(2, "caption", 0.9, bodies(t, CAPTION)))
-    out = out.union(kind(3, "objects", 0.85, F.filter(F.transform(bodies(t, OBJECTS), confident_objects), lambda b: b != "")))
+    out = out.union(kind(3, "objects", 0.85, F.filter(F.transform(bodies(t, OBJECTS), lambda b: confident_objects(b)), lambda b: b != "")))
     out = out.union(kind(4, "scene", 0.9, bodies(t, SCENE)))
     pairs = F.filter(F.flatten(F.transform(bodies(t, ANALYSIS), lambda b: F.split(b, r"\|"))), lambda p: p.contains("->"))
     x = docs.select(key, F.posexplode(pairs).alias("n", "p"))
