@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.io import table, tune
 from siltstone.llm import leaks, markup, mixing, neardup, pairs, pieces, quality, scans, sentences, splits
+from siltstone.llm.sql import SQL  # noqa: F401
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -102,4 +103,3 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {k: f for k, f in dict(globals()).items() if k[0] == "p" and k[1].isdigit()}
-SQL: dict[str, str] = {}
