@@ -77,7 +77,27 @@ class Http:
         return ""
 
 
-CLIENTS: dict[str, Callable] = {"template": Template, "replay": Replay, "http": Http}
+@dataclass
+class Fallback:
+    """Asks the next client where one fails or replies with nothing."""
+
+    clients: tuple = ()
+
+    def __call__(self, prompts: list[str]) -> list[str]:
+        replies = [""] * len(prompts)
+        for c in self.clients:
+            open_ = [i for i, r in enumerate(replies) if not r]
+            if not open_:
+                break
+            try:
+                for i, r in zip(open_, c([prompts[i] for i in open_])):
+                    replies[i] = r
+            except Exception:  # noqa: BLE001 - the next client is asked
+                continue
+        return replies
+
+
+CLIENTS: dict[str, Callable] = {"template": Template, "replay": Replay, "http": Http, "fallback": Fallback}
 
 
 def client(name: str, **options):

@@ -48,3 +48,24 @@ def diversity(texts: DataFrame, group: str, order: str, text: str) -> DataFrame:
     x = size.join(lexical, group, "left").join(overlap, group, "left")
     value = F.when(F.col("n") < 2, F.coalesce("lexical", F.lit(0.0))).otherwise(0.5 * F.coalesce("lexical", F.lit(0.0)) + 0.5 * (1 - F.coalesce("overlap", F.lit(0.0))))
     return x.select(group, value.alias("diversity"))
+
+
+#: Metrics by name, for configurations that list them.
+REGISTRY = {"relevance": lambda q, a, c: relevance(a, c), "question_quality": lambda q, a, c: question_quality(q), "ngram_overlap": lambda q, a, c: ngram_overlap(a, c), **{n: (lambda q, a, c, n=n: overlap_metrics(a, c)[n]) for n in ("bleu", "meteor", "rouge1", "rouge2", "rougeL")}}
+
+
+def named_metrics(pairs: DataFrame, names: list[str]) -> DataFrame:
+    """Pairs with the metrics of ``names`` that are known; others are left out."""
+    return pairs.select("*", *[REGISTRY[n](F.col("question"), F.col("answer"), F.col("context")).alias(n) for n in names if n in REGISTRY])
+
+
+def validate_against_source(pairs: DataFrame, docs: DataFrame, support: float = 0.8) -> DataFrame:
+    """Pairs (with ``source``) that their document supports, with where the answer was found in it."""
+    from siltstone.functions.arrow import bow_cosine
+    from siltstone.functions.markers import all_text
+    from siltstone.operators.answers import located
+    from siltstone.operators.filters import with_documents
+
+    x = with_documents(pairs, docs).where("document is not null")
+    ok = x.where(bow_cosine(F.col("answer"), all_text(F.col("document"))) >= support)
+    return located(ok, "answer", "document")

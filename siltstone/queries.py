@@ -566,6 +566,86 @@ def located_answers(spark, d):
     return answers.located(x).select("doc_id", "main_text", "ocr_text", "image_caption")
 
 
+# --- layout, images, prompts ------------------------------------------------------------------------------------
+
+# Spans made of the first 40 lines of each document: words as spans, their places by position, sizes by line.
+_SPANS = f"""l as (select doc_id, unnest(string_split(content, chr(10))) as line_text, generate_subscripts(string_split(content, chr(10)), 1) as line from d where content is not null),
+sp as (select doc_id, line, unnest(regexp_split_to_array(line_text, ' ')) as text, generate_subscripts(regexp_split_to_array(line_text, ' '), 1) as w, case when line = 1 then 15.0 else 11.0 end as size from l where line_text <> '')"""
+
+
+def _spans(spark, d):
+    x = docs(spark, d, "content").where("content is not null").select("doc_id", F.posexplode(F.split("content", "\n")).alias("p", "t")).where("t <> ''")
+    w = x.select("doc_id", (F.col("p") + 1).alias("line"), F.posexplode(F.split("t", " ")).alias("w", "text"))
+    return w.select("doc_id", "line", ((F.col("w") % 4) * 20.04).alias("x"), "text", F.when(F.col("line") == 1, 15.0).otherwise(11.0).alias("size"), F.lit(0).alias("flags"), F.col("w"))
+
+
+@query(f"""with {DOCS}, {_SPANS} select doc_id, count(distinct (w - 1) % 4) > 2 as "table" from sp group by doc_id""")
+def table_blocks(spark, d):
+    from siltstone.functions import layout
+
+    return layout.block_kinds(_spans(spark, d), ["doc_id"])
+
+
+@query(f"""with {DOCS}, {_SPANS}, x as (select doc_id, line, size, string_agg(text, '' order by (w - 1) % 4, text) as t from sp group by doc_id, line, size)
+select doc_id, line, case when size > 14 then '## ' || trim(t) || ' ##' when regexp_matches(ltrim(t), '^(?:[•●○▪◦\\-]|\\d+\\.)') then '• ' || trim(t) else t end as text from x""")
+def laid_out_lines(spark, d):
+    from siltstone.functions import layout
+
+    return layout.line_texts(_spans(spark, d), ["doc_id"]).select("doc_id", F.col("line").cast("bigint").alias("line"), "text")
+
+
+@query(f"""with {DOCS}, {_SPANS}, c as (select doc_id, line, (w - 1) % 4 as k, string_agg(text, '' order by text) as cell from sp group by all), n as (select doc_id, list_sort(list(distinct (w - 1) % 4)) as ks from sp group by doc_id),
+r as (select doc_id, line, map_from_entries(list((k, cell))) as m from c group by doc_id, line), f as (select doc_id, line, list_transform(ks, lambda k: coalesce(m[k], '')) as cells from r join n using (doc_id))
+select doc_id, cast(line as bigint) as row, '| ' || array_to_string(cells, ' | ') || ' |' as text from f where len(list_filter(cells, lambda x: trim(x) <> '')) > 0
+union all select doc_id, -2, '|' || array_to_string(list_transform(ks, lambda k: '   '), '|') || '|' from n union all select doc_id, -1, '|' || array_to_string(list_transform(ks, lambda k: '---'), '|') || '|' from n""")
+def table_markdown(spark, d):
+    from siltstone.functions import layout
+
+    return layout.table_lines(_spans(spark, d), ["doc_id"]).select("doc_id", F.col("row").cast("bigint").alias("row"), "text")
+
+
+@query("""select vec_id, label * 40 >= 100 and vec_id % 300 >= 100 and embedding[1] >= 0.01 and label >= 5 and abs(embedding[2]) >= 0.01 as ok from embeddings""")
+def image_filter(spark, d):
+    e = table(tune(spark), d, "embeddings", "vec_id", "label", "embedding")
+    return e.select("vec_id", filters.image_ok(F.col("label") * 40, F.col("vec_id") % 300, F.col("embedding")[0], F.col("label"), F.abs(F.col("embedding")[1])).alias("ok"))
+
+
+@query(f"""with {CHUNKS}, x as (select doc_id, chunk_ix, substr(content, 1, 20) as o, case when chunk_ix % 2 = 0 then '' else 'chunk ' || chunk_ix end as cap, floor(coalesce(case when isnan(score) then 0 else score end, 0) * 100) / 100 as s from c)
+select doc_id, chunk_ix, concat_ws(chr(10), case when o <> '' then '[OCR Text: ' || o || ']' end, case when cap <> '' then '[Image Caption: ' || cap || ']' end, '[Detected Objects: box (' || printf('%.2f', s) || '), lid (0.50)]', '[Visual Analysis: which? -> ' || chunk_ix || ']') as text from x""")
+def combined_annotations(spark, d):
+    x = chunks(spark, d)
+    s = F.floor(F.coalesce(F.when(F.isnan("score"), 0.0).otherwise(F.col("score")), F.lit(0.0)) * 100) / 100
+    objects = F.array(F.struct(F.lit("box").alias("label"), s.alias("confidence")), F.struct(F.lit("lid").alias("label"), F.lit(0.5).alias("confidence")))
+    qa_ = F.array(F.struct(F.lit("which?").alias("question"), F.col("chunk_ix").cast("string").alias("answer")))
+    a = F.struct(F.substring("content", 1, 20).alias("ocr_text"), F.when(F.col("chunk_ix") % 2 == 0, "").otherwise(F.concat(F.lit("chunk "), F.col("chunk_ix").cast("string"))).alias("caption"), F.struct(objects.alias("objects"), F.lit("").alias("scene_description"), qa_.alias("visual_qa")).alias("context"))
+    return x.select("doc_id", "chunk_ix", markers.combine_annotations(F.array(a)).alias("text"))
+
+
+@query(f"""with {QA}, x as (select pair_id, trim(lower(coalesce(question, ''))) as q, coalesce(case when isnan(validation_scores['question_quality']) then 0 else validation_scores['question_quality'] end, 0) as s from qa),
+k as (select *, case when regexp_matches(q, '^(?:who|whose|whom|wer|qui|quién)(?:[^\\p{{L}}]|$)') then 'HUMAN' when regexp_matches(q, '^(?:where|wo|où|dónde)(?:[^\\p{{L}}]|$)') then 'LOCATION' when regexp_matches(q, '^(?:when|how many|how much|wann|wie oft|combien|quand|cuándo|cuántas)(?:[^\\p{{L}}]|$)') then 'NUMERIC' when regexp_matches(q, '^(?:why|how|describe|explain|warum|beschreibe|pourquoi|cómo)(?:[^\\p{{L}}]|$)') then 'DESCRIPTION' else 'ENTITY' end as class from x)
+select pair_id, class, round(s * case class when 'DESCRIPTION' then 1.2 when 'ENTITY' then 1.1 when 'NUMERIC' then 0.9 else 1.0 end::double, 6) as rank, round(least(1.0, (s * 1.1::double + 0.5) / 2), 6) as confidence from k""")
+def question_ranks(spark, d):
+    x = qa(spark, d, "question", "validation_scores")
+    v = F.try_element_at("validation_scores", F.lit("question_quality"))
+    s = F.coalesce(F.when(F.isnan(v), 0.0).otherwise(v), F.lit(0.0))
+    cls = questions.question_class(F.coalesce("question", F.lit("")))
+    return x.select("pair_id", cls.alias("class"), F.round(questions.question_rank(s, cls, F.lit("text")), 6).alias("rank"), F.round(questions.confidence(s, F.lit(True), F.lit(0.5)), 6).alias("confidence"))
+
+
+@query(f"""with {QA} select pair_id, 'Say the same in other words, on lines that begin with Q: and A:.' || chr(10) || 'Q: ' || coalesce(question, '') || chr(10) || 'A: ' || coalesce(answer, '') || chr(10) || 'Text: ' || coalesce(context, '') as prompt from qa""")
+def variation_prompts(spark, d):
+    from siltstone.models.prompts import Prompts
+
+    x = qa(spark, d, "question", "answer", "context")
+    return x.select("pair_id", Prompts().column("variation", question=F.col("question"), answer=F.col("answer"), text=F.col("context")).alias("prompt"))
+
+
+@query()
+def source_validation(spark, d):
+    x = metrics.validate_against_source(qa(spark, d, "answer", "source"), docs(spark, d, "source", "content", "loaded_at"), 0.3)
+    return x.select("pair_id", "main_text", "ocr_text", "image_caption")
+
+
 # --- pipeline ---------------------------------------------------------------------------------------------------
 
 #: Thresholds of the pipeline for word-count cosines, which are lower than those of sentence encoders.
