@@ -341,32 +341,64 @@ def ngram_overlap(a: pd.Series, b: pd.Series) -> pd.Series:
 # --- greedy folds over one group ---------------------------------------------------------------------------------
 
 
-def greedy_kept(similar: Callable[[int, int], bool], n: int, reference: bool = False) -> list[bool]:
-    """Which of ``n`` items stay: none may be similar to a kept one.
+def greedy_kept(near: Callable[[int], np.ndarray], n: int, reference: bool = False) -> list[bool]:
+    """Which of ``n`` items stay: none may be near a kept one. ``near(i)`` tells for all items whether they are near i.
 
     ``reference``: compare item i with the first min(i, number kept) items instead, kept or not.
     """
-    kept: list[int] = []
+    kept = np.zeros(n, bool)
     out = []
     for i in range(n):
-        against = range(min(i, len(kept))) if reference else kept
-        ok = not any(similar(i, j) for j in against)
+        row = near(i)
+        ok = not (row[: min(i, int(kept.sum()))].any() if reference else (row & kept).any())
         out.append(ok)
-        if ok:
-            kept.append(i)
+        kept[i] = ok
     return out
 
 
-def star_heads(similar: Callable[[int, int], bool], n: int) -> list[int]:
-    """For each item the head that absorbs it: heads take all later free items that are similar to them."""
-    head = [-1] * n
+def star_heads(near: Callable[[int], np.ndarray], n: int) -> list[int]:
+    """For each item the head that absorbs it: heads take all later free items that are near them."""
+    head = np.full(n, -1)
     for i in range(n):
         if head[i] < 0:
             head[i] = i
-            for j in range(i + 1, n):
-                if head[j] < 0 and similar(i, j):
-                    head[j] = i
-    return head
+            free = (head < 0) & near(i)
+            free[:i] = False
+            head[free] = i
+    return head.tolist()
+
+
+class TextCosines:
+    """Cosines of one text's word counts to those of all others, by an inverted index."""
+
+    def __init__(self, texts: list):
+        bags = [bow(t) for t in texts]
+        places: dict[str, list[tuple[int, int]]] = {}
+        for i, b in enumerate(bags):
+            for w, n in b.items():
+                places.setdefault(w, []).append((i, n))
+        self.bags, self.n = bags, len(texts)
+        self.places = {w: (np.array([i for i, _ in p]), np.array([float(n) for _, n in p])) for w, p in places.items()}
+        self.norms = np.array([float(sum(n * n for n in b.values())) for b in bags])
+
+    def row(self, i: int) -> np.ndarray:
+        dot = np.zeros(self.n)
+        for w, n in self.bags[i].items():
+            at, counts = self.places[w]
+            dot[at] += n * counts
+        scale = np.sqrt(self.norms[i] * self.norms)
+        return np.divide(dot, scale, out=np.zeros(self.n), where=scale > 0)
+
+
+class VectorCosines:
+    """The same for dense vectors."""
+
+    def __init__(self, vectors: list):
+        self.n = len(vectors)
+        self.gram = gram(vectors) if vectors else np.zeros((0, 0))
+
+    def row(self, i: int) -> np.ndarray:
+        return self.gram[i]
 
 
 def gram(rows: list) -> np.ndarray:

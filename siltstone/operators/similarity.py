@@ -7,20 +7,15 @@ vectors by their cosine; null texts count as empty, and empty texts are similar
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import arrow
 
 
-def _pairwise(items: list, dense: bool) -> Callable[[int, int], float]:
-    if dense:
-        g = arrow.gram(items) if items else None
-        return lambda i, j: float(g[i, j])
-    bags = [arrow.bow(t) for t in items]
-    return lambda i, j: arrow.cosine_of(bags[i], bags[j])
+def _cosines(items: list, dense: bool):
+    return arrow.VectorCosines(items) if dense else arrow.TextCosines(items)
 
 
 def _grouped(df: DataFrame, group: str, order: str, value: str) -> DataFrame:
@@ -41,8 +36,8 @@ def near_dup_flags(df: DataFrame, group: str, order: str, value: str, threshold:
         def f(groups, orders, values):
             out = [[], [], []]
             for g, o, v in zip(groups, orders, values):
-                cos = _pairwise(v, dense)
-                for x, k in zip(o, arrow.greedy_kept(lambda i, j: cos(i, j) > threshold, len(o), mode == "reference")):
+                cos = _cosines(v, dense)
+                for x, k in zip(o, arrow.greedy_kept(lambda i: cos.row(i) > threshold, len(o), mode == "reference")):
                     for column, item in zip(out, (g, x, k)):
                         column.append(item)
             return out
@@ -60,8 +55,8 @@ def merge_heads(df: DataFrame, group: str, order: str, value: str, threshold: fl
         def f(groups, orders, values):
             out = [[], [], []]
             for g, o, v in zip(groups, orders, values):
-                cos = _pairwise(v, dense)
-                for x, h in zip(o, arrow.star_heads(lambda i, j: cos(i, j) > threshold, len(o))):
+                cos = _cosines(v, dense)
+                for x, h in zip(o, arrow.star_heads(lambda i: cos.row(i) > threshold, len(o))):
                     for column, item in zip(out, (g, x, o[h])):
                         column.append(item)
             return out
@@ -86,10 +81,10 @@ def coherence(chunks: DataFrame, group: str = "doc_id", order: str = "chunk_ix",
         def f(groups, orders, values):
             out = [[], [], []]
             for g, o, v in zip(groups, orders, values):
-                cos = _pairwise(v, dense)
+                cos = _cosines(v, dense)
                 for i, x in enumerate(o):
-                    best = sorted((cos(i, j) for j in range(len(o)) if j != i), reverse=True)[:top]
-                    for column, item in zip(out, (g, x, sum(best) / len(best) if best else alone)):
+                    best = np.sort(np.delete(cos.row(i), i))[::-1][:top]
+                    for column, item in zip(out, (g, x, float(best.mean()) if len(best) else alone)):
                         column.append(item)
             return out
 

@@ -372,12 +372,17 @@ def dense_chunks(spark, d):
 # --- similarity -------------------------------------------------------------------------------------------------
 
 
-def _cosine_sql(a: str, b: str, ids: str = "pair_id", rows: str = "qa") -> str:
+def _cosine_sql(a: str, b: str, ids: str = "pair_id", rows: str = "qa", cos: str = "cos") -> str:
     """CTEs up to ``cos(ids, value)`` of the word counts of two columns."""
     def counts(name: str, column: str) -> str:
-        return f"{name} as (select {ids}, w, count(*) as n from (select {ids}, unnest(regexp_extract_all(lower(coalesce({column}, '')), '{WORD}')) as w from {rows}) group by {ids}, w)"
+        return f"{cos}_{name} as (select {ids}, w, count(*) as n from (select {ids}, unnest(regexp_extract_all(lower(coalesce({column}, '')), '{WORD}')) as w from {rows}) group by {ids}, w)"
 
-    return f"{counts('ca', a)}, {counts('cb', b)}, na as (select {ids}, sum(n * n) as s from ca group by {ids}), nb as (select {ids}, sum(n * n) as s from cb group by {ids}), dot as (select {ids}, sum(ca.n * cb.n) as s from ca join cb using ({ids}, w) group by {ids}), cos as (select {rows}.{ids}, coalesce(dot.s / sqrt(cast(na.s as double) * nb.s), 0) as value from {rows} left join dot using ({ids}) left join na using ({ids}) left join nb using ({ids}))"
+    def norm(name: str) -> str:
+        return f"{cos}_n{name} as (select {ids}, sum(n * n) as s from {cos}_{name} group by {ids})"
+
+    dot = f"{cos}_dot as (select {ids}, sum(a.n * b.n) as s from {cos}_a a join {cos}_b b using ({ids}, w) group by {ids})"
+    value = "coalesce(d.s / sqrt(cast(x.s as double) * y.s), 0)"
+    return f"{counts('a', a)}, {counts('b', b)}, {norm('a')}, {norm('b')}, {dot}, {cos} as (select r.{ids}, {value} as value from {rows} r left join {cos}_dot d using ({ids}) left join {cos}_na x using ({ids}) left join {cos}_nb y using ({ids}))"
 
 
 @query(f"with {QA}, {_cosine_sql('answer', 'context')} select pair_id, round(value, 6) as support from cos")
@@ -396,7 +401,9 @@ def context_relevance(spark, d):
     return qa(spark, d, "question", "answer", "context").select("pair_id", F.round(questions.context_relevance(F.col("question"), F.col("answer"), F.col("context")), 6).alias("context_relevance"))
 
 
-@query()
+@query(f"""with {QA}, {_cosine_sql('answer', 'context', cos='sa')}, {_cosine_sql('question', 'context', cos='sq')}
+select qa.pair_id from qa join sa using (pair_id) join sq using (pair_id) where {n_words('question')} between 10 and 50 and {n_words('answer')} between 5 and 100 and sa.value >= greatest(0.3, 0.2) and sq.value >= 0.2
+and not ({" or ".join(f"regexp_matches(coalesce(question, '') || ' ' || coalesce(answer, ''), '{p}')" for p in filters.CONTENT.values())})""")
 def quality_filtered(spark, d):
     return filters.quality_filter(qa(spark, d, "question", "answer", "context"), Quality(answer_support=0.3, relevance=0.2)).select("pair_id")
 
@@ -418,6 +425,15 @@ def chunk_relevance(spark, d):
     return similarity.chunk_scores(chunks(spark, d)).select("doc_id", "chunk_ix", F.round("relevance", 6).alias("relevance"))
 
 
+def _text_near_sql(source: str, group: str, order: str, text: str, threshold: float) -> str:
+    """CTEs up to ``n(grp, ord, i, nb)``: items of each group in order, with the numbers of those that are near them."""
+    return f"""i as (select {group} as grp, {order} as ord, {text} as text, row_number() over (partition by {group} order by {order}) as i from {source}),
+t as (select grp, i, w, count(*) as n from (select grp, i, unnest(regexp_extract_all(lower(coalesce(text, '')), '{WORD}')) as w from i) group by all), s as (select grp, i, sum(n * n) as s from t group by all),
+p as (select a.grp, a.i, b.i as j, sum(a.n * b.n) as dot from t a join t b on a.grp = b.grp and a.w = b.w and a.i <> b.i group by all),
+q as (select p.grp, p.i, p.j from p join s x on x.grp = p.grp and x.i = p.i join s y on y.grp = p.grp and y.i = p.j where p.dot / sqrt(cast(x.s as double) * y.s) > {threshold}),
+n as (select i.grp, i.ord, i.i, coalesce(list(q.j) filter (q.j is not null), []) as nb from i left join q on i.grp = q.grp and i.i = q.i group by all)"""
+
+
 def _dense_sql(threshold: float) -> str:
     return f"""with recursive e as (select label, vec_id, row_number() over (partition by label order by vec_id) as i, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
 p as (select a.label, a.i, b.i as j from e a join e b on a.label = b.label and a.i <> b.i where list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) > {threshold}),
@@ -443,12 +459,18 @@ def merged_heads(spark, d):
     return similarity.merge_heads(table(tune(spark), d, "embeddings", "label", "vec_id", "embedding"), "label", "vec_id", "embedding", 0.25)
 
 
-@query()
+@query(f"""with recursive {CHUNKS}, {_text_near_sql("c", "doc_id", "chunk_ix", "content", 0.8)},
+f(grp, i, taken, head) as (select distinct grp, 0::bigint, []::bigint[], []::bigint[] from n
+union all select n.grp, n.i, case when list_contains(f.taken, n.i) then f.taken else list_concat(list_append(f.taken, n.i), list_filter(n.nb, lambda j: j > n.i and not list_contains(f.taken, j))) end, case when list_contains(f.taken, n.i) then [] else list_concat([n.i], list_filter(n.nb, lambda j: j > n.i and not list_contains(f.taken, j))) end from f join n on n.grp = f.grp and n.i = f.i + 1),
+m as (select grp, i as h, unnest(head) as j from f)
+select a.grp as doc_id, h.ord as chunk_ix, string_agg(a.text, chr(10) order by a.i) as content from m join i a on a.grp = m.grp and a.i = m.j join i h on h.grp = m.grp and h.i = m.h group by a.grp, h.ord""")
 def merged_chunks(spark, d):
     return similarity.merge_chunks(chunks(spark, d))
 
 
-@query()
+@query(f"""with recursive {QA}, {_text_near_sql("qa", "conv_id", "pair_id", "question", 0.85)},
+f(grp, i, kept) as (select distinct grp, 0::bigint, []::bigint[] from n union all select n.grp, n.i, case when len(list_intersect(f.kept, n.nb)) > 0 then f.kept else list_append(f.kept, n.i) end from f join n on n.grp = f.grp and n.i = f.i + 1)
+select n.grp as conv_id, n.ord as pair_id, list_contains(f.kept, n.i) as kept from n join f on f.grp = n.grp and f.i = n.i""")
 def dedup_questions(spark, d):
     return similarity.near_dup_flags(qa(spark, d, "conv_id", "question"), "conv_id", "pair_id", "question")
 
