@@ -107,8 +107,11 @@ def client(name: str, **options):
     return CLIENTS[name](**options)
 
 
-def generate(prompts: DataFrame, model: Callable[[list[str]], list[str]], key: list[str], prompt: str = "prompt") -> DataFrame:
-    """``key, prompt, reply`` as a table. A failing batch gives empty replies."""
+def generate(prompts: DataFrame, model: Callable[[list[str]], list[str]], key: list[str], prompt: str = "prompt", spread: int | None = None) -> DataFrame:
+    """``key, prompt, reply`` as a table. A failing batch gives empty replies.
+
+    ``spread``: ask in so many tasks, where a model is slow against the shuffle of the prompts.
+    """
     kinds = dict(prompts.dtypes)
     columns = ", ".join(f"{k} {kinds[k]}" for k in key)
 
@@ -122,7 +125,10 @@ def generate(prompts: DataFrame, model: Callable[[list[str]], list[str]], key: l
 
         return f
 
-    return cut(map_rows(prompts.select(*key, prompt), make, f"{columns}, prompt string, reply string"), "replies")
+    asked = prompts.select(*key, prompt)
+    if spread:
+        asked = asked.repartition(spread, *key)
+    return cut(map_rows(asked, make, f"{columns}, prompt string, reply string"), "replies")
 
 
 def usage_of(replies: DataFrame, model: str, task: str) -> DataFrame:

@@ -59,7 +59,8 @@ def run(docs: DataFrame, model: Callable | None = None, config: Config = Config(
     """(accepted, failed): accepted triplets, and failed ones with their ``reason``."""
     model = model or Template()
     chunks = cut(chunks_of(docs, config), "chunks")
-    made = cut(triplets_of(kept_chunks(chunks, model, config, prompts), model, prompts), "triplets")
+    kept = cut(kept_chunks(chunks, model, config, prompts), "kept")
+    made = cut(triplets_of(kept, model, prompts), "triplets")
     unique = made.join(near_dup_flags(made, "doc_id", "seq", "question", config.quality.duplicate_similarity).where("kept").drop("kept"), ["doc_id", "seq"])
     routed = cut(route(judged(unique, model, prompts), config.quality.judge_threshold), "routed")
     q = config.quality
