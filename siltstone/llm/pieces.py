@@ -86,9 +86,12 @@ def ranges_of(docs: DataFrame, key: str, text: str, range_chars: int, halo: str)
 
 
 def limited(docs: DataFrame, limits: DataFrame, default_limit: int = 4000, default_overlap: int = 200) -> DataFrame:
-    """``docs`` with ``limit`` and ``overlap`` of their format, regardless of case. ``limits`` has a row a format."""
+    """``docs`` with ``limit`` and ``overlap`` of their format, regardless of case. ``limits`` has a row a format.
+
+    Columns of these names in ``docs`` are replaced.
+    """
     small = limits.select(F.lower(F.trim("format")).alias("format_key"), F.col("max_chars").alias("limit"), F.col("overlap_chars").alias("overlap"))
-    joined = docs.withColumn("format_key", F.lower(F.trim("format"))).join(F.broadcast(small.limit(10_000)), "format_key", "left").drop("format_key")
+    joined = docs.drop("limit", "overlap").withColumn("format_key", F.lower(F.trim("format"))).join(F.broadcast(small.limit(10_000)), "format_key", "left").drop("format_key")
     return joined.fillna({"limit": default_limit, "overlap": default_overlap})
 
 

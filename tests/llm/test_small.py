@@ -203,7 +203,7 @@ def test_ranges_equal_whole(spark):
 
 def test_limits(spark):
     limits = spark.createDataFrame([("pdf", 10, 2)], "format string, max_chars int, overlap_chars int")
-    docs = spark.createDataFrame([(1, " PDF", "a" * 11), (2, "pdf", "a b c d e f g"), (3, None, "a" * 30), (4, "pdf", None)], "doc_id bigint, format string, content string")
+    docs = spark.createDataFrame([(1, " PDF", "a" * 11, 3), (2, "pdf", "a b c d e f g", 3), (3, None, "a" * 30, 3), (4, "pdf", None, 3)], "doc_id bigint, format string, content string, `limit` int")
     assert sorted(tuple(r) for r in pieces.cut_kinds(pieces.limited(docs, limits)).collect()) == [(1, "forced"), (2, "natural")]
 
 
