@@ -3,7 +3,7 @@
 Long texts are processed in ranges: each range, read with a halo on both sides, yields a table of boundaries (end of
 paragraph, line, sentence, clause, word) and the lengths of the unbroken runs at its edges. The tables of one text are
 stitched by prefix sums of the range lengths into a cut plan, and pieces are cut by offset out of the ranges. A text of
-one range takes the same steps within one task. Giant files are read the same way by offset (``file_ranges``).
+one range takes the same steps within one task. Giant files are read and cut the same way by offset (``file_pieces``).
 
 Null texts yield nothing, empty texts and texts within the limit one piece. Rows with a format that has no limit are
 cut at ``default_limit``. Repeated rows are dropped by key. Positions count code points.
@@ -14,9 +14,10 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.io import cut
 from siltstone.llm.common import map_rows
 
 #: Characters of a range; texts up to this length are planned where they are.
@@ -81,8 +82,8 @@ def ranges_of(docs: DataFrame, key: str, text: str, range_chars: int, halo: str)
     n = F.char_length(text)
     offs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(range_chars))
     wide = docs.withColumn("length", n).withColumn("off", F.explode(offs))
-    before = F.least(F.col("off"), F.lit(64))
-    return wide.select(key, "limit", "overlap", "length", "off", before.alias("before"), F.expr(f"substring({text}, off - least(off, 64) + 1, least(off, 64) + {range_chars} + {halo})").alias("chunk"))
+    before, size = F.least(F.col("off"), F.lit(64)), F.least(F.lit(range_chars), F.col("length") - F.col("off"))
+    return wide.select(key, "limit", "overlap", "length", "off", size.alias("size"), before.alias("before"), F.expr(f"substring({text}, off - least(off, 64) + 1, least(off, 64) + {range_chars} + {halo})").alias("chunk"))
 
 
 def limited(docs: DataFrame, limits: DataFrame, default_limit: int = 4000, default_overlap: int = 200) -> DataFrame:
@@ -118,36 +119,46 @@ def plans(docs: DataFrame, key: str = "doc_id", text: str = "content", range_cha
 
     whole = map_rows(docs.where(n <= range_chars), make_whole, columns)
 
+    giant = docs.where(n > range_chars)
+    parts = ranges_of(giant, key, text, range_chars, "64").repartition(key, "off")
+    return whole.union(stitched(parts, key))
+
+
+def stitched(parts: DataFrame, key: str) -> DataFrame:
+    """Cut plans from ranges: ``key, limit, overlap, length, off, size, before, chunk`` (``before`` characters of halo).
+
+    Each range gives its boundaries and the runs at its edges; only these tables of a text come together.
+    """
+    kind = dict(parts.dtypes)[key]
+    columns = f"{key} {kind}, length int, `limit` int, forced boolean, starts array<int>, ends array<int>"
+
     def make_table():
         def f(batch):
-            out = [[] for _ in range(9)]
-            for k, limit, overlap, length, off, before, chunk in zip(*(c.to_pylist() for c in batch.columns)):
-                end = min(before + range_chars, before + length - off)
+            out = [[] for _ in range(10)]
+            for k, limit, overlap, length, off, size, before, chunk in zip(*(c.to_pylist() for c in batch.columns)):
+                end = before + size
                 table = [[e - before + off for e in ends] for ends in boundaries(chunk, before, end)]
                 body = chunk[before:end]
                 head, tail = RUN_HEAD.match(body).end(), len(body) - RUN_TAIL.search(body).start()
-                for column, value in zip(out, (k, limit, overlap, length, off, table, longest_run(body, limit), head, tail)):
+                for column, value in zip(out, (k, limit, overlap, length, off, size, table, longest_run(body, limit), head, tail)):
                     column.append(value)
             return out
 
         return f
 
-    giant = docs.where(n > range_chars)
-    parts = ranges_of(giant, key, text, range_chars, "64").repartition(key, "off")
-    tables = map_rows(parts, make_table, f"{key} {kind}, `limit` int, overlap int, length int, off int, ends array<array<int>>, long boolean, head int, tail int")
-    stitched = tables.groupBy(key).agg(F.first("limit").alias("limit"), F.first("overlap").alias("overlap"), F.first("length").alias("length"), F.sort_array(F.collect_list(F.struct("off", "ends", "long", "head", "tail"))).alias("parts"))
+    tables = map_rows(parts.select(key, "limit", "overlap", "length", "off", "size", "before", "chunk"), make_table, f"{key} {kind}, `limit` int, overlap int, length int, off int, size int, ends array<array<int>>, long boolean, head int, tail int")
+    joined = tables.groupBy(key).agg(F.first("limit").alias("limit"), F.first("overlap").alias("overlap"), F.first("length").alias("length"), F.sort_array(F.collect_set(F.struct("off", "size", "ends", "long", "head", "tail"))).alias("parts"))
 
     def make_plan():
         def f(batch):
             out = [[] for _ in range(6)]
-            for k, limit, overlap, length, parts in zip(*(c.to_pylist() for c in batch.columns)):
-                table = [[e for p in parts for e in p["ends"][s]] for s in range(len(BOUNDARIES))]
+            for k, limit, overlap, length, parts_ in zip(*(c.to_pylist() for c in batch.columns)):
+                table = [[e for p in parts_ for e in p["ends"][s]] for s in range(len(BOUNDARIES))]
                 forced, run = False, 0
-                for i, p in enumerate(parts):
-                    size = min(range_chars, length - p["off"])
+                for p in parts_:
                     run += p["head"]
                     forced = forced or p["long"] or run > limit
-                    if p["head"] < size:
+                    if p["head"] < p["size"]:
                         run = p["tail"]
                 plan = cut_plan(length, table, limit, overlap)
                 for column, value in zip(out, (k, length, limit, forced or run > limit, [a for a, _ in plan], [b for _, b in plan])):
@@ -156,7 +167,7 @@ def plans(docs: DataFrame, key: str = "doc_id", text: str = "content", range_cha
 
         return f
 
-    return whole.union(map_rows(stitched.select(key, "limit", "overlap", "length", "parts"), make_plan, columns))
+    return map_rows(joined.select(key, "limit", "overlap", "length", "parts"), make_plan, columns)
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "content", range_chars: int = RANGE_CHARS) -> DataFrame:
@@ -202,3 +213,24 @@ def file_ranges(files: DataFrame, limit: int, overlap: int, range_bytes: int = 1
         return f
 
     return map_rows(parts, make, "path string, off bigint, chars int, text string").withColumn("limit", F.lit(limit)).withColumn("overlap", F.lit(overlap))
+
+
+def file_pieces(files: DataFrame, limit: int, overlap: int, range_bytes: int = 1 << 26) -> DataFrame:
+    """``path, piece_no, start_pos, end_pos, piece`` of giant UTF-8 files; positions in characters.
+
+    Character offsets of ranges are prefix sums of their lengths; halos come from the neighbouring ranges. The text of
+    a file is never in one place, its boundary table is. A range must be longer than ``limit``, a file shorter than
+    2^31 characters.
+    """
+    w = Window.partitionBy("path").orderBy("off")
+    read = cut(file_ranges(files, limit, overlap, range_bytes).select("path", "off", "chars", "text"), "ranges")
+    lengths = read.select("path", F.col("off").alias("at"), "chars").withColumn("no", F.row_number().over(w.orderBy("at"))).withColumn("off", (F.sum("chars").over(w.orderBy("at")) - F.col("chars")).cast("int"))
+    lengths = lengths.withColumn("length", F.sum("chars").over(Window.partitionBy("path")).cast("int"))
+    placed = read.select("path", F.col("off").alias("at"), "text").join(lengths, ["path", "at"])
+    near = placed.select("path", (F.col("no") + 1).alias("no"), F.expr("right(text, 64)").alias("tail"))
+    after = placed.select("path", (F.col("no") - 1).alias("no"), F.substring("text", 1, max(64, limit)).alias("next"))
+    full = placed.join(near, ["path", "no"], "left").join(after, ["path", "no"], "left").fillna("", ["tail", "next"])
+    parts = cut(full.select("path", F.lit(limit).alias("limit"), F.lit(overlap).alias("overlap"), "length", "off", F.col("chars").alias("size"), F.char_length("tail").alias("before"), F.concat("tail", "text", "next").alias("chunk")), "parts")
+    spans = stitched(parts, "path").select("path", F.posexplode(F.arrays_zip("starts", "ends")).alias("piece_no", "span")).select("path", "piece_no", F.col("span.starts").alias("start_pos"), F.col("span.ends").alias("end_pos"))
+    inside = (spans["path"] == parts["path"]) & (spans["start_pos"] >= parts["off"]) & (spans["start_pos"] < parts["off"] + F.greatest(parts["size"], F.lit(1)))
+    return spans.join(parts, inside).select(spans["path"], "piece_no", "start_pos", "end_pos", F.expr("substring(chunk, start_pos - off + before + 1, end_pos - start_pos)").alias("piece"))

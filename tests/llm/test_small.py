@@ -214,6 +214,9 @@ def test_file_ranges(spark, tmp_path):
     df = spark.createDataFrame([(str(p), p.stat().st_size)], "path string, bytes bigint")
     got = pieces.file_ranges(df, 50, 5, 37).orderBy("off").collect()
     assert "".join(r.text for r in got) == text and all(r.chars == len(r.text) for r in got)
+    got = pieces.file_pieces(df, 20, 5, 97).orderBy("piece_no").collect()
+    plan = pieces.cut_plan(len(text), pieces.boundaries(text, 0, len(text)), 20, 5)
+    assert [(r.start_pos, r.end_pos) for r in got] == plan and all(r.piece == text[r.start_pos : r.end_pos] for r in got)
 
 
 # --- p6
