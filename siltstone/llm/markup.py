@@ -12,8 +12,10 @@ dropped by key by the callers.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+import string
 from html.entities import html5
 
 from pyspark.sql import DataFrame
@@ -252,12 +254,70 @@ def clean_markdown(t: str) -> str:
     return "".join(parts)
 
 
+# Tags of HTML, and stretches of text between them and line breaks; other angle brackets belong to the text.
+_NAMES = "|".join(sorted(TAGS, key=lambda n: (-len(n), n)))
+_MARK = rf"</?(?i:{_NAMES})(?:\s+{BARE}\b)*\s*/?>|</?(?i:{_NAMES})\s[^<>]*=[^<>]*>|<![^<>]*>|<\?[^<>]*>"
+TOKEN = re.compile(rf"(?P<tag>{_MARK})|(?:[^<\n]+|(?!{_MARK})<)+")
+#: Tokens over so many characters are known by a hash of the whole token.
+LONG = 200
+SIGNS = frozenset(string.punctuation)
+#: What is left of a line whose texts were all template: list signs, numbers of items, separators.
+REST = re.compile(r"\s*(?:\d+\.(?=\s|$))?[\s!-/:-@\[-`{-~–—·•«»‹›→]*")
+
+
+def token_name(token: str, tag: bool = False) -> str:
+    """What a token (white space collapsed) is joined by: itself, or a hash of it if it is long. Only tags begin with "<"."""
+    if len(token) > LONG:
+        token = "\n" + hashlib.blake2b(token.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+        return "<" + token if tag else token
+    return token if tag or token[:1] != "<" else "\n" + token
+
+
+def is_structure(token: str) -> bool:
+    """Whether a token of text opens, closes or rules off something that spans lines, as tags do in HTML."""
+    if SIGNS.issuperset(token.replace(" ", "")) or token.startswith(("```", "~~~", "{|", "|-", "|}")):
+        return True
+    return token.count("{") != token.count("}") or token.count("[") != token.count("]") or token.count("\\begin{") != token.count("\\end{") or token.count("$$") % 2 == 1
+
+
+def without_template(text: str, template: frozenset[str], mark: str) -> str:
+    """``text`` with ``mark`` in place of each stretch of text that is a token of the template."""
+
+    def slot(m):
+        token = " ".join(m[0].split())
+        if not token or m["tag"] or token_name(token) not in template or is_structure(token):
+            return m[0]
+        s = m[0]
+        return s[: len(s) - len(s.lstrip())] + mark + s[len(s.rstrip()) :]
+
+    return TOKEN.sub(slot, text)
+
+
+def without_marks(text: str, template: frozenset[str], mark: str) -> str:
+    """``text`` without marks, and without the lines that held nothing but template."""
+    out = []
+    for line in text.split("\n"):
+        if mark in line:
+            first = line.lstrip(" \t").startswith(mark)
+            line = re.sub(rf"[ \t]*{mark}", "", line)
+            if REST.fullmatch(line):
+                continue
+            line = line.lstrip(" \t") if first else line
+        elif (token := " ".join(line.split())) and token_name(token) in template and not token.startswith(("```", "$$")):
+            continue
+        out.append(line)
+    return "\n".join(out)
+
+
 def clean_text(text: str | None, template: frozenset[str] = frozenset()) -> str:
-    """``text`` without markup and without the lines of the host's template, in the notation above."""
+    """``text`` without markup and without the tokens of the host's template (names of ``token_name``), in the notation above."""
     if not text:
         return ""
     kinds = markup_kinds(text)
     t = text
+    if template:
+        mark = next(c for c in map(chr, range(0xE000, 0xF900)) if c not in text)
+        t = without_template(text, template, mark)
     if "latex" in kinds:
         t = clean_latex(t)
     if "wiki" in kinds:
@@ -267,7 +327,7 @@ def clean_text(text: str | None, template: frozenset[str] = frozenset()) -> str:
     if "markdown" in kinds:
         t = clean_markdown(t)
     if template:
-        t = "\n".join(x for x in t.split("\n") if " ".join(x.split()) not in template)
+        t = without_marks(t, template, mark)
     t = re.sub(r"[ \t]+(?=\n)", "", t)
     t = re.sub(r"(?m)(?<=\S)[ \t]{2,}(?=\S)", " ", t) if kinds else t
     return re.sub(r"\n{3,}", "\n\n", t).strip("\n")
@@ -275,15 +335,14 @@ def clean_text(text: str | None, template: frozenset[str] = frozenset()) -> str:
 
 #: Pages on which a template class must occur, and tokens it must have.
 LEAST_PAGES, LEAST_TOKENS = 3, 2
-TOKEN = re.compile(r"<[^<>]{1,200}>|[^<>\n]+")
-
 
 def page_tokens(text: str) -> dict[str, tuple[int, int]]:
     """Of each token of a page (tags, and stretches of text within a line): how often it occurs, and where first."""
     found: dict[str, tuple[int, int]] = {}
     for at, m in enumerate(TOKEN.finditer(text)):
         token = " ".join(m[0].split())
-        if token and len(token) <= 200:
+        if token:
+            token = token_name(token, m["tag"] is not None)
             n, first = found.get(token, (0, at))
             found[token] = (n + 1, first)
     return found
@@ -292,6 +351,7 @@ def page_tokens(text: str) -> dict[str, tuple[int, int]]:
 def templates(docs: DataFrame, key: str = "doc_id", host: str = "host", text: str = "content") -> DataFrame:
     """``host, class, token, pages, place``: the valid equivalence classes of tokens of each host.
 
+    Long tokens stand in the table by their hashes (``token_name``).
     A class is a set of tokens with one occurrence vector over the host's pages: they occur on the same pages, equally
     often on each. It is valid if its tokens are ordered, that is, no two have the same mean place of first occurrence.
     """
@@ -324,12 +384,26 @@ def with_host(docs: DataFrame, source: str = "source") -> DataFrame:
 def clean_documents(docs: DataFrame, key: str = "doc_id", text: str = "content", source: str = "source") -> DataFrame:
     """``key, kinds, clean``: a row a document.
 
-    Template lines are looked up by host and line, so no host's template is gathered in one place.
+    Template tokens are looked up by host and token, so no host's template is gathered in one place; those of text are
+    taken out where they stand, before the markup is.
     """
     kind = dict(docs.dtypes)[key]
     hosted = with_host(docs.select(key, source, text), source)
     lines = templates(hosted, key, "host", text).where(~F.col("token").startswith("<")).select("host", "token")
-    marked = hosted.where(F.col(text).isNotNull()).select(key, "host", F.explode(F.array_distinct(F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))))).alias("token")).where("token <> '' and length(token) <= 200")
+
+    def names():
+        def f(batch):
+            out = [[], [], []]
+            for h, k, t in zip(*(c.to_pylist() for c in batch.columns)):
+                for token in page_tokens(t):
+                    if token[0] != "<":
+                        for column, value in zip(out, (h, k, token)):
+                            column.append(value)
+            return out
+
+        return f
+
+    marked = map_rows(hosted.where(F.col(text).isNotNull()).select("host", key, text), names, f"host string, {key} {kind}, token string")
     per_doc = marked.join(lines, ["host", "token"], "left_semi").groupBy(key).agg(F.collect_set("token").alias("template"))
 
     def make():

@@ -75,6 +75,17 @@ def test_markup_clean(spark):
     assert markup.kinds_of(spark.createDataFrame([(1, "<b>x</b>", "a"), (1, "<b>x</b>", "a"), (2, None, "b")], "doc_id bigint, content string, markup string")).collect() == [(1, "html")]
 
 
+def test_template_tokens(spark):
+    foot = "This footer is longer than the bound. " * 8
+    page = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/a'>About us</a></li></ul></nav><h2>Topic {0}</h2><p>Text {0}</p><table><tr><td>x{0}</td></tr></table><footer>%s</footer>" % foot
+    wiki = "[[Main page|Start]] | [[Help]]\n== Head {0} ==\n''Text'' {0}\n{{|\n| {0} || y{0}\n|}}\n\n'''Imprint''' of the site"
+    rows = [(i, "html/x", page.format(i)) for i in range(4)] + [(10 + i, "wiki/x", wiki.format(i)) for i in range(4)]
+    rows += [(20 + i, "md/x", f"```\nf({i})\n```\nText {i}\nSite menu\nImprint") for i in range(4)] + [(30 + i, "txt/x", f"Own {i}\nif x > {i}:\n{foot}\nImprint") for i in range(4)]
+    got = {r.doc_id: r.clean for r in markup.clean_documents(spark.createDataFrame(rows, "doc_id bigint, source string, content string")).collect()}
+    assert got[2] == "## Topic 2\n\nText 2\n\n| x2 |" and got[12] == "# Head 2\nText 2\n\n| 2 | y2 |"
+    assert got[22] == "```\nf(2)\n```\nText 2" and got[32] == "Own 2\nif x > 2:"
+
+
 # --- p3
 
 
