@@ -13,8 +13,11 @@ Candidates come from keys that both sets must share:
 * sets that share no rare word differ in all of theirs, so little difference is left for their other words: these are
   cut by hash into more groups than differences can be left, and some group must be the same in both sets.
 
-A pair could only be missed if every unchanged group is empty in both sets, which takes sets of hardly more frequent
-words than groups. Nulls count as empty texts; sets without words have no partners. Repeated rows count once.
+* if all unchanged groups may be empty, which takes sets whose frequent words fill no more groups than differences can be
+  left, the group keys do not suffice. Both sets then also have a key for every ``SHARED`` words of their extended prefix:
+  sets that share t words share k of their first |A| - t + k words in one order, so no pair is missed.
+
+Nulls count as empty texts; sets without words have no partners. Repeated rows count once.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ from siltstone.llm.splits import connected_components
 SIMILARITY = 0.8
 #: Words in at most so many sets are rare.
 RARE = 128
+#: Words in a key of sets of few groups. Sets with a partner share at least so many.
+SHARED = 4
 #: Cells of the frequency table that every task gets (one byte each).
 CELLS = 1 << 20
 BITS, PIVOTS = 256, 16
@@ -121,16 +127,22 @@ def keys_of(words: np.ndarray, level: np.ndarray) -> list[int]:
         value = (common + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         value ^= value >> np.uint64(29)
         value *= np.uint64(0xBF58476D1CE4E5B9)
-        groups = 1
+        groups, few = 1, False
         while True:
             g = (mixed % np.uint64(groups)).astype(np.int64)
             sums, sizes = np.zeros(groups, np.uint64), np.bincount(g, minlength=groups)
             np.add.at(sums, g, value)
             for k in np.flatnonzero(sizes):
                 out.append(int.from_bytes(hashlib.blake2b(b"%d.%d.%d" % (groups, k, sums[k]), digest_size=8).digest(), "little", signed=True) | (1 << 62))
+            # A partner may differ in all groups that hold words, but in less than ``groups``.
+            few |= 0 < np.count_nonzero(sizes) <= min(left, groups - 1)
             if groups > left:
                 break
             groups *= 2
+        if few:
+            first = words[np.lexsort((words, rank))[: prefix - 1 + SHARED]].tolist()
+            for some_words in combinations(first, SHARED):
+                out.append(int.from_bytes(hashlib.blake2b(b"%d,%d,%d,%d" % some_words, digest_size=8).digest(), "little", signed=True) | (1 << 62))
     return out
 
 

@@ -41,6 +41,24 @@ def test_near_pairs_brute(spark, monkeypatch):
     assert len({r.group for r in groups if r.pair_id in (902, 903)}) == 1
 
 
+def test_small_sets_share_keys():
+    """Every pair of small sets of frequent words has a key in common, whichever groups its words fall into."""
+    level = neardup.np.full(neardup.CELLS, 255, neardup.np.uint8)
+    rng = random.Random(3)
+    for k in range(4000):
+        n = rng.randint(4, 18)
+        a = rng.sample(range(1, 1 << 32), n)
+        drop = rng.randint(0, n // 9)
+        b = a[drop:]
+        add = 0
+        while 5 * len(b) >= 4 * (n + add + 1) and add < n // 4:
+            add += 1
+        b = b + rng.sample(range(1, 1 << 32), add)
+        if drop + add:
+            keys = [set(neardup.keys_of(neardup.np.array(sorted(x), neardup.np.uint32), level)) for x in (a, b)]
+            assert keys[0] & keys[1], (a, b)
+
+
 def test_near_pairs_empty(spark):
     df = spark.createDataFrame([], "pair_id bigint, question string, answer string")
     assert neardup.near_pairs(df).collect() == [] and neardup.near_groups(df).collect() == []
