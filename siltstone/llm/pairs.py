@@ -12,6 +12,7 @@ to copy). Repeated rows give the same defect; callers drop them by key.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -217,11 +218,9 @@ def only_declines(answer: str) -> bool:
     text = " " + " ".join(answer.lower().replace("’", "'").split())
     if text[1:2] in "\"“„«":
         return False
-    if not any(True for _ in REFUSES.iter(text)) and not GERMAN_REFUSAL.search(text):
-        return False
+    phrase = any(True for _ in REFUSES.iter(text))
     declined, at = False, 0
-    ends = [m.end() for m in SENTENCE_END.finditer(text)] + [len(text)]
-    for e in ends:
+    for e in chain((m.end() for m in SENTENCE_END.finditer(text)), [len(text)]):
         s, at = text[at:e], e
         words = WORD.findall(s)
         if not words:
@@ -243,7 +242,7 @@ def only_declines(answer: str) -> bool:
             pass
         else:
             return False
-    return declined
+    return declined and (phrase or GERMAN_REFUSAL.search(text) is not None)
 
 
 def breaks_off(answer: str, a_words: list[str]) -> bool:
@@ -281,13 +280,14 @@ def breaks_off(answer: str, a_words: list[str]) -> bool:
 
 def defect(question: str | None, answer: str | None, instruction: str | None) -> str | None:
     answer = answer or ""
-    bare = "".join(WORD.findall(answer.lower())) if len(answer) < 40 else "x"
+    a_words = WORD.findall(answer.lower())
+    bare = "".join(a_words)
     if not bare or bare in STAND_INS and not re.search(r"\w{3,}\s+\w", answer.strip("[](){}<>\"' ")) and not answer.strip().lower() == "a":
         return "empty"
-    if bare in STAND_INS and len(WORD.findall(answer)) > 1:
+    if bare in STAND_INS and len(a_words) > 1:
         return "empty"
     question = question or ""
-    q_words, a_words = WORD.findall(question.lower()), WORD.findall(answer.lower())
+    q_words = WORD.findall(question.lower())
     if language_differs(question, q_words, answer, a_words, instruction or ""):
         return "other_language"
     if len(a_words) >= 3 and len(q_words) >= 3:
@@ -296,7 +296,7 @@ def defect(question: str | None, answer: str | None, instruction: str | None) ->
             copied = SuffixAutomaton(q_words).covered(a_words)
             if copied >= COPIED * len(a_words) and copied >= COPIED_OF_QUESTION * len(q_words):
                 return "copies_question"
-    if len(a_words) <= 80 and only_declines(answer):
+    if only_declines(answer):
         return "refusal"
     if breaks_off(answer, a_words):
         return "truncated"

@@ -375,3 +375,10 @@ def test_sentence_rows(spark):
     df = spark.createDataFrame([(1, "One. Two.", "en", 3), (2, None, None, 3), (3, "", "de", 3)], "doc_id bigint, text string, lang string, start_pos int")
     assert [tuple(r) for r in sentences.sentence_units(df).orderBy("start_pos").collect()] == [(1, 0, 4), (1, 5, 9)]
     assert sentences.sentence_units(df.limit(0)).collect() == []
+
+
+def test_long_empty_and_refusing_answers():
+    assert pairs.defect("What is it?", " \n" * 30, None) == "empty" and pairs.defect("What is it?", "- " * 30, None) == "empty"
+    long = "I'm sorry. I cannot answer this question. " + "I do not have the information about this topic. " * 12 + "Please consult a qualified person."
+    assert pairs.defect("Which valve opens first?", long, None) == "refusal"
+    assert pairs.defect("Which valve opens first?", long + " The upper valve opens first.", None) is None
