@@ -38,6 +38,7 @@ LIST_LINE = re.compile(r"(?:[-*•‣◦·–▪]|\(?\d{1,3}[.)]|\(?[a-zA-Z]\)|\
 MARKER_LINE = re.compile(r"\[[^\[\]\n]*\]$|={2,}[^=\n]+={2,}$")
 QUOTES = re.compile("[\"“”„«»「」『』()（）\\[\\]]")
 THAI = re.compile("(?<=[ก-๎])[ \n]+(?=[ก-๎])")
+THAI_LETTER, LETTER = re.compile("[ก-๎]"), re.compile(r"[^\W\d_]")
 OPEN = {"“": "”", "„": "“", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]"}
 CLOSE = {v: k for k, v in OPEN.items()} | {"“": "„"}
 BRACKETS = frozenset("([（")
@@ -74,6 +75,12 @@ def open_marks(text: str) -> list[str]:
     return stack
 
 
+def mostly_thai(text: str) -> bool:
+    """Whether ``text`` has as many Thai letters as others, so that spaces are its boundaries; a Thai name is not enough."""
+    n = len(THAI_LETTER.findall(text))
+    return n > 0 and 2 * n >= n + sum(not "ก" <= c <= "๎" for c in LETTER.findall(text))
+
+
 class Splitter:
     """Splits one text after another; ``abbreviations`` and ``starters`` are the corpus fallback."""
 
@@ -133,7 +140,8 @@ class Splitter:
     def units(self, text: str, lang: str | None = None) -> list[tuple[int, int]]:
         """Start and end of every unit, in characters."""
         out: list[tuple[int, int]] = []
-        thai = any("ก" <= c <= "๎" for c in text[:200:7]) or (lang or "").lower().startswith("th")
+        some = THAI_LETTER.search(text) is not None
+        thai = some and ((lang or "").lower().startswith("th") or mostly_thai(text))
         seen: dict[tuple[str, str], bool] = {}
         cuts = [m.end() for m in CANDIDATE.finditer(text)]
         quotes = [m.start() for m in QUOTES.finditer(text)]
@@ -158,12 +166,12 @@ class Splitter:
                         at = e
                         continue
                 if e := self.ends(text, at, e, b, seen, quotes[q] < e):
-                    if thai:
+                    if thai or some and mostly_thai(text[at:e]):
                         at = self.spaces(text, at, e, out)
                     else:
                         self.emit(text, at, e, out)
                         at = e
-            if thai:
+            if thai or some and mostly_thai(text[at:b]):
                 at = self.spaces(text, at, b, out)
             self.emit(text, at, b, out)
         return out
@@ -293,15 +301,14 @@ class Splitter:
         """Document first: the word with a full stop before a small letter, a digit or a comma; then the corpus."""
         key = ("a", token)
         if key not in seen:
-            found, hits = False, 0
+            found = False
             if token.isalpha():
                 at = text.find(token + ".")
-                while at >= 0 and hits < 50:
+                while at >= 0:
                     after = text[at + len(token) + 1 : at + len(token) + 4]
                     if (at == 0 or not text[at - 1].isalnum()) and after and (after[0] in ",;" or after[0].isspace() and after[1:2].islower() and not after[2:].isupper()):
                         found = True
                         break
-                    hits += 1
                     at = text.find(token + ".", at + 1)
             seen[key] = found or token.lower() in self.abbreviations
         return seen[key]

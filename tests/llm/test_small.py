@@ -382,3 +382,14 @@ def test_long_empty_and_refusing_answers():
     long = "I'm sorry. I cannot answer this question. " + "I do not have the information about this topic. " * 12 + "Please consult a qualified person."
     assert pairs.defect("Which valve opens first?", long, None) == "refusal"
     assert pairs.defect("Which valve opens first?", long + " The upper valve opens first.", None) is None
+
+
+def test_sentences_behind_the_beginning():
+    s = sentences.Splitter()
+    head = "A heading in Latin letters. " * 12
+    text = head + "สวัสดีครับ ผมชื่อสมชาย"
+    assert [text[a:b] for a, b in s.units(text)][-2:] == ["สวัสดีครับ", "ผมชื่อสมชาย"]
+    text = head + "The phrase สวัสดี ครับ is a greeting in Thai."
+    assert [text[a:b] for a, b in s.units(text)][-1] == "The phrase สวัสดี ครับ is a greeting in Thai."
+    text = "The Xyz. Before it was. " * 60 + "Here xyz Xyz. goes on."
+    assert [text[a:b] for a, b in s.units(text)][0] != "The Xyz."
