@@ -14,8 +14,8 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-def clean_text(text: Column, min_chars: int = 10, max_chars: int = 100_000, whitespace: bool = True, urls: bool = False, keep_paragraphs: bool = False) -> Column:
-    """White space collapsed, URLs dropped on demand, texts under ``min_chars`` emptied, cut at ``max_chars``; null gives ''."""
+def clean_text(text: Column, min_chars: int = 10, max_chars: int | None = 100_000, whitespace: bool = True, urls: bool = False, keep_paragraphs: bool = False) -> Column:
+    """White space collapsed, URLs dropped on demand, texts under ``min_chars`` emptied, cut at ``max_chars`` if given; null gives ''."""
     t = F.coalesce(text, F.lit(""))
     if whitespace:
         if keep_paragraphs:
@@ -24,7 +24,7 @@ def clean_text(text: Column, min_chars: int = 10, max_chars: int = 100_000, whit
             t = F.trim(F.regexp_replace(t, r"(?U)\s+", " "))
     if urls:
         t = F.regexp_replace(t, URL, "")
-    return F.when(F.length(t) < min_chars, "").otherwise(F.substring(t, 1, max_chars))
+    return F.when(F.length(t) < min_chars, "").otherwise(t if max_chars is None else F.substring(t, 1, max_chars))
 
 
 def strip_tags(text: Column) -> Column:

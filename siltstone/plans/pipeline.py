@@ -22,9 +22,9 @@ from siltstone.operators.similarity import chunk_scores, merge_chunks, near_dup_
 
 
 def chunks_of(docs: DataFrame, config: Config = Config()) -> DataFrame:
-    """Cleaned texts (null and empty ones dropped) in pieces by characters."""
+    """Cleaned whole texts (null and empty ones dropped) in pieces by characters; ``cleaning.max_chars`` doesn't cut them."""
     c = config.cleaning
-    text = clean_text(F.col("content"), c.min_chars, c.max_chars, c.remove_whitespace, c.remove_urls, c.keep_paragraphs)
+    text = clean_text(F.col("content"), c.min_chars, None, c.remove_whitespace, c.remove_urls, c.keep_paragraphs)
     return chunked(docs.select("doc_id", text.alias("content")).where("content <> ''"), "doc_id", "content", "chars", config.chunking.chars, config.chunking.overlap_chars)
 
 

@@ -77,3 +77,9 @@ def test_images(spark):
     png = b"\x89PNG\r\n\x1a\n" + b"\0" * 8 + struct.pack(">II", 3, 4)
     got = annotate(spark.createDataFrame([(1, bytearray(png)), (2, None)], "image_id int, bytes binary")).orderBy("image_id").collect()
     assert got[0].annotation.caption == "a PNG image of 3 by 4 pixels" and got[1].annotation.caption == ""
+
+
+def test_chunks_of_whole_texts(spark):
+    text = "word " * 25_000 + "the very last words"
+    got = pipeline.chunks_of(spark.createDataFrame([(1, text)], "doc_id bigint, content string")).collect()
+    assert any("the very last words" in r.content for r in got)
