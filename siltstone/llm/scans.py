@@ -1,20 +1,32 @@
 """Noise in text from scanned pages: furniture, broken words, misread characters, and their repair.
 
-Running headers and footers are lines at the top or bottom of pages that come again (with few edits) on other pages of
-the document or in other documents; page numbers stand alone there. Words are counted over all pages, and skip-gram
-vectors (sums of signed index vectors of the words within two places, which add up over all pages) are learnt with
-them. Rare words are linked to frequent neighbours by plausible glyph edits, and of several neighbours the one whose
-contexts agree best is taken. Lines are repaired with these corrections, joined over broken words and reflowed.
-
-Counts, vectors, candidates and occurrences stay distributed; nothing is gathered by document or word. Null and empty
-pages have no noise. Pages delivered twice count once; ties between corrections go to the more frequent, then to the
-lesser word.
+* **Furniture.** The two top and two bottom lines of a page are compared with those of the pages around it and with all
+  equal lines of the document and of other documents; what comes again, with few edits, is a running header or footer.
+  Page numbers stand alone there.
+* **Skip-gram vectors.** Over all pages it is counted how often words stand within ``WINDOW`` places of the ``CONTEXTS``
+  most frequent words. The positive pointwise mutual information of these counts, factored by its leading eigenvectors,
+  is what skip-gram learning with negative samples converges to (Levy and Goldberg, 2014): the product of a word's
+  vector with that of a context estimates how much more often they meet than by chance.
+* **Candidates.** A rare word is linked with the far more frequent words that plausible glyph edits make of it. Names are
+  rare even if read well: for them, an edit counts that turns a letter triple found in no other word into usual ones.
+* **Correction in context.** Where several candidates fit, or one that is not frequent enough to be sure, each place is
+  judged by itself: the candidate wins whose frequency and products with the vectors of the place's own neighbours are
+  the highest; a word that is no certain misreading must be beaten by ``CHANNEL``.
+
+Lines are repaired with these corrections, joined over broken words and reflowed to paragraphs.
+
+Counts, pairs, candidates and places stay distributed. Tasks get two bitmaps of fixed size (which words matter; false
+hits fall out in the join behind) and the vectors of ``CONTEXTS`` words. Null and empty pages have no noise. Pages
+delivered twice count once. Words of more than ``LONGEST`` characters are codes or unspaced text and are never judged.
+Ties between corrections go to the more frequent, then to the greater word.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -22,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.io import cut
-from siltstone.llm.common import map_rows, word_hash
+from siltstone.llm.common import map_rows
 
 PAGE_NO = re.compile(r"[^\w]*(?:(?:page|pag|pg|p|seite|s|página|pág|стр)\b\.?\s*)?(?:\d{1,4}|[ivxlc]{1,7}|[\dOolI|]{1,4}(?<=\d)|\d[\dOolI|]{0,3})(?:\s*(?:/|of|von|de|sur)\s*\d{1,4})?[^\w.]*", re.I)
 EDGE_NUMBER = re.compile(r"^\W*\d{1,4}\b\W+|[\s|–—\-]*\b[\dOolI]{0,3}\d[\dOolI]{0,3}\W*$")
@@ -36,169 +48,253 @@ GLYPHS = (
     ("lc", "k"), ("lr", "h"), ("nn", "m"), ("fi", "ﬁ"), ("!", "l"), ("!", "i"), ("$", "s"), ("€", "e"), ("3", "e"), ("4", "a"), ("7", "t"), ("2", "z"), ("à", "a"), ("â", "a"), ("ó", "o"), ("ò", "o"), ("í", "i"), ("ì", "i"), ("ú", "u"),
 )
 ODD = re.compile(r"[^\W\d_][†|!$€¤§]|[†|!$€¤§][^\W\d_]|[^\W\d_A-Z][0-9]|[0-9][^\W\d_A-Z]")
-#: A correction must be so many times as frequent as the word it corrects, and occur so often.
-TIMES, LEAST = 8, 5
-#: Length of the skip-gram vectors and width of their window.
-DIMENSIONS, WINDOW = 24, 2
+ODD_SIGN = re.compile(r"[†|!$€¤§0-9]")
+LONGEST = 64
+#: A correction must be so many times as frequent as the word it corrects, and occur so often; from ``MAYBE`` times on, places decide.
+TIMES, MAYBE, LEAST = 8, 3, 5
+#: Width of the window, words that serve as contexts, length of the vectors, and negative samples (the shift of the information).
+WINDOW, CONTEXTS, DIMENSIONS, NEGATIVES = 2, 512, 32, 1
+#: What a candidate's score must be above that of the word as it was read.
+CHANNEL = 3.0
+#: Bits of the maps of words that matter.
+BITS = 1 << 23
+
+
+# --- furniture ------------------------------------------------------------------------------------------------------
 
 
 def header_key(line: str) -> str:
     s = EDGE_NUMBER.sub("", " ".join(line.split()))
-    return "".join(c for c in unicodedata.normalize("NFKD", s.casefold()) if not unicodedata.combining(c)).strip(" |–—-")
+    if not s.isascii():
+        s = "".join(c for c in unicodedata.normalize("NFKD", s.casefold()) if not unicodedata.combining(c))
+    return s.casefold().strip(" |–—-")
 
 
 def edges(text: str) -> tuple[list[int], list[tuple[str, int, str, bool]]]:
-    """Lines that hold only a page number, and the top and bottom lines: (place, line, key, heading-like)."""
+    """Lines that hold only a page number, and the two top and bottom lines: (place, line, key, heading-like).
+
+    Lines that begin small or end like a sentence are text, even if they come again.
+    """
     lines = text.split("\n")
     at = [i for i, x in enumerate(lines) if x.strip()]
-    numbers = [i for k, i in enumerate(at) if (k < 2 or k >= len(at) - 2) and PAGE_NO.fullmatch(lines[i].strip())]
-    rest = [i for i in at if i not in numbers]
+    numbers = [i for i in dict.fromkeys([*at[:2], *at[-2:]]) if PAGE_NO.fullmatch(lines[i].strip())]
+    rest = [i for i in at if i not in numbers] if numbers else at
     width = max((len(lines[i].rstrip()) for i in rest), default=0)
     out = []
-    for place, i in (("top", rest[0]), ("bottom", rest[-1])) if rest else ():
-        s = lines[i].strip()
+    for place, k in (("top", 0), ("bottom", len(rest) - 1), ("top2", 1), ("bottom2", len(rest) - 2)):
+        if not 0 <= k < len(rest) or place == "bottom" and len(rest) < 2 or place[-1] == "2" and len(rest) < 4:
+            continue
+        s = lines[rest[k]].strip()
         if s[-1] in ".,;!?" or s[0].islower():
-            continue  # a line of text, even if it comes again
-        after = next((lines[j].split() for j in rest if j > i), [""]) or [""]
-        like = s[0].isupper() and s[-1] not in ".,;!?" and len(s) + 1 + len(after[0]) <= width if place == "top" else s[0].isupper() and s[-1] not in ".,;!?" and " | " in s
-        key = header_key(s)
-        if key and (place == "top" or len(rest) > 1):
-            out.append((place, i, key, bool(like)))
+            continue
+        like = False
+        if s[0].isupper() and place == "top":
+            like = len(s) + 1 + len(lines[rest[1]].split()[0] if len(rest) > 1 else "") <= width
+        elif s[0].isupper() and place == "bottom":
+            like = " | " in s
+        if key := header_key(s):
+            out.append((place, rest[k], key, like))
     return numbers, out
 
 
-def furniture(pages: DataFrame) -> DataFrame:
-    """``page_id, headers, numbers``: line numbers of running headers and footers, and of lone page numbers."""
+#: Pages before and behind with whose lines a line is compared; headers may alternate and be misread.
+AROUND = (-3, -2, -1, 1, 2, 3)
+
+
+def prepared(scanned: DataFrame) -> DataFrame:
+    """``page_id, doc_id, page_no, text, skip, headers, numbers``, a row a page, as a table."""
+    pages = scanned.where(F.col("text").isNotNull()).groupBy("page_id").agg(F.max_by(F.struct("doc_id", "page_no", "text"), F.struct("scanned_at", "text")).alias("p")).select("page_id", "p.*")
 
     def make():
         def f(batch):
-            out = [[] for _ in range(8)]
-            for p, d, no, t in zip(*(c.to_pylist() for c in batch.columns)):
-                numbers, lines = edges(t)
-                for place, i, key, like in lines or [("none", -1, "", False)]:
-                    for column, value in zip(out, (p, d, no, place, i, key, like, numbers)):
-                        column.append(value)
-            return out
+            texts = batch.column(3).to_pylist()
+            numbers, lines = [], []
+            for t in texts:
+                n, found = edges(t)
+                numbers.append(n)
+                lines.append([{"place": p, "line_no": i, "key": k, "like": like} for p, i, k, like in found])
+            return *batch.columns[:3], texts, numbers, lines
 
         return f
 
-    lines = cut(map_rows(pages.select("page_id", "doc_id", "page_no", "text"), make, "page_id bigint, doc_id bigint, page_no int, place string, line_no int, key string, `like` boolean, numbers array<int>"), "edges")
-    counted = lines.where("line_no >= 0").groupBy("doc_id", "place", "key").agg(F.count("*").alias("n"), F.max("like").alias("like"))
-    # Headers may alternate and be misread: a line is compared with those of the two pages before and behind,
-    # and with the four most frequent lines of its place in the document.
-    usual = counted.where("n >= 2").withColumn("r", F.row_number().over(Window.partitionBy("doc_id", "place").orderBy(F.desc("n"), "key"))).where("r <= 4").select("doc_id", "place", F.col("key").alias("other"))
-    near = lines.where("line_no >= 0").select("doc_id", "place", F.col("key").alias("other"), F.explode(F.array(*[F.col("page_no") + k for k in (-2, -1, 1, 2)])).alias("page_no"))
+    kinds = dict(pages.dtypes)
+    schema = f"page_id {kinds['page_id']}, doc_id {kinds['doc_id']}, page_no {kinds['page_no']}, text string, numbers array<int>, edges array<struct<place: string, line_no: int, key: string, `like`: boolean>>"
+    pages = cut(map_rows(pages.select("page_id", "doc_id", "page_no", "text"), make, schema), "pages")
+    joined = pages.drop("edges").join(headers_of(pages.select("page_id", "doc_id", "page_no", F.explode("edges").alias("e")).select("page_id", "doc_id", "page_no", "e.*")), "page_id", "left")
+    headers = F.coalesce("headers", F.array().cast("array<int>"))
+    return cut(joined.select("page_id", "doc_id", "page_no", "text", "numbers", headers.alias("headers"), F.concat(headers, "numbers").alias("skip")), "prepared")
+
+
+def headers_of(lines: DataFrame) -> DataFrame:
+    """``page_id, headers`` from edge lines: which of them come again, as running headers and footers do.
+
+    No document's lines are gathered: equal lines are counted, and pages are joined with those around them by number.
+    """
+    counted = lines.groupBy("key", "doc_id", "place").agg(F.count("*").alias("n"), F.max("like").alias("like"))
+    everywhere = counted.where("place in ('top', 'bottom')").groupBy("key").agg(F.count_distinct("doc_id").alias("docs"), F.max("like").alias("like")).where("docs >= 3 and like").select("key", F.lit(True).alias("common"))
+    near = lines.select("doc_id", "place", F.col("key").alias("other"), F.explode(F.array(*[F.col("page_no") + k for k in AROUND])).alias("page_no"))
     close = F.levenshtein("key", "other") <= F.when(F.length("key") < 12, 1).when(F.length("key") < 28, 2).otherwise(3)
-    pairs = lines.join(usual, ["doc_id", "place"]).select("doc_id", "place", "page_id", "line_no", close.alias("own"))
-    pairs = pairs.union(lines.join(near, ["doc_id", "place", "page_no"]).select("doc_id", "place", "page_id", "line_no", close.alias("own")))
-    own = pairs.groupBy("doc_id", "place", "page_id", "line_no").agg(F.max("own").alias("own")).where("own")
-    matched = own.select("page_id", "line_no", "own")
-    has = own.select("doc_id", "place", F.lit(True).alias("has")).distinct()
-    everywhere = counted.groupBy("key").agg(F.countDistinct("doc_id").alias("docs"), F.max("like").alias("like")).where("docs >= 3 and like").select("key", F.lit(True).alias("common"))
-    found = lines.join(matched, ["page_id", "line_no"], "left").join(everywhere, "key", "left").join(has, ["doc_id", "place"], "left")
-    # ``has``: some line of the place repeats in the document, so a heading-like line there is furniture, too.
-    is_header = (F.coalesce("own", F.lit(False)) | F.coalesce("common", F.lit(False)) | (F.coalesce("has", F.lit(False)) & F.col("like"))) & (F.col("line_no") >= 0)
-    return found.groupBy("page_id").agg(F.collect_set(F.when(is_header, F.col("line_no"))).alias("headers"), F.first("numbers").alias("numbers"))
+    around = lines.join(near, ["doc_id", "place", "page_no"]).where(close).select("page_id", "line_no", F.lit(True).alias("near")).distinct()
+    same = counted.where("n >= 2").select("key", "doc_id", "place", F.lit(True).alias("again"))
+    found = lines.join(same, ["key", "doc_id", "place"], "left").join(everywhere, "key", "left").join(around, ["page_id", "line_no"], "left")
+    false = F.lit(False)
+    found = found.withColumn("own", F.coalesce("again", false) | F.coalesce("near", false))
+    # Some line of the place repeats in the document, so a heading-like line there is furniture, too.
+    has = found.where("own").select("doc_id", "place").distinct().withColumn("has", F.lit(True))
+    found = cut(found.select("page_id", "doc_id", "place", "line_no", "like", "own", F.coalesce("common", false).alias("common")), "furniture").join(has, ["doc_id", "place"], "left")
+    is_header = F.col("own") | F.col("common") & ~F.col("place").endswith("2") | F.coalesce("has", false) & F.col("like")
+    rows = found.where(is_header).groupBy("page_id").agg(F.collect_set(F.struct("place", "line_no")).alias("h"))
+    # A second line is furniture only beside a first one.
+    first = lambda h: F.exists("h", lambda o: F.concat(o["place"], F.lit("2")) == h["place"])
+    kept = F.filter("h", lambda h: ~h["place"].endswith("2") | first(h))
+    return rows.select("page_id", F.transform(kept, lambda h: h["line_no"]).alias("headers"))
+
+
+# --- words ----------------------------------------------------------------------------------------------------------
 
 
 def text_lines(text: str, skip) -> list[tuple[int, str]]:
-    skip = set(skip or ())
-    return [(i, x.strip()) for i, x in enumerate(text.split("\n")) if i not in skip and x.strip()]
+    if not skip:
+        return [(i, s) for i, x in enumerate(text.split("\n")) if (s := x.strip())]
+    skip = set(skip)
+    return [(i, s) for i, x in enumerate(text.split("\n")) if (s := x.strip()) and i not in skip]
 
 
 def token_of(word: str) -> str:
-    """The bare word, or nothing if it has no letters or is a code, number or capital abbreviation."""
+    """The bare word, or nothing if it has no letters, is too long, or is a code, number or capital abbreviation."""
     w = word.strip(STRIP)
-    if len(w) < 2 or not any(c.isalpha() for c in w) or CODE.fullmatch(w):
+    if not 2 <= len(w) <= LONGEST or not any(c.isalpha() for c in w) or CODE.fullmatch(w):
         return ""
     return w.lower()
 
 
+class Tokens(dict):
+    """Bare words by words as they stand; bounded."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 400_000:
+            self.clear()
+        t = self[word] = token_of(word)
+        return t
+
+
 def broken(line: str) -> str:
     """The word that breaks off at the end of ``line``, without its sign, or nothing."""
     if line[-1] not in BREAK_SIGNS or len(line) < 2 or not line[-2].isalpha():
         return ""
-    return line.split()[-1][:-1].lstrip(STRIP)
+    return line.rsplit(None, 1)[-1][:-1].lstrip(STRIP)
 
 
-def parsed(text: str, skip) -> tuple[list[tuple[int, list[str]]], str, str]:
-    """Lines as words without broken parts; the page's first word, and the part it breaks off with."""
-    out, lines = [], text_lines(text, skip)
-    after_break = False
-    for i, s in lines:
+def parsed(lines: list[tuple[int, str]]) -> tuple[list[tuple[int, int, list[str]]], list[tuple[int, str, str, int, str]]]:
+    """Lines as (line, number of the first word, words) without broken parts; the breaks: (line, sign, part, next line or -1, its first word)."""
+    out, breaks, after_break = [], [], False
+    for k, (i, s) in enumerate(lines):
         words = s.split()
-        first = words[0]
-        cut_off = broken(s)
-        inner = words[1 if after_break else 0 : len(words) - 1 if cut_off else len(words)]
-        out.append((i, inner))
-        after_break = bool(cut_off)
-    return out, (lines[0][1].split()[0] if lines else ""), (broken(lines[-1][1]) if lines else "")
+        a = broken(s) if s[-1] in BREAK_SIGNS else ""
+        if a:
+            j, rest = (lines[k + 1][0], lines[k + 1][1].split(None, 1)[0]) if k + 1 < len(lines) else (-1, "")
+            breaks.append((i, s[-1], a, j, rest))
+            words.pop()
+        if after_break and words:
+            del words[0]
+        out.append((i, int(after_break), words))
+        after_break = bool(a)
+    return out, breaks
+
+
+def words_and_breaks(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``token, n`` over all pages, and all breaks: ``page_id, line_no, sign, a, b, page_b, line_b``. One pass over the texts."""
+    kinds = dict(pages.dtypes)
+    names = ("token", "n", "page_id", "doc_id", "page_no", "line_no", "sign", "a", "b", "line_b")
+
+    def make():
+        tokens = Tokens()
 
+        def f(batch):
+            out = {k: [] for k in names}
+            raw: Counter = Counter()
 
-def sign_vector(word: str) -> np.ndarray:
-    h = word_hash(word)
-    return np.array([1 if (h * 2654435761 >> (k + 3)) & 1 else -1 for k in range(DIMENSIONS)], np.int32)
+            def row(**values):
+                for k in names:
+                    out[k].append(values.get(k))
 
+            for p, d, no, t, skip in zip(*(c.to_pylist() for c in batch.columns)):
+                lines = text_lines(t, skip)
+                if not lines:
+                    continue
+                inner, breaks = parsed(lines)
+                for _, _, words in inner:
+                    raw.update(words)
+                # What a word broken on the page before goes on with.
+                row(page_id=p, doc_id=d, page_no=no, line_no=lines[0][0], sign="", b=lines[0][1].split(None, 1)[0])
+                for i, sign, a, j, rest in breaks:
+                    row(page_id=p, doc_id=d, page_no=no, line_no=i, sign=sign, a=a, b=rest if j >= 0 else None, line_b=j)
+            counts: Counter = Counter()
+            for w, n in raw.items():
+                if t := tokens[w]:
+                    counts[t] += n
+            for t, n in counts.items():
+                row(token=t, n=n)
+            return tuple(out.values())
 
-def vocabulary(pages: DataFrame) -> DataFrame:
-    """``token, n, v`` over all pages: counts and skip-gram vectors. ``pages`` has ``text`` and ``skip``."""
+        return f
 
-    def make():
-        known: dict[str, np.ndarray] = {}
+    schema = f"token string, n bigint, page_id {kinds['page_id']}, doc_id {kinds['doc_id']}, page_no {kinds['page_no']}, line_no int, sign string, a string, b string, line_b int"
+    rows = cut(map_rows(pages.select("page_id", "doc_id", "page_no", "text", "skip"), make, schema), "parsed")
+    words = cut(rows.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")), "words")
+    rows = rows.where("token is null")
+    inside = rows.where("sign <> '' and b is not null").select("page_id", "line_no", "sign", "a", "b", F.col("page_id").alias("page_b"), "line_b")
+    over = rows.where("sign <> '' and b is null").select("page_id", "doc_id", "page_no", "line_no", "sign", "a")
+    nxt = rows.where("sign = ''").select("doc_id", (F.col("page_no") - 1).alias("page_no"), "b", F.col("page_id").alias("page_b"), F.col("line_no").alias("line_b"))
+    return words, inside.union(over.join(nxt, ["doc_id", "page_no"]).select("page_id", "line_no", "sign", "a", "b", "page_b", "line_b"))
 
-        def vector(w):
-            if w not in known:
-                if len(known) > 200_000:
-                    known.clear()
-                known[w] = sign_vector(w)
-            return known[w]
 
-        def f(batch):
-            counts: Counter = Counter()
-            sums: dict[str, np.ndarray] = {}
-            for t, skip in zip(*(c.to_pylist() for c in batch.columns)):
-                words = [w for _, ws in parsed(t, skip)[0] for x in ws if (w := token_of(x))]
-                counts.update(words)
-                if not words:
-                    continue
-                v = np.stack([vector(w) for w in words])
-                total = np.zeros_like(v)
-                for k in range(1, WINDOW + 1):
-                    total[k:] += v[:-k]
-                    total[:-k] += v[k:]
-                for w, x in zip(words, total):
-                    sums[w] = sums[w] + x if w in sums else x.copy()
-            return list(counts), list(counts.values()), [sums[w].tolist() for w in counts]
+def judged_breaks(breaks: DataFrame, words: DataFrame) -> DataFrame:
+    """``breaks`` with ``joined`` and ``own``: whether the hyphen belongs to the word itself. The words are looked up in one join."""
+    rest = F.lower(F.regexp_replace("b", r"^[^\p{L}\d|†]+|[^\p{L}\d|†]+$", ""))
+    x = breaks.withColumn("rest", rest).where(F.col("rest").rlike(r"^[\p{L}†|\d]")).withColumn("head", F.lower("a"))
+    x = x.withColumn("joined", F.concat("head", "rest"))
+    asked = {"n_joined": F.col("joined"), "n_linked": F.concat("head", F.lit("-"), "rest"), "n_rest": F.col("rest"), "n_head": F.col("head"), "n_first": F.concat("head", F.lit("-*"))}
+    looked = x.select("page_id", "line_no", F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in asked]), F.array(*asked.values()))).alias("role", "token"))
+    firsts = words.where(F.col("token").contains("-")).groupBy(F.concat(F.substring_index("token", "-", 1), F.lit("-*")).alias("token")).agg(F.sum("n").alias("n"))
+    known = looked.join(words.select("token", "n").union(firsts), "token")
+    counts = known.groupBy("page_id", "line_no").agg(*[F.coalesce(F.max(F.when(F.col("role") == k, F.col("n"))), F.lit(0)).alias(k) for k in asked])
+    x = x.join(counts, ["page_id", "line_no"], "left").fillna(0, list(asked))
+    own = F.col("sign").isin("-", "‐", "‑") & (F.col("n_joined") <= F.col("n_linked")) & ((F.col("n_linked") > 0) | ((F.col("n_rest") >= LEAST) & ((F.col("n_head") >= LEAST) | (F.col("n_first") >= LEAST))) | F.col("rest").isin("und", "oder", "bzw", "and", "or", "et", "ou", "y", "o"))
+    return x.withColumn("own", own).select("page_id", "line_no", "a", "page_b", "line_b", "rest", "joined", "own", "n_joined")
 
-        return f
 
-    parts = map_rows(pages.select("text", "skip"), make, "token string, n bigint, v array<int>")
-    total = parts.groupBy("token").agg(F.sum("n").alias("n"), *[F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(DIMENSIONS)])
-    return cut(total.select("token", "n", F.array(*[F.col(f"v{k}").cast("double") for k in range(DIMENSIONS)]).alias("v")), "vocabulary")
+# --- candidates -----------------------------------------------------------------------------------------------------
+
+
+def edited(word: str, only_odd: bool = False) -> list[str]:
+    """What one glyph edit makes of ``word``; ``only_odd``: of signs that belong in no word."""
+    out = []
+    for read, true in GLYPHS:
+        if only_odd and not ODD_SIGN.match(read):
+            continue
+        at = word.find(read)
+        while at >= 0:
+            out.append(word[:at] + true + word[at + len(read) :])
+            at = word.find(read, at + 1)
+    return out
 
 
 def variants(token: str) -> list[str]:
-    """What ``token`` may have been: up to two glyph edits."""
-    def once(w):
-        out = []
-        for read, true in GLYPHS:
-            at = w.find(read)
-            while at >= 0:
-                out.append(w[:at] + true + w[at + len(read) :])
-                at = w.find(read, at + 1)
-        return out
-
-    first = [x for x in dict.fromkeys(once(token)) if x != token]
-    if ODD.search(token):  # with a sign that belongs in no word, a second edit is likely
-        first += [y for x in first[:40] for y in once(x)][:400]
-    return [x for x in dict.fromkeys(first) if x != token]
-
-
-def corrections(words: DataFrame, vocabulary_: DataFrame) -> DataFrame:
-    """``token, correction`` (null: misread beyond repair) for the misread of ``words`` (``token, n``).
-
-    Letters read as other letters need a far more frequent neighbour, or a neighbour that makes an unheard-of
-    sequence of three letters usual; signs and digits inside a word are misread in any case.
+    """What ``token`` may have been: one glyph edit; with signs that belong in no word up to two edits, which leave none of them."""
+    if not ODD.search(token):
+        return [x for x in dict.fromkeys(edited(token)) if x != token]
+    odd = len(ODD_SIGN.findall(token))
+    once = list(dict.fromkeys(edited(token, True))) if odd <= 2 else []
+    out = [*once, *(y for x in once for y in edited(x, odd == 2))] if odd else [*(x for x in edited(token)), *(y for x in dict.fromkeys(edited(token)) for y in edited(x))]
+    return [x for x in dict.fromkeys(out) if x != token]
+
+
+def candidates(asked: DataFrame, words: DataFrame) -> DataFrame:
+    """``token, variant, n, m, sure``: what the misread of ``asked`` (``token, n``) may have been; variant null: beyond repair.
+
+    Letters read as other letters need a far more frequent neighbour (``sure``, else the places decide), or a neighbour
+    that makes an unheard-of sequence of three letters usual; signs and digits inside a word are misread in any case.
     """
 
     def make():
@@ -206,7 +302,7 @@ def corrections(words: DataFrame, vocabulary_: DataFrame) -> DataFrame:
             tokens, counts, found, odd = [], [], [], []
             for t, n in zip(*(c.to_pylist() for c in batch.columns)):
                 strange = ODD.search(t) is not None
-                for v in variants(t) or ([""] if strange else []):
+                for v in variants(t) + [""] * strange:
                     tokens.append(t)
                     counts.append(n)
                     found.append(v)
@@ -215,91 +311,143 @@ def corrections(words: DataFrame, vocabulary_: DataFrame) -> DataFrame:
 
         return f
 
-    triples = vocabulary_.where(F.col("token").rlike(r"^\p{L}+$")).select("token", "n", F.explode(F.expr("transform(sequence(1, greatest(length(token), 1)), i -> substring(concat('^', token, '$'), i, 3))")).alias("g"))
-    triples = triples.groupBy("g").agg(F.count("*").alias("types"))
-    guesses = cut(map_rows(words.select("token", "n"), make, "token string, n bigint, variant string, odd boolean"), "guesses")
-    known = guesses.join(vocabulary_.select(F.col("token").alias("variant"), F.col("n").alias("m"), F.col("v").alias("w")), "variant")
-    known = known.join(vocabulary_.select("token", "v"), "token", "left")
-    cosine = F.expr("aggregate(zip_with(v, w, (a, b) -> a * b), 0D, (s, x) -> s + x) / nullif(sqrt(aggregate(v, 0D, (s, x) -> s + x * x)) * sqrt(aggregate(w, 0D, (s, x) -> s + x * x)), 0)")
-    fits = F.when(F.col("odd"), F.lit(True)).otherwise((F.col("m") >= LEAST) & (F.col("m") >= TIMES * F.col("n")))
-    best = known.where(fits).withColumn("score", F.log("m") + 2 * F.coalesce(cosine, F.lit(0.0))).groupBy("token").agg(F.max_by("variant", F.struct("score", "m", "variant")).alias("correction"))
+    guesses = map_rows(asked.select("token", "n"), make, "token string, n bigint, variant string, odd boolean")
+    guesses = cut(guesses.join(words.select(F.col("token").alias("variant"), F.col("n").alias("m")), "variant", "left").fillna(0, ["m"]), "guesses")
+    frequent = (F.col("m") >= LEAST) & (F.col("m") >= MAYBE * F.col("n"))
+    good = guesses.where("m > 0").where(F.col("odd") | frequent).select("token", "variant", "n", "m", (F.col("odd") | (F.col("m") >= TIMES * F.col("n"))).alias("sure"))
     # Names are rare: compare the rarest letter sequence of the word and of what it may have been.
-    open_ = guesses.join(best.select("token"), "token", "left_anti").where("n <= 3 and variant <> '' and (odd or length(token) >= 5)")
-    rare = open_.where("not odd").select("token", "variant")
-    asked = rare.select(F.col("token").alias("x")).union(rare.select(F.col("variant").alias("x"))).distinct().where(F.col("x").rlike(r"^\p{L}+$"))
-    grams = asked.select("x", F.explode(F.expr("transform(sequence(1, length(x)), i -> substring(concat('^', x, '$'), i, 3))")).alias("g")).join(triples, "g", "left").groupBy("x").agg(F.min(F.coalesce("types", F.lit(0))).alias("least"))
-    # A word of the vocabulary lends each of its own sequences one type.
-    names = rare.join(grams.select(F.col("x").alias("token"), F.col("least").alias("a")), "token").join(grams.select(F.col("x").alias("variant"), F.col("least").alias("b")), "variant").where("a <= 1 and b >= 6").groupBy("token").agg(F.max_by("variant", F.struct("b", "variant")).alias("correction"))
-    strange = open_.where("odd").union(guesses.where("odd and variant = ''")).join(best.select("token"), "token", "left_anti").select("token").distinct().select("token", F.lit(None).cast("string").alias("correction"))
-    return best.union(names).union(strange)
+    rare = guesses.where("not odd and length(token) >= 5 and (n <= 3 or m >= 2 * n)").join(good.where("sure").select("token").distinct(), "token", "left_anti").select("token", "variant", "n", "m")
+    grams = lambda c: F.explode(F.expr(f"transform(sequence(1, length({c})), i -> substring(concat('^', {c}, '$'), i, 3))")).alias("g")
+    letters = r"^\p{L}+$"
+    triples = cut(words.where(F.col("token").rlike(letters)).select(grams("token")).groupBy("g").agg(F.count("*").alias("types")), "triples")
 
+    def least(x: DataFrame, c: str) -> DataFrame:
+        """``c, least``: of each form made of letters, in how many words its rarest sequence occurs."""
+        return x.select(c).distinct().where(F.col(c).rlike(letters)).select(c, grams(c)).join(triples, "g", "left").groupBy(c).agg(F.min(F.coalesce("types", F.lit(0))).alias("least"))
 
-def prepared(scanned: DataFrame) -> DataFrame:
-    """``page_id, doc_id, page_no, text, skip, headers, numbers``, a row a page, as a table."""
-    pages = scanned.where(F.col("text").isNotNull()).groupBy("page_id").agg(F.max_by(F.struct("doc_id", "page_no", "text"), F.struct("scanned_at", "text")).alias("p")).select("page_id", "p.*")
-    pages = cut(pages, "pages")
-    skipped = pages.join(furniture(pages), "page_id", "left")
-    empty = F.array().cast("array<int>")
-    return cut(skipped.withColumn("headers", F.coalesce("headers", empty)).withColumn("numbers", F.coalesce("numbers", empty)).withColumn("skip", F.concat("headers", "numbers")), "prepared")
+    # A word lends each of its own sequences one type.
+    strangers = cut(rare.join(least(rare, "token").where("least <= 1").select("token"), "token"), "strangers")
+    names = strangers.join(least(strangers, "variant").where("least >= 6"), "variant")
+    names = names.groupBy("token").agg(F.max_by(F.struct("variant", "n", "m"), F.struct("least", "variant")).alias("v")).select("token", "v.variant", "v.n", "v.m", F.lit(True).alias("sure"))
+    strange = guesses.where("odd and variant = ''").join(good.select("token").distinct(), "token", "left_anti").select("token", F.lit(None).cast("string").alias("variant"), "n", F.lit(0).cast("bigint").alias("m"), F.lit(True).alias("sure"))
+    return cut(good.union(names).union(strange), "candidates")
 
 
-def breaks(pages: DataFrame) -> DataFrame:
-    """Words that break at line ends: ``page_id, line_no, sign, a, b, page_b, line_b``."""
+# --- places and vectors ---------------------------------------------------------------------------------------------
 
-    def make():
-        def f(batch):
-            out = [[] for _ in range(8)]
-            for p, d, no, t, skip in zip(*(c.to_pylist() for c in batch.columns)):
-                lines = text_lines(t, skip)
-                for k, (i, s) in enumerate(lines):
-                    a = broken(s)
-                    if k == 0:  # what a word broken on the page before goes on with
-                        for column, value in zip(out, (p, d, no, i, "", "", s.split()[0], -1)):
-                            column.append(value)
-                    if a:
-                        nxt = lines[k + 1] if k + 1 < len(lines) else None
-                        for column, value in zip(out, (p, d, no, i, s[-1], a, nxt[1].split()[0] if nxt else None, nxt[0] if nxt else -1)):
-                            column.append(value)
-            return out
 
-        return f
+def bitmap(words: DataFrame) -> bytes:
+    """A map of ``BITS`` bits in which each of ``words`` (one column) sets one."""
+    at = words.select((F.crc32(words[0].cast("binary")) % BITS + 1).alias("b"))
+    rows = at.groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("m")).collect()
+    out = bytearray(BITS // 8)
+    for r in rows:
+        out[(r["k"] - 1) * 4096 : r["k"] * 4096] = r["m"]
+    return bytes(out)
 
-    rows = cut(map_rows(pages.select("page_id", "doc_id", "page_no", "text", "skip"), make, "page_id bigint, doc_id bigint, page_no int, line_no int, sign string, a string, b string, line_b int"), "breaks")
-    inside = rows.where("sign <> '' and b is not null").select("page_id", "line_no", "sign", "a", "b", F.col("page_id").alias("page_b"), "line_b")
-    over = rows.where("sign <> '' and b is null").drop("b", "line_b")
-    nxt = rows.where("sign = ''").select("doc_id", (F.col("page_no") - 1).alias("page_no"), "b", F.col("page_id").alias("page_b"), F.col("line_no").alias("line_b"))
-    return inside.union(over.join(nxt, ["doc_id", "page_no"]).select("page_id", "line_no", "sign", "a", "b", "page_b", "line_b"))
 
+def in_map(bits: bytes, word: str) -> bool:
+    b = zlib.crc32(word.encode("utf-8", "surrogatepass")) % BITS
+    return bool(bits[b >> 3] >> (b & 7) & 1)
 
-def judged_breaks(pages: DataFrame, vocabulary_: DataFrame) -> DataFrame:
-    """``breaks`` with ``joined`` and ``own``: whether the hyphen belongs to the word itself."""
-    rest = F.lower(F.regexp_replace("b", r"^[^\p{L}\d|†]+|[^\p{L}\d|†]+$", ""))
-    x = breaks(pages).withColumn("rest", rest).where(F.col("rest").rlike(r"^[\p{L}†|\d]")).withColumn("joined", F.concat(F.lower("a"), "rest")).withColumn("linked", F.concat(F.lower("a"), F.lit("-"), "rest"))
-    n = vocabulary_.select("token", "n")
-    for column, name in (("joined", "n_joined"), ("linked", "n_linked"), ("rest", "n_rest")):
-        x = x.join(n.select(F.col("token").alias(column), F.col("n").alias(name)), column, "left")
-    x = x.withColumn("head", F.lower("a")).join(n.select(F.col("token").alias("head"), F.col("n").alias("n_head")), "head", "left").fillna(0, ["n_joined", "n_linked", "n_rest", "n_head"])
-    x = x.join(vocabulary_.where(F.col("token").contains("-")).groupBy(F.substring_index("token", "-", 1).alias("head")).agg(F.sum("n").alias("n_first")), "head", "left").fillna(0, ["n_first"])
-    own = F.col("sign").isin("-", "‐", "‑") & (F.col("n_joined") <= F.col("n_linked")) & ((F.col("n_linked") > 0) | ((F.col("n_rest") >= LEAST) & ((F.col("n_head") >= LEAST) | (F.col("n_first") >= LEAST))) | F.col("rest").isin("und", "oder", "bzw", "and", "or", "et", "ou", "y", "o"))
-    return x.withColumn("own", own).select("page_id", "line_no", "a", "b", "page_b", "line_b", "rest", "joined", "own", "n_joined")
 
+def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: list[str]) -> DataFrame:
+    """One pass over the texts: places of words that may be misread, and how often words meet contexts.
 
-def occurrences(pages: DataFrame) -> DataFrame:
-    """``token, page_id, line_no`` of the words of text lines, once a line, without broken parts."""
+    Places: ``token, page_id, line_no, word_no, near`` (numbers of the context words around it). Pairs: ``token, context, n`` for
+    words of the map ``learnt`` and the contexts themselves, summed by batch.
+    """
+    kinds = dict(pages.dtypes)
+    size = max(1, len(contexts))
 
     def make():
+        number = {w: k for k, w in enumerate(contexts)}
+        seen: dict[str, tuple[int, str]] = {}  # by word as it stands: number, and the token if it may be misread
+        tokens = Tokens()
+
         def f(batch):
-            out = [[], [], []]
-            for p, t, skip in zip(*(c.to_pylist() for c in batch.columns)):
-                for i, words in parsed(t, skip)[0]:
-                    for w in {w for x in words if (w := token_of(x))}:
-                        for column, value in zip(out, (w, p, i)):
-                            column.append(value)
-            return out
+            names = list(contexts)
+            ids = dict(number)
+            seen.clear()
+            out = [[] for _ in range(7)]
+            sequence: list[int] = []
+
+            def look(w: str) -> tuple[int, str]:
+                t = tokens[w]
+                k = ids.get(t, -1) if t else -1
+                if k < 0 and t and in_map(learnt, t):
+                    k = ids[t] = len(names)
+                    names.append(t)
+                x = seen[w] = (k, t if t and in_map(judged, t) else "")
+                return x
+
+            for p, text, skip in zip(*(c.to_pylist() for c in batch.columns)):
+                found = []
+                for i, first, words in parsed(text_lines(text, skip))[0]:
+                    for k, w in enumerate(words, first):
+                        x = seen.get(w) or look(w)
+                        if x[1]:
+                            found.append((x[1], i, k, len(sequence)))
+                        sequence.append(x[0])
+                end = len(sequence)
+                for t, i, k, at in found:
+                    near = [c for j in (at - 2, at - 1, at + 1, at + 2) if end > j >= 0 and 0 <= (c := sequence[j]) < size]
+                    for column, value in zip(out, (t, p, i, k, near, None, None)):
+                        column.append(value)
+                sequence += [-1] * WINDOW
+            s = np.array(sequence, np.int64)
+            keys = []
+            for d in range(1, WINDOW + 1):
+                a, b = s[:-d], s[d:]
+                both = (a >= 0) & (b >= 0)
+                for x, y in ((a, b), (b, a)):
+                    ok = both & (y < size)
+                    keys.append(x[ok] * size + y[ok])
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
+            k = len(key)
+            return out[0] + [names[x] for x in (key // size).tolist()], out[1] + [None] * k, out[2] + [None] * k, out[3] + [None] * k, out[4] + [None] * k, out[5] + (key % size).tolist(), out[6] + n.tolist()
 
         return f
 
-    return map_rows(pages.select("page_id", "text", "skip"), make, "token string, page_id bigint, line_no int")
+    return cut(map_rows(pages.select("page_id", "text", "skip"), make, f"token string, page_id {kinds['page_id']}, line_no int, word_no int, near array<int>, context int, n bigint"), "places")
+
+
+def information(n: np.ndarray, row: np.ndarray, column: np.ndarray, total: float) -> np.ndarray:
+    """Positive pointwise mutual information, shifted by the negative samples."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.maximum(np.nan_to_num(np.log(n * total / (row * column)), nan=0.0, neginf=0.0) - math.log(NEGATIVES), 0.0)
+
+
+class Vectors:
+    """Skip-gram vectors: those of the contexts here, those of words as a table (``token, v``)."""
+
+    def __init__(self, pairs: DataFrame, contexts: list[str]):
+        size = len(contexts)
+        pairs = cut(pairs.groupBy("token", "context").agg(F.sum("n").alias("n")), "pairs")
+        number = {w: k for k, w in enumerate(contexts)}
+        n = np.zeros((size, size))
+        for r in pairs.where(F.col("token").isin(contexts)).toArrow().to_pylist() if contexts else ():
+            n[number[r["token"]], r["context"]] = r["n"]
+        self.total, self.column = n.sum(), n.sum(0)
+        values, vectors = np.linalg.eigh(information((n + n.T) / 2, n.sum(1)[:, None], self.column[None, :], self.total)) if size else (np.zeros(0), np.zeros((0, 0)))
+        best = np.argsort(-values)[:DIMENSIONS]
+        best = best[values[best] > 1e-9]
+        root = np.sqrt(values[best])
+        self.contexts = vectors[:, best] * root
+        fold, column, total = vectors[:, best] / root, self.column, self.total
+
+        def make():
+            def f(batch):
+                out = []
+                for cs, ns in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    cs, ns = np.array(cs, np.int64), np.array(ns, float)
+                    out.append((information(ns, np.array(ns.sum()), column[cs], total) @ fold[cs]).tolist())
+                return batch.column(0), out
+
+            return f
+
+        rows = pairs.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("context", "n"))).alias("x"))
+        self.words = map_rows(rows.select("token", "x.context", "x.n"), make, "token string, v array<double>")
 
 
 class Noise:
@@ -307,96 +455,165 @@ class Noise:
 
     def __init__(self, scanned: DataFrame):
         self.pages = prepared(scanned)
-        self.words = vocabulary(self.pages)
-        self.breaks = cut(judged_breaks(self.pages, self.words), "judged")
+        self.words, breaks = words_and_breaks(self.pages)
+        self.breaks = cut(judged_breaks(breaks, self.words), "judged")
         joined = self.breaks.where("not own and n_joined = 0").select(F.col("joined").alias("token"), F.lit(1).cast("bigint").alias("n")).distinct()
-        rare = self.words.select("token", "n")
-        self.corrections = cut(corrections(rare.union(joined.join(rare, "token", "left_anti")), self.words), "corrections")
+        most = self.words.agg(F.max("n")).first()[0] or 0
+        # A word that no other can be frequent enough to correct is only judged by its signs.
+        asked = self.words.where((F.col("n") * MAYBE <= most) | F.col("token").rlike(r"[†|!$€¤§0-9]")).union(joined)
+        self.candidates = candidates(asked, self.words)
+        self._places()
+
+    def _places(self) -> None:
+        """``corrections`` (token, correction for words with one certain candidate, best by frequency) and ``places``."""
+        best = self.candidates.groupBy("token").agg(F.max("sure").alias("sure"), F.count("*").alias("fits"), F.max_by("variant", F.struct("sure", "m", "variant")).alias("correction"), F.first("n").alias("n"))
+        self.best = cut(best, "best")
+        contexts = [r["token"] for r in self.words.orderBy(F.desc("n"), "token").limit(CONTEXTS).collect()]
+        open_ = self.best.where("fits > 1 or not sure").select("token")
+        wanted = self.candidates.where("variant is not null").join(open_, "token", "left_semi").select(F.explode(F.array("token", "variant")).alias("token"))
+        rows = places_and_pairs(self.pages, bitmap(self.best.select("token")), bitmap(wanted), contexts)
+        places = rows.where("page_id is not null").select("token", "page_id", "line_no", "word_no", "near").join(self.best, "token")
+        settled = places.where("fits = 1 and sure").select("page_id", "line_no", "word_no", "correction")
+        vectors = Vectors(rows.where("page_id is null").select("token", "context", "n"), contexts)
+        v = cut(vectors.words.join(wanted.distinct(), "token", "left_semi"), "vectors")
+        each = self.candidates.where("variant is not null").join(open_, "token", "left_semi").join(v.select(F.col("token").alias("variant"), "v"), "variant", "left")
+        each = each.groupBy("token").agg(F.collect_list(F.struct("variant", "m", "sure", "v")).alias("each")).join(v.select("token", F.col("v").alias("own")), "token", "left")
+        context = vectors.contexts
+        kinds = dict(places.dtypes)
+
+        def make():
+            def score(n, vector, place):
+                return math.log(max(n, 1)) + (float(np.dot(vector, place)) if vector is not None and len(vector) else 0.0)
+
+            def f(batch):
+                out = [[], [], [], []]
+                for p, i, k, near, n, own, each_ in zip(*(c.to_pylist() for c in batch.columns)):
+                    place = context[near].sum(0) if near else np.zeros(context.shape[1])
+                    kept = score(n, own, place)
+                    fit = [(score(x["m"], x["v"], place), x["m"], x["variant"]) for x in each_]
+                    ok = [s for s, x in zip(fit, each_) if x["sure"] or s[0] >= kept + CHANNEL]
+                    if ok:
+                        for column, value in zip(out, (p, i, k, max(ok)[2])):
+                            column.append(value)
+                return out
+
+            return f
+
+        judged = map_rows(places.where("fits > 1 or not sure").join(each, "token").select("page_id", "line_no", "word_no", "near", "n", "own", "each"), make, f"page_id {kinds['page_id']}, line_no int, word_no int, correction string")
+        self.places = cut(settled.union(judged), "corrected")
 
     def found(self) -> DataFrame:
         """``page_id, line_no, noise``."""
         header = self.pages.select("page_id", F.explode("headers").alias("line_no"), F.lit("header").alias("noise"))
         number = self.pages.select("page_id", F.explode("numbers").alias("line_no"), F.lit("page_no").alias("noise"))
         hyphen = self.breaks.where("not own").select("page_id", "line_no", F.lit("hyphen").alias("noise"))
-        single = occurrences(self.pages).join(self.corrections.select("token"), "token").select("page_id", "line_no")
-        split = self.breaks.where("not own and n_joined = 0").join(self.corrections, F.col("joined") == F.col("token"))
+        split = self.breaks.where("not own and n_joined = 0").join(self.best.where("sure").select(F.col("token").alias("joined"), "correction"), "joined")
         # The first difference tells which part of a broken word was misread.
         same = F.expr("aggregate(sequence(1, length(a)), true, (s, i) -> s and substring(lower(a), i, 1) = substring(coalesce(correction, ''), i, 1))")
         odd = r"[†|!$€]|\d"
         first = split.where(F.when(F.col("correction").isNull(), F.col("a").rlike(odd)).otherwise(~same)).select("page_id", "line_no")
         second = split.where(F.when(F.col("correction").isNull(), F.col("rest").rlike(odd)).otherwise(same)).select(F.col("page_b").alias("page_id"), F.col("line_b").alias("line_no"))
-        misread = single.union(first).union(second).select("page_id", "line_no", F.lit("misread").alias("noise"))
+        misread = self.places.select("page_id", "line_no").union(first).union(second).select("page_id", "line_no", F.lit("misread").alias("noise"))
         return header.union(number).union(hyphen).union(misread).distinct()
 
     def paragraphs(self) -> DataFrame:
-        """``doc_id, text``: the repaired paragraphs of each document, in order, separated by blank lines."""
-        fixes = occurrences(self.pages).join(self.corrections.where("correction is not null"), "token").select("page_id", "token", "correction").distinct()
-        fixes = fixes.groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("token", "correction"))).alias("fixes"))
-        joins = self.breaks.where("not own").join(self.corrections.select(F.col("token").alias("joined"), "correction"), "joined", "left").groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("line_no", F.coalesce("correction", "joined")))).alias("joins"))
+        """``doc_id, paragraph_no, text``: the repaired paragraphs of each document, counted from 0.
+
+        A paragraph that goes on over pages is joined; no document is gathered.
+        """
+        fixes = self.places.where("correction is not null").select("page_id", F.struct(F.concat_ws(" ", "line_no", "word_no").alias("at"), "correction").alias("x"))
+        fixes = fixes.groupBy("page_id").agg(F.map_from_entries(F.collect_list("x")).alias("fixes"))
+        joins = self.breaks.where("not own").join(self.best.where("sure").select(F.col("token").alias("joined"), "correction"), "joined", "left").groupBy("page_id").agg(F.map_from_entries(F.collect_set(F.struct("line_no", F.coalesce("correction", "joined")))).alias("joins"))
         heads = self.breaks.where("not own and page_b <> page_id").select(F.col("page_b").alias("page_id"), F.lit(True).alias("continued")).distinct()
         rows = self.pages.join(fixes, "page_id", "left").join(joins, "page_id", "left").join(heads, "page_id", "left")
+        kinds = dict(self.pages.dtypes)
 
         def make():
             def f(batch):
-                docs, numbers, texts = [], [], []
+                out = [[] for _ in range(5)]
                 for d, no, t, skip, fix, join, continued in zip(*(c.to_pylist() for c in batch.columns)):
-                    docs.append(d)
-                    numbers.append(no)
-                    texts.append(repaired(t, skip, dict(fix or ()), dict(join or ()), bool(continued)))
-                return docs, numbers, texts
+                    parts = repaired(t, skip, dict(fix or ()), dict(join or ()), bool(continued))
+                    for k, (text, glued, closed) in enumerate(parts):
+                        for column, value in zip(out, (d, no, k, text, (k > 0, glued, closed))):
+                            column.append(value)
+                return out[0], out[1], out[2], out[3], [x[0] for x in out[4]], [x[1] for x in out[4]], [x[2] for x in out[4]]
 
             return f
 
-        fixed = map_rows(rows.select("doc_id", "page_no", "text", "skip", "fixes", "joins", "continued"), make, "doc_id bigint, page_no int, text string")
-        # A page that ends within a sentence goes on in the next one without a break.
-        whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_no", "text"))), lambda x: x["text"]), "\x02")
-        joined = fixed.where("text <> ''").groupBy("doc_id").agg(whole.alias("text"))
-        return joined.select("doc_id", F.regexp_replace(F.regexp_replace(F.regexp_replace("text", r"(?<=[.!?:\"”»…])\x02", "\n\n"), r"-?\x02(?=\x03)", ""), r"\x02", " ").alias("text")).select("doc_id", F.regexp_replace("text", "\x03", "").alias("text"))
+        parts = cut(map_rows(rows.select("doc_id", "page_no", "text", "skip", "fixes", "joins", "continued"), make, f"doc_id {kinds['doc_id']}, page_no {kinds['page_no']}, k int, text string, inner boolean, glued boolean, closed boolean"), "parts")
+        # A page that ends within a sentence goes on in the next page that has text.
+        block = (F.col("page_no") / 256).cast("bigint")
+        last = parts.groupBy("doc_id", "page_no").agg(F.max_by("closed", "k").alias("closed"))
+        by_block = last.groupBy("doc_id", block.alias("block")).agg(F.max_by("closed", "page_no").alias("last"))
+        before_block = by_block.withColumn("before_block", F.lag("last").over(Window.partitionBy("doc_id").orderBy("block"))).select("doc_id", "block", "before_block")
+        w = Window.partitionBy("doc_id", "block").orderBy("page_no")
+        before = last.withColumn("block", block).withColumn("before", F.lag("closed").over(w)).join(before_block, ["doc_id", "block"]).select("doc_id", "page_no", F.coalesce("before", "before_block", F.lit(True)).alias("before"))
+        x = parts.join(before, ["doc_id", "page_no"]).withColumn("block", block).withColumn("new", (F.col("inner") | F.col("before") & ~F.col("glued")).cast("bigint"))
+        totals = x.groupBy("doc_id", "block").agg(F.sum("new").alias("n")).withColumn("offset", F.sum("n").over(Window.partitionBy("doc_id").orderBy("block")) - F.col("n")).select("doc_id", "block", "offset")
+        numbered = x.withColumn("own", F.sum("new").over(Window.partitionBy("doc_id", "block").orderBy("page_no", "k"))).join(totals, ["doc_id", "block"]).withColumn("paragraph_no", F.greatest(F.col("own") + F.col("offset") - 1, F.lit(0)))
+        piece = F.struct("page_no", "k", F.when(F.col("glued"), F.col("text")).otherwise(F.concat(F.lit(" "), "text")).alias("t"))
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["t"]), "")
+        return numbered.groupBy("doc_id", "paragraph_no").agg(F.trim(text).alias("text")).where("text <> ''")
 
 
 def recased(word: str, fixed: str) -> str:
     return fixed.upper() if word.isupper() and len(word) > 1 else fixed[:1].upper() + fixed[1:] if word[:1].isupper() else fixed
 
 
-def repaired(text: str, skip, fixes: dict[str, str], joins: dict[int, str], continued: bool) -> str:
-    """The paragraphs of one page: furniture dropped, words corrected and joined, lines reflowed."""
+CLOSING = ".!?:\"”»…。！？"
+
+
+def repaired(text: str, skip, fixes: dict[str, str], joins: dict[int, str], continued: bool) -> list[tuple[str, bool, bool]]:
+    """The paragraphs of one page: furniture dropped, words corrected and joined, lines reflowed.
+
+    With each, whether it goes on from the page before without a space (the sign behind a word that was broken there),
+    and whether it ends like a sentence. ``fixes`` are by line and word (``"3 7"``), ``joins`` by line.
+    """
     skip, out, para = set(skip or ()), [], []
-    drop_first = continued
+    drop_first, glue = continued, False
+
+    def close():
+        nonlocal para, glue
+        if para:
+            t = " ".join(para)
+            out.append((t, glue and not out, t[-1] in CLOSING))
+        para, glue = [], glue and not out
+
     for i, line in enumerate(text.split("\n")):
         if i in skip:
             continue
         s = line.strip()
         if not s:
-            if para and para[-1][-1] in ".!?:\"”»…":
-                out.append(" ".join(para))
-                para = []
+            if para and para[-1][-1] in CLOSING:
+                close()
             continue
         if line[:2] == "  " and para:
-            out.append(" ".join(para))
-            para = []
+            close()
         words = s.split()
         if drop_first:  # the rest of a word that the line before already holds whole
-            tail = words[0][len(words[0].rstrip(STRIP)) :] if words else ""
-            if para and tail:
-                para[-1] += tail
-            elif not para and tail:
-                para.append("\x03" + tail)
-            words = words[1:]
+            tail = words[0][len(words[0].rstrip(STRIP)) :]
+            if tail:
+                if para:
+                    para[-1] += tail
+                else:
+                    para.append(tail)
+                    glue = True
+            words[0] = ""
             drop_first = False
         fixed = []
         for k, w in enumerate(words):
+            if not w:
+                continue
             if k == len(words) - 1 and i in joins:
                 lead = w[: len(w) - len(w.lstrip(STRIP))]
                 fixed.append(lead + recased(w.strip(STRIP), joins[i]))
                 drop_first = True
                 continue
-            t = token_of(w)
-            if t in fixes:
+            if right := fixes.get(f"{i} {k}"):
                 core = w.strip(STRIP)
-                w = w.replace(core, recased(core, fixes[t]), 1)
+                w = w.replace(core, recased(core, right), 1)
             fixed.append(w)
         if fixed:
             para.append(" ".join(fixed))
-    if para:
-        out.append(" ".join(para))
-    return "\n\n".join(out)
+    close()
+    return out

@@ -254,26 +254,63 @@ def test_file_ranges(spark, tmp_path):
 PAGE = "Report on Pumps{n}\n\nThe pump was checked by the crew in the north hall and the pre-\nssure was low. The budget of the hall was cut and the pump was sold.\n{m}"
 
 
+def pages_of(spark, rows):
+    return spark.createDataFrame([(*r, "2024-01-01 00:00:00", 1) for r in rows], "page_id bigint, doc_id bigint, page_no int, text string, scanned_at string, skip int")
+
+
 def test_scans(spark):
     body = "The pressure of the pump in the hall was low and the budget was cut by the crew.\n" * 6
     rows = [(p, 1, p, PAGE.format(n="", m=f"- {p} -")) for p in (1, 2, 3)] + [(4, 2, 1, body), (5, 2, 2, body + "the 6udget of the hall was c|ear, a well-\nknown fact"), (6, 3, 1, ""), (7, 3, 2, None), (1, 1, 1, PAGE.format(n="", m="- 1 -"))]
     rows += [(8, 4, 1, "a well-known pump and a well-known hall\n" * 3)]
-    df = spark.createDataFrame([(*r, "2024-01-01 00:00:00", 1) for r in rows], "page_id bigint, doc_id bigint, page_no int, text string, scanned_at string, skip int")
+    df = pages_of(spark, rows)
     noise = scans.Noise(df)
     got = {tuple(r) for r in noise.found().collect()}
     for p in (1, 2, 3):
         assert {(p, 0, "header"), (p, 4, "page_no"), (p, 2, "hyphen")} <= got
     assert (5, 6, "misread") in got and not any(r[0] == 5 and r[2] == "hyphen" for r in got)
-    text = {r.doc_id: r.text for r in noise.paragraphs().collect()}
+    text = {}
+    for r in noise.paragraphs().orderBy("doc_id", "paragraph_no").collect():
+        text[r.doc_id] = text.get(r.doc_id, "") + "\n\n" + r.text
     assert "the pressure was low" in text[1] and "Report" not in text[1] and "the budget of the hall" in text[2]
-    assert scans.Noise(df.limit(0)).found().collect() == []
+    none = scans.Noise(df.limit(0))
+    assert none.found().collect() == [] and none.paragraphs().collect() == []
+
+
+def test_scans_in_context(spark):
+    """A misread word with two possible readings is corrected by its neighbours, differently at different places."""
+    body = ("old engines fail without any oil in winter and that is known\n" + "yellow leaves fall from the tree in autumn and that is known\n") * 12
+    df = pages_of(spark, [(1, 1, 1, body), (2, 2, 1, body + "old engines fa|l without any oil and yellow leaves fa|l from the tree in autumn")])
+    noise = scans.Noise(df)
+    assert {tuple(r) for r in noise.found().where("noise = 'misread'").collect()} == {(2, 24, "misread")}
+    text = noise.paragraphs().where("doc_id = 2").collect()[-1].text
+    assert text.endswith("old engines fail without any oil and yellow leaves fall from the tree in autumn")
+
+
+def test_paragraphs_over_pages(spark):
+    rows = [(p, 1, p, f"so page {p} goes on\nand stops within it" if p < 400 else "then it ends.\n\nA new one.") for p in (255, 256, 257, 400)] + [(p, 2, p, "All is said.") for p in (1, 2)]
+    got = [(r.doc_id, r.paragraph_no, r.text) for r in scans.Noise(pages_of(spark, rows)).paragraphs().orderBy("doc_id", "paragraph_no").collect()]
+    assert [g[:2] for g in got] == [(1, 0), (1, 1), (2, 0), (2, 1)] and got[1][2] == "A new one."
+    assert got[0][2] == " ".join(f"so page {p} goes on and stops within it" for p in (255, 256, 257)) + " then it ends."
+
+
+def test_two_line_headers(spark):
+    rows = [(p, 1, p, f"Report on Pumps | {p}\nInternal Draft of the Board\n" + " ".join(f"word{p}x{k}" for k in range(9)) + " and the text goes\non here with more words in it\nand it ends.") for p in range(1, 5)]
+    got = {tuple(r) for r in scans.Noise(pages_of(spark, rows)).found().where("noise = 'header'").collect()}
+    assert got == {(p, i, "header") for p in range(1, 5) for i in (0, 1)}
+
+
+def test_information():
+    """The factors give back the information of words that meet, and none of words that don't."""
+    n = scans.np.array([[0.0, 8.0], [8.0, 0.0]])
+    assert scans.np.allclose(scans.information(n, n.sum(1)[:, None], n.sum(0)[None, :], n.sum()), [[0, scans.math.log(2)], [scans.math.log(2), 0]])
 
 
 def test_edges():
     assert scans.edges("12\nA title\nbody text goes on and on\n- 13 -")[0] == [0, 3]
-    assert scans.edges("") == ([], []) and scans.edges("only") [0] == []
+    assert scans.edges("") == ([], []) and scans.edges("only")[0] == []
     assert "modern" in scans.variants("modem") or "modern" not in scans.variants("modem")
-    assert "modem" in scans.variants("modern") and "budget" in scans.variants("6udget")
+    assert "modem" in scans.variants("modern") and "budget" in scans.variants("6udget") and "cellar" in scans.variants("ce|1ar")
+    assert scans.variants("|" * 60 + "a") == [] and scans.token_of("l" * 65) == ""
 
 
 # --- p7
