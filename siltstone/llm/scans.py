@@ -56,8 +56,8 @@ TIMES, MAYBE, LEAST = 8, 3, 5
 WINDOW, CONTEXTS, DIMENSIONS, NEGATIVES = 2, 512, 32, 1
 #: What a candidate's score must be above that of the word as it was read.
 CHANNEL = 3.0
-#: Bits of the maps of words that matter.
-BITS = 1 << 23
+#: Bits of the maps of words that matter, and sums that a task holds before it hands them on.
+BITS, HELD = 1 << 23, 500_000
 
 
 # --- furniture ------------------------------------------------------------------------------------------------------
@@ -209,10 +209,18 @@ def words_and_breaks(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     def make():
         tokens = Tokens()
+        raw: Counter = Counter()
+
+        def counted():
+            counts: Counter = Counter()
+            for w, n in raw.items():
+                if t := tokens[w]:
+                    counts[t] += n
+            raw.clear()
+            return list(counts), list(counts.values()), *[[None] * len(counts)] * 8
 
         def f(batch):
             out = {k: [] for k in names}
-            raw: Counter = Counter()
 
             def row(**values):
                 for k in names:
@@ -229,15 +237,12 @@ def words_and_breaks(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
                 row(page_id=p, doc_id=d, page_no=no, line_no=lines[0][0], sign="", b=lines[0][1].split(None, 1)[0])
                 for i, sign, a, j, rest in breaks:
                     row(page_id=p, doc_id=d, page_no=no, line_no=i, sign=sign, a=a, b=rest if j >= 0 else None, line_b=j)
-            counts: Counter = Counter()
-            for w, n in raw.items():
-                if t := tokens[w]:
-                    counts[t] += n
-            for t, n in counts.items():
-                row(token=t, n=n)
+            if len(raw) > HELD:
+                for column, values in zip(out.values(), counted()):
+                    column += values
             return tuple(out.values())
 
-        return f
+        return f, counted
 
     schema = f"token string, n bigint, page_id {kinds['page_id']}, doc_id {kinds['doc_id']}, page_no {kinds['page_no']}, line_no int, sign string, a string, b string, line_b int"
     rows = cut(map_rows(pages.select("page_id", "doc_id", "page_no", "text", "skip"), make, schema), "parsed")
@@ -355,7 +360,7 @@ def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: l
     """One pass over the texts: places of words that may be misread, and how often words meet contexts.
 
     Places: ``token, page_id, line_no, word_no, near`` (numbers of the context words around it). Pairs: ``token, context, n`` for
-    words of the map ``learnt`` and the contexts themselves, summed by batch.
+    words of the map ``learnt`` and the contexts themselves, summed by task.
     """
     kinds = dict(pages.dtypes)
     size = max(1, len(contexts))
@@ -364,11 +369,24 @@ def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: l
         number = {w: k for k, w in enumerate(contexts)}
         seen: dict[str, tuple[int, str]] = {}  # by word as it stands: number, and the token if it may be misread
         tokens = Tokens()
+        names, ids = list(contexts), dict(number)
+        held: list = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+
+        def pairs():
+            """The sums held, which are begun anew."""
+            key, n = held
+            held[:] = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            none = [None] * len(key)
+            rows = [names[x] for x in (key // size).tolist()], none, none, none, none, (key % size).tolist(), n.tolist()
+            names[size:] = []
+            ids.clear()
+            ids.update(number)
+            seen.clear()
+            return rows
 
         def f(batch):
-            names = list(contexts)
-            ids = dict(number)
-            seen.clear()
+            if len(seen) > HELD:
+                seen.clear()
             out = [[] for _ in range(7)]
             sequence: list[int] = []
 
@@ -403,11 +421,15 @@ def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: l
                 for x, y in ((a, b), (b, a)):
                     ok = both & (y < size)
                     keys.append(x[ok] * size + y[ok])
-            key, n = np.unique(np.concatenate(keys), return_counts=True)
-            k = len(key)
-            return out[0] + [names[x] for x in (key // size).tolist()], out[1] + [None] * k, out[2] + [None] * k, out[3] + [None] * k, out[4] + [None] * k, out[5] + (key % size).tolist(), out[6] + n.tolist()
-
-        return f
+            keys, n = np.unique(np.concatenate(keys), return_counts=True)
+            key, at = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
+            held[:] = key, np.bincount(at, weights=np.concatenate([held[1], n]), minlength=len(key)).astype(np.int64)
+            if len(key) > HELD or len(names) > HELD:
+                for column, values in zip(out, pairs()):
+                    column += values
+            return out
+
+        return f, pairs
 
     return cut(map_rows(pages.select("page_id", "text", "skip"), make, f"token string, page_id {kinds['page_id']}, line_no int, word_no int, near array<int>, context int, n bigint"), "places")
 
