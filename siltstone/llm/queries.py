@@ -22,10 +22,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.kinds_of(table(tune(spark), d, "docs", "doc_id", "content"))
 
 
-def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+def _docs_once(spark: SparkSession, d: str) -> DataFrame:
     docs = table(tune(spark), d, "docs", "doc_id", "source", "content", "loaded_at")
-    once = docs.groupBy("doc_id").agg(F.max_by(F.struct("source", "content"), "loaded_at").alias("d")).select("doc_id", "d.source", "d.content")
-    return markup.clean_documents(once)
+    return docs.groupBy("doc_id").agg(F.max_by(F.struct("source", "content"), "loaded_at").alias("d")).select("doc_id", "d.source", "d.content")
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.clean_documents(_docs_once(spark, d))
+
+
+def p2_templates(spark: SparkSession, d: str) -> DataFrame:
+    return markup.host_templates(_docs_once(spark, d))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -86,22 +86,46 @@ def test_markup_clean(spark):
     assert markup.clean_text("\\section{T}\n\\textbf{a} \\cite{k} \\begin{itemize}\\item x\\end{itemize} $x^2$ and \\[y\\]") == "## T\n\na - x $x^2$ and $$y$$"
     assert markup.clean_text("T\n====\n\n> a **b** `c` [d](e)\n\n```\n*x*\n```") == "# T\n\na b c d\n\n```\n*x*\n```"
     assert markup.clean_text("nothing  at\nall") == "nothing  at\nall" and markup.clean_text(None) == ""
-    rows = [(i, f"H/x{i}.html", f"Site menu\nAbout us\n<p>body {i} {'z' * i}</p>") for i in range(4)] + [(9, None, None), (10, "q", "")]
+    rows = [(i, f"H/x{i}.html", f"Site menu\nAbout us\n<p>body {i} {'z' * i} and more text than the menu has</p>") for i in range(4)] + [(9, None, None), (10, "q", "")]
     got = {r.doc_id: r.clean for r in markup.clean_documents(spark.createDataFrame(rows, "doc_id bigint, source string, content string")).collect()}
-    assert got[2] == "body 2 zz" and got[9] == "" and got[10] == ""
+    assert got[2] == "body 2 zz and more text than the menu has" and got[9] == "" and got[10] == ""
     assert markup.clean_documents(spark.createDataFrame([], "doc_id bigint, source string, content string")).count() == 0
     assert markup.kinds_of(spark.createDataFrame([(1, "<b>x</b>", "a"), (1, "<b>x</b>", "a"), (2, None, "b")], "doc_id bigint, content string, markup string")).collect() == [(1, "html")]
 
 
 def test_template_tokens(spark):
     foot = "This footer is longer than the bound. " * 8
-    page = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/a'>About us</a></li></ul></nav><h2>Topic {0}</h2><p>Text {0}</p><table><tr><td>x{0}</td></tr></table><footer>%s</footer>" % foot
-    wiki = "[[Main page|Start]] | [[Help]]\n== Head {0} ==\n''Text'' {0}\n{{|\n| {0} || y{0}\n|}}\n\n'''Imprint''' of the site"
-    rows = [(i, "html/x", page.format(i)) for i in range(4)] + [(10 + i, "wiki/x", wiki.format(i)) for i in range(4)]
-    rows += [(20 + i, "md/x", f"```\nf({i})\n```\nText {i}\nSite menu\nImprint") for i in range(4)] + [(30 + i, "txt/x", f"Own {i}\nif x > {i}:\n{foot}\nImprint") for i in range(4)]
-    got = {r.doc_id: r.clean for r in markup.clean_documents(spark.createDataFrame(rows, "doc_id bigint, source string, content string")).collect()}
-    assert got[2] == "## Topic 2\n\nText 2\n\n| x2 |" and got[12] == "# Head 2\nText 2\n\n| 2 | y2 |"
-    assert got[22] == "```\nf(2)\n```\nText 2" and got[32] == "Own 2\nif x > 2:"
+    page = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/a'>About us</a></li></ul></nav><h2>Topic {0}</h2><p>The text {0} of page {0} says much more than what stands around it in the footer, because pages are read for their text {0}{1}.</p><ul><li>Step one</li><li>Step {0}</li></ul><pre>return x - 1\nprint(total)</pre><table><tr><td>Sum</td><td>x{0}</td></tr></table><footer>Imprint and more</footer>"
+    wiki = "[[Main page|Start]] | [[Help]]\n== Head {0} ==\n''Text'' {0} that goes on and on about {0} for a good while{1}\n{{|\n| Sum || y{0}\n|}}\n\nAll rights are reserved\n'''Imprint''' of the site"
+    rows = [(i, "html/x", page.format(i, "z" * i)) for i in range(4)] + [(10 + i, "wiki/x", wiki.format(i, "z" * i)) for i in range(4)]
+    rows += [(20 + i, "md/x", f"```\nif x:\n    return x - 1\n```\nText {i} of the page, which is longer than its menu\nif y:\nreturn y\nText {i}\nSite menu\nImprint\nHelp") for i in range(4)] + [(30 + i, "txt/x", f"Own {i}\nif x > {i}:\n{foot * i}{'Own text. ' * 90}{i}\n{foot}\nImprint\nHelp") for i in range(4)]
+    rows += [(40 + i, "copies/x", f"Title of it\nOne text here\nTwo texts here\nThree texts here\nlast edit {i}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, content string")
+    got = {r.doc_id: r.clean for r in markup.clean_documents(docs).collect()}
+    assert got[2] == "## Topic 2\n\nThe text 2 of page 2 says much more than what stands around it in the footer, because pages are read for their text 2zz.\n\n- Step one\n- Step 2\n\n```\nreturn x - 1\nprint(total)\n```\n\n| Sum | x2 |"
+    assert got[12] == "# Head 2\nText 2 that goes on and on about 2 for a good whilezz\n\n| Sum | y2 |"
+    assert got[22] == "```\nif x:\n    return x - 1\n```\nText 2 of the page, which is longer than its menu\nif y:\nreturn y\nText 2"
+    assert "Own text" in got[32] and not got[32].endswith("Help") and got[42].startswith("Title of it") and got[42].endswith("last edit 2")
+    found = markup.host_templates(docs).collect()
+    assert {r.host for r in found} >= {"html", "wiki"} and all(r.tokens >= 3 and r.pages >= 3 for r in found)
+
+
+def test_class_order():
+    """Nested classes name the gap they lie in; overlapping and unordered ones are not regular."""
+    def regular(*rows):
+        return {c: (ok, parent, gap) for c, ok, _, parent, gap in markup.class_order(list(rows))}
+
+    outer, inner = [(1, 10, [0]), (1, 11, [5]), (1, 12, [9])], [(2, 20, [1, 3]), (2, 21, [2, 4])]
+    assert regular(*outer, *inner) == {1: (True, 0, 0), 2: (True, 1, 0)}
+    assert regular(*outer, (2, 20, [1, 6]), (2, 21, [2, 7]))[2][0] is False
+    assert regular((1, 10, [0]), (1, 11, [2]), (2, 20, [1]), (2, 21, [3])) == {1: (False, 0, 0), 2: (False, 1, 0)}
+    assert regular((1, 10, [0, 3]), (1, 11, [1, 2]))[1][0] is False
+
+
+def test_unbounded_marks():
+    long = "x" * 900
+    assert markup.markup_kinds(f"**{long}**") == ["markdown"] and markup.markup_kinds(f"$$a_1 + {long}$$") == ["latex"] and "wiki" in markup.markup_kinds("{{" + long + "}}")
+    assert markup.clean_wiki("a {{x|{{y|{{z|{{q|1}}}}}}}} b {{c") == "a  b {{c" and markup.clean_latex("\\textbf{" * 6 + "deep" + "}" * 6) == "deep"
 
 
 # --- p3
