@@ -8,14 +8,17 @@ verified on the words themselves.
 
 Candidates come from keys that both sets must share:
 
-* words in at most ``RARE`` sets (by counts over all sets, hashed to a table of fixed size), as far as the prefix
-  filter needs them: the first |A| - ceil(s |A|) + 1 words in order of frequency;
-* sets that share no rare word differ in all of theirs, so little difference is left for their other words: these are
-  cut by hash into more groups than differences can be left, and some group must be the same in both sets.
-
-* if all unchanged groups may be empty, which takes sets whose frequent words fill no more groups than differences can be
-  left, the group keys do not suffice. Both sets then also have a key for every ``SHARED`` words of their extended prefix:
-  sets that share t words share k of their first |A| - t + k words in one order, so no pair is missed.
+* words in at most ``RARE`` sets, as far as the prefix filter needs them: the first |A| - ceil(s |A|) + 1 words in order
+  of frequency. Frequencies are counted over all sets in a table with a cell or more for each set (at most 2^24 cells),
+  whose counts are never too low;
+* sets that share no rare word differ in all of theirs, so at most ``left`` differences remain for their frequent words.
+  These are dealt by hash into parts of four; if there are parts enough, one of them holds at most two differences, so
+  two of its four quarters are equal, and all six ways to choose them are keys. A key then stands for as many words at
+  every size of the collection. Sets have keys for all numbers of parts up to their own; two sets are compared where
+  that number is the least they need. Sets of less than eight words have one part, and keys for three of its quarters.
+
+No pair is lost, whatever the words. Keys shared by more than ``BLOCK`` sets are spread over tasks by blocks of sets,
+most of them already in the shuffle (they are found by the keys of every 64th set), the rest behind it.
 
 Nulls count as empty texts; sets without words have no partners. Repeated rows count once.
 """
@@ -39,13 +42,11 @@ from siltstone.llm.splits import connected_components
 SIMILARITY = 0.8
 #: Words in at most so many sets are rare.
 RARE = 128
-#: Words in a key of sets of few groups. Sets with a partner share at least so many.
-SHARED = 4
-#: Cells of the frequency table that every task gets (one byte each).
-CELLS = 1 << 20
 BITS, PIVOTS = 256, 16
 #: By bit and pivot: whether a bit of a record adds to or takes from its distance to the pivot.
 _PIVOT_BITS = np.random.default_rng(7).integers(0, 2, (BITS, PIVOTS))
+#: Sets whose keys tell which ones are hot: one of so many.
+HOT_SHARE = 64
 
 
 class Ids(dict):
@@ -70,7 +71,7 @@ def word_sets(records: DataFrame, key: str, columns: list[str]) -> DataFrame:
             sigs, sets = [], []
             for parts in zip(*texts):
                 text = " ".join(p for p in parts if p).lower()
-                words = np.unique(np.array([ids[w] for w in set(WORD.findall(text))], np.uint32)).tobytes()
+                words = np.array(sorted({ids[w] for w in set(WORD.findall(text))}), np.uint32).tobytes()
                 sets.append(words)
                 sigs.append(int.from_bytes(hashlib.blake2b(words, digest_size=8).digest(), "little", signed=True))
             return keys, sigs, sets
@@ -81,22 +82,31 @@ def word_sets(records: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 
 def frequencies(sets: DataFrame) -> bytes:
-    """For each cell of hashed words, the logarithm of its count over all sets, and 255 beyond ``RARE``."""
+    """For each cell of hashed words, the logarithm of its count over all sets, and 255 beyond ``RARE``.
+
+    The cells (one byte each) are as many as the next power of two behind eight times the sets, from 2^16 to 2^24.
+    """
+    cells = 1 << min(24, max(16, (8 * sets.count()).bit_length()))
 
     def make():
+        total = np.zeros(cells, np.int64)
+
         def f(batch):
             words = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32)
-            n = np.bincount(words % CELLS, minlength=CELLS)
-            cells = np.flatnonzero(n)
-            return cells, n[cells]
+            at, n = np.unique(words % np.uint32(cells), return_counts=True)
+            total[at] += n
 
-        return f
+        def rest():
+            at = np.flatnonzero(total)
+            return at, total[at]
+
+        return f, rest
 
-    total = np.zeros(CELLS, np.int64)
+    total = np.zeros(cells, np.int64)
     sums = map_rows(sets.select("words"), make, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     total[sums.column("cell").to_numpy()] = sums.column("n").to_numpy()
-    level = np.minimum(254, np.ceil(16 * np.log2(np.maximum(total, 1)) / 1.0))
-    return np.where(total > RARE, 255, np.minimum(level, 254)).astype(np.uint8).tobytes()
+    level = np.minimum(254, np.ceil(16 * np.log2(np.maximum(total, 1))))
+    return np.where(total > RARE, 255, level).astype(np.uint8).tobytes()
 
 
 def pivot_distances(rows: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
@@ -111,90 +121,118 @@ def pivot_distances(rows: np.ndarray, words: np.ndarray, n: int) -> np.ndarray:
     return np.clip(out, 0, 255)
 
 
-def keys_of(words: np.ndarray, level: np.ndarray) -> list[int]:
-    """The keys by which a set meets all its partners."""
-    n = len(words)
-    prefix = n - math.ceil(SIMILARITY * n - 1e-9) + 1
-    rank = level[words % CELLS]
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A hash of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+#: Numbers of parts, and how many differences each bears: some part has at most two.
+PARTS = [1, 2, 3, *sorted(n << k for n in (2, 3) for k in range(1, 31))]
+BEARS = np.array([3 * n - 1 for n in PARTS])
+PAIRS_OF_QUARTERS, TRIPLES_OF_QUARTERS = tuple(combinations(range(4), 2)), tuple(combinations(range(4), 3))
+#: Sets of fewer words have keys for three quarters of one part, which bear one difference; sets up to SMALL words meet them there.
+FEW, SMALL = 8, 8
+
+
+def keys_of(words: np.ndarray, rows: np.ndarray, size: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys by which sets meet all their partners: (key, row, whether pairs of which this is one are compared here).
+
+    ``words`` of all sets one behind the other, ``rows`` their sets' numbers, ``size`` the sets' sizes.
+    """
+    n = len(size)
+    rank = level[words % np.uint32(len(level))]
     rare = rank < 255
-    some = words[rare]
-    out = [int(w) for w in some[np.lexsort((some, rank[rare]))[:prefix]]]
+    prefix = size - np.ceil(SIMILARITY * size - 1e-9).astype(np.int64) + 1
+    w, r, k = words[rare], rows[rare], rank[rare]
+    order = np.lexsort((w, k, r))
+    w, r = w[order], r[order]
+    count = np.bincount(r, minlength=n)
+    place = np.arange(len(r)) - np.repeat(np.cumsum(count) - count, count)
+    first = place < prefix[r]
+    keys, at, meets = [w[first].astype(np.int64)], [r[first]], [np.ones(int(first.sum()), bool)]
     # Of all partners, the largest difference that is left for frequent words if no rare word is shared.
-    left = math.floor(n * (1 / SIMILARITY - 1) + 1e-9) - len(some)
-    if left >= 0:
-        common = words[~rare].astype(np.uint64)
-        mixed = (common * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(20)
-        value = (common + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        value ^= value >> np.uint64(29)
-        value *= np.uint64(0xBF58476D1CE4E5B9)
-        groups, few = 1, False
-        while True:
-            g = (mixed % np.uint64(groups)).astype(np.int64)
-            sums, sizes = np.zeros(groups, np.uint64), np.bincount(g, minlength=groups)
-            np.add.at(sums, g, value)
-            for k in np.flatnonzero(sizes):
-                out.append(int.from_bytes(hashlib.blake2b(b"%d.%d.%d" % (groups, k, sums[k]), digest_size=8).digest(), "little", signed=True) | (1 << 62))
-            # A partner may differ in all groups that hold words, but in less than ``groups``.
-            few |= 0 < np.count_nonzero(sizes) <= min(left, groups - 1)
-            if groups > left:
-                break
-            groups *= 2
-        if few:
-            first = words[np.lexsort((words, rank))[: prefix - 1 + SHARED]].tolist()
-            for some_words in combinations(first, SHARED):
-                out.append(int.from_bytes(hashlib.blake2b(b"%d,%d,%d,%d" % some_words, digest_size=8).digest(), "little", signed=True) | (1 << 62))
-    return out
+    left = np.floor(size * (1 / SIMILARITY - 1) + 1e-9).astype(np.int64) - count
+    open_ = (left >= 0) & (size >= 4)
+    top = np.where(size < FEW, -1, np.searchsorted(BEARS, np.maximum(left, 0)))
+    w, r = words[~rare].astype(np.uint64), rows[~rare]
+    value = mixed(w + np.uint64(0x9E3779B97F4A7C15))
+    spread = mixed(value)
+
+    def of_level(index: int, parts: int, chosen: tuple, some: np.ndarray) -> None:
+        ids = np.flatnonzero(some)
+        if not len(ids):
+            return
+        number = np.full(n, -1)
+        number[ids] = np.arange(len(ids))
+        here = number[r] >= 0
+        cell = (number[r[here]] * parts + (spread[here] >> np.uint64(8)).astype(np.int64) % parts) * 4 + (spread[here] & np.uint64(3)).astype(np.int64)
+        sums = np.zeros(len(ids) * parts * 4, np.uint64)
+        np.add.at(sums, cell, value[here])
+        sums = sums.reshape(len(ids) * parts, 4)
+        for c, quarters in enumerate(chosen):
+            tag = mixed(np.uint64(c) + (np.uint64(8) * np.arange(parts, dtype=np.uint64)) + np.uint64(index + 2) * np.uint64(1 << 40))
+            total = sums[:, list(quarters)].sum(1, dtype=np.uint64).reshape(len(ids), parts) + tag
+            keys.append((mixed(total).view(np.int64) | np.int64(1 << 62)).ravel())
+            at.append(np.repeat(ids, parts))
+            meets.append(np.repeat(top[ids] == index, parts))
+
+    of_level(-1, 1, TRIPLES_OF_QUARTERS, open_ & (size <= SMALL))
+    for index in range(int(top[open_].max(initial=-1)) + 1):
+        of_level(index, PARTS[index], PAIRS_OF_QUARTERS, open_ & (top >= index))
+    return np.concatenate(keys), np.concatenate(at), np.concatenate(meets)
 
 
 def keyed(sets: DataFrame, level: bytes) -> DataFrame:
-    """``key, sig, n, p0, p1``: each set under all its keys, with its pivot distances in the bytes of two numbers."""
+    """``key, sig, n, p0, p1``: each set under all its keys, with its pivot distances in the bytes of two numbers.
+
+    ``n`` is twice the size, plus one where pairs of the set are compared.
+    """
 
     def make():
         levels = np.frombuffer(level, np.uint8)
 
         def f(batch):
-            sigs, raw = (c.to_pylist() for c in batch.columns)
-            each = [np.frombuffer(w, np.uint32) for w in raw]
-            size = np.array([len(w) for w in each])
-            packed = pivot_distances(np.repeat(np.arange(len(each)), size), np.concatenate(each), len(each)).astype(np.uint8)
+            sigs, raw = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            size = np.array([len(w) // 4 for w in raw])
+            words, rows = np.frombuffer(b"".join(raw), np.uint32), np.repeat(np.arange(len(raw)), size)
+            packed = pivot_distances(rows, words, len(raw)).astype(np.uint8)
             p0, p1 = packed[:, :8].copy().view("<i8")[:, 0], packed[:, 8:].copy().view("<i8")[:, 0]
-            keys, at = [], []
-            for i, w in enumerate(each):
-                k = keys_of(w, levels)
-                keys += k
-                at += [i] * len(k)
-            at = np.array(at, np.int64)
-            return keys, np.array(sigs)[at], size[at], p0[at], p1[at]
+            keys, at, meets = keys_of(words, rows, size, levels)
+            return keys, sigs[at], 2 * size[at] + meets, p0[at], p1[at]
 
         return f
 
     return map_rows(sets.where(F.length("words") > 0).select("sig", "words"), make, "key bigint, sig bigint, n int, p0 bigint, p1 bigint")
 
 
-def near_rows(i: np.ndarray, j: np.ndarray, size: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+def near_rows(i: np.ndarray, j: np.ndarray, n: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """Which of the row pairs (i, j) may be similar enough, by sizes and by the largest difference of pivot distances."""
-    a, b = size[i], size[j]
-    most = (a + b) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9
-    ok = np.flatnonzero(np.minimum(a, b) >= SIMILARITY * np.maximum(a, b) - 1e-9)
+    ok = np.flatnonzero((n[i] | n[j]) & 1)
+    a, b = n[i[ok]] >> 1, n[j[ok]] >> 1
+    ok = ok[np.minimum(a, b) >= SIMILARITY * np.maximum(a, b) - 1e-9]
+    most = ((n[i[ok]] >> 1) + (n[j[ok]] >> 1)) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-9
     for lo, hi in ((0, 4), (4, PIVOTS)):
-        ok = ok[np.abs(pivots[i[ok], lo:hi] - pivots[j[ok], lo:hi]).max(1) <= most[ok]]
+        near = np.abs(pivots[i[ok], lo:hi] - pivots[j[ok], lo:hi]).max(1) <= most
+        ok, most = ok[near], most[near]
     return ok
 
 
-def pairs_within(key: np.ndarray, sig: np.ndarray, size: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidates among rows sorted by key: rows one, two, … places apart while their keys are equal."""
+def pairs_within(group: np.ndarray, sig: np.ndarray, n: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates among rows sorted by group: rows one, two, … places apart while their groups are equal."""
     out_a, out_b = [], []
-    i = np.flatnonzero(key[:-1] == key[1:]) if len(key) > 1 else np.zeros(0, np.int64)
+    i = np.flatnonzero(group[:-1] == group[1:]) if len(group) > 1 else np.zeros(0, np.int64)
     d = 1
     while len(i):
         for k in range(0, len(i), 200_000):
             x = i[k : k + 200_000]
-            ok = near_rows(x, x + d, size, pivots)
-            out_a.append(sig[x[ok]])
-            out_b.append(sig[x[ok] + d])
+            x = x[near_rows(x, x + d, n, pivots)]
+            out_a.append(sig[x])
+            out_b.append(sig[x + d])
         d += 1
-        i = i[i + d < len(key)]
-        i = i[key[i] == key[i + d]]
+        i = i[i + d < len(group)]
+        i = i[group[i] == group[i + d]]
     if not out_a:
         return sig[:0], sig[:0]
     a, b = np.concatenate(out_a), np.concatenate(out_b)
@@ -209,6 +247,9 @@ def _pivots(p0: np.ndarray, p1: np.ndarray) -> np.ndarray:
     return np.hstack([np.ascontiguousarray(p).view(np.uint8).reshape(-1, 8) for p in (p0, p1)]).astype(np.int16)
 
 
+_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("p0", pa.int64()), ("p1", pa.int64()), ("block", pa.int32())])
+
+
 def compare_sorted(batches):
     """Over rows sorted by key: candidates (``a``, ``b``), and the rows of keys larger than ``BLOCK`` with block numbers."""
     held, rows, hot_key, hot_rows = [], 0, None, 0
@@ -242,7 +283,7 @@ def compare_sorted(batches):
                 keep[x.start - start : x.stop - start] = False
                 yield batch_of(key=key[x], sig=sig[x], n=n[x], p0=p0[x], p1=p1[x], block=np.arange(size[k]) // BLOCK)
             at = np.flatnonzero(keep) + start
-            a, b = pairs_within(key[at], sig[at], n[at].astype(np.float64), _pivots(p0[at], p1[at]))
+            a, b = pairs_within(key[at], sig[at], n[at], _pivots(p0[at], p1[at]))
             for k in range(0, len(a), 50_000):
                 yield batch_of(a=a[k : k + 50_000], b=b[k : k + 50_000])
         tail = len(key) - end
@@ -262,9 +303,6 @@ def compare_sorted(batches):
         yield from process(True)
 
 
-_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64()), ("sig", pa.int64()), ("n", pa.int32()), ("p0", pa.int64()), ("p1", pa.int64()), ("block", pa.int32())])
-
-
 def compare_blocks(batches):
     """Over rows sorted by (key, x, y) with ``block`` x or y: candidates between the two blocks, or within one."""
     held: list = []
@@ -272,11 +310,11 @@ def compare_blocks(batches):
 
     def flush():
         block, sig, n, p0, p1 = (np.concatenate(c) for c in zip(*held))
-        piv, size = _pivots(p0, p1), n.astype(np.float64)
+        piv = _pivots(p0, p1)
         left, right = np.flatnonzero(block == now[1]), np.flatnonzero(block == now[2])
         for i in left:
             j = right[right > i] if now[1] == now[2] else right
-            ok = near_rows(np.full(len(j), i), j, size, piv)
+            ok = near_rows(np.full(len(j), i), j, n, piv)
             if len(ok):
                 a, b = np.full(len(ok), sig[i]), sig[j[ok]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -295,20 +333,34 @@ def compare_blocks(batches):
         yield from flush()
 
 
+def by_blocks(hot: DataFrame, most: DataFrame) -> DataFrame:
+    """Candidates of rows with their ``block``; ``most`` has the last block of each key. Every pair of blocks is a group of its own."""
+    spread = hot.join(most, "key").withColumn("other", F.explode(F.sequence(F.lit(0), "most")))
+    spread = spread.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "n", "p0", "p1")
+    return spread.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(compare_blocks, "a bigint, b bigint")
+
+
 def candidates(sets: DataFrame, level: bytes) -> DataFrame:
     """``a, b`` (``a`` < ``b``): different sets under one key whose sizes and pivot distances allow the similarity."""
-    sorted_ = keyed(sets, level).repartition("key").sortWithinPartitions("key")
-    found = cut(sorted_.mapInArrow(compare_sorted, "a bigint, b bigint, key bigint, sig bigint, n int, p0 bigint, p1 bigint, block int"), "compared")
-    pairs = found.where("a is not null").select("a", "b")
+    rows = keyed(sets, level)
+    some = keyed(sets.where(F.pmod("sig", F.lit(HOT_SHARE)) == 0), level)
+    known = cut(some.groupBy("key").agg(F.count("*").alias("k")).where(F.col("k") * HOT_SHARE > BLOCK).select("key", F.ceil(F.col("k") * HOT_SHARE / BLOCK).cast("int").alias("most")), "hot")
+    pairs = []
+    if not known.isEmpty():
+        # Keys known to be hot are spread by blocks at once, so no task gets all rows of one.
+        rows = cut(rows.join(known, "key", "left"), "keyed")
+        hot = rows.where("most is not null").withColumn("block", F.pmod(F.xxhash64("sig"), F.col("most") + 1).cast("int")).drop("most")
+        pairs.append(by_blocks(hot, known))
+        rows = rows.where("most is null").drop("most")
+    found = cut(rows.repartition("key").sortWithinPartitions("key").mapInArrow(compare_sorted, "a bigint, b bigint, key bigint, sig bigint, n int, p0 bigint, p1 bigint, block int"), "compared")
+    pairs.append(found.where("a is not null").select("a", "b"))
     hot = found.where("key is not null").select("key", "sig", "n", "p0", "p1", "block")
     if not hot.isEmpty():
-        most = hot.groupBy("key").agg(F.max("block").alias("most"))
-        # Every row goes to the pairs of blocks that its own is part of.
-        spread = hot.join(most, "key").withColumn("other", F.explode(F.sequence(F.lit(0), "most")))
-        spread = spread.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "n", "p0", "p1")
-        blocks = spread.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(compare_blocks, "a bigint, b bigint")
-        pairs = pairs.union(blocks)
-    return pairs.where("a < b").distinct()
+        pairs.append(by_blocks(hot, hot.groupBy("key").agg(F.max("block").alias("most"))))
+    out = pairs[0]
+    for p in pairs[1:]:
+        out = out.union(p)
+    return out.where("a < b").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:

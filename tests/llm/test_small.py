@@ -29,34 +29,38 @@ def test_near_pairs_brute(spark, monkeypatch):
     rows += [(900, None, None), (901, "", ""), (902, "same text", "here"), (903, "Here same", "TEXT"), (903, "Here same", "TEXT")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "pair_id bigint, question string, answer string, sig string")
     want = jaccard_pairs([*dict((r[0], r) for r in rows).values()])
-    for rare, block in ((128, 4096), (2, 4), (0, 4)):
+    for rare, block, share in ((128, 4096, 64), (2, 4, 64), (0, 4, 1), (0, 4096, 64)):
         monkeypatch.setattr(neardup, "RARE", rare)
         monkeypatch.setattr(neardup, "BLOCK", block)
-        got = {tuple(r) for r in neardup.near_pairs(df).collect()}
-        assert got <= want and (902, 903) in got
-        assert len(got) >= 0.999 * len(want) if rare else len(got) >= 0.97 * len(want)
+        monkeypatch.setattr(neardup, "HOT_SHARE", share)
+        assert {tuple(r) for r in neardup.near_pairs(df).collect()} == want
     monkeypatch.undo()
     groups = neardup.near_groups(df).collect()
     assert len(groups) == len({r[0] for r in rows}) and {r.pair_id: r.copies for r in groups}[902] == 2
     assert len({r.group for r in groups if r.pair_id in (902, 903)}) == 1
 
 
-def test_small_sets_share_keys():
-    """Every pair of small sets of frequent words has a key in common, whichever groups its words fall into."""
-    level = neardup.np.full(neardup.CELLS, 255, neardup.np.uint8)
-    rng = random.Random(3)
-    for k in range(4000):
-        n = rng.randint(4, 18)
+def test_similar_sets_share_keys():
+    """Every pair of similar sets has a key in common at which it is compared, whichever words are rare."""
+    np, rng = neardup.np, random.Random(3)
+    for k in range(6000):
+        n = rng.choice([rng.randint(4, 18), rng.randint(4, 90)])
         a = rng.sample(range(1, 1 << 32), n)
         drop = rng.randint(0, n // 9)
         b = a[drop:]
         add = 0
         while 5 * len(b) >= 4 * (n + add + 1) and add < n // 4:
             add += 1
-        b = b + rng.sample(range(1, 1 << 32), add)
-        if drop + add:
-            keys = [set(neardup.keys_of(neardup.np.array(sorted(x), neardup.np.uint32), level)) for x in (a, b)]
-            assert keys[0] & keys[1], (a, b)
+        b = b + rng.sample(range(1, 1 << 32), rng.randint(0, add))
+        level = np.full(1 << 10, 255, np.uint8)
+        level[: rng.choice([0, 0, 100, 300, 900])] = 7
+        if set(a) == set(b):
+            continue
+        sets = [np.array(sorted(x), np.uint32) for x in (a, b)]
+        size = np.array([len(x) for x in sets])
+        key, row, meets = neardup.keys_of(np.concatenate(sets), np.repeat([0, 1], size), size, level)
+        one, two = (dict(zip(key[row == i].tolist(), meets[row == i].tolist())) for i in (0, 1))
+        assert any(one[x] or two[x] for x in one.keys() & two.keys()), (a, b)
 
 
 def test_near_pairs_empty(spark):
