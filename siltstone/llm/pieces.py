@@ -1,12 +1,16 @@
 """Splitting oversized items at natural boundaries.
 
-Long texts are processed in ranges: each range, read with a halo on both sides, yields a table of boundaries (end of
-paragraph, line, sentence, clause, word) and the lengths of the unbroken runs at its edges. The tables of one text are
-stitched by prefix sums of the range lengths into a cut plan, and pieces are cut by offset out of the ranges. A text of
-one range takes the same steps within one task. Giant files are read and cut the same way by offset (``file_pieces``).
+Long texts are processed in ranges. A range gives the boundaries (end of paragraph, line, sentence, clause, word) between
+its first and its last letter or digit; what lies before and behind belongs together with the neighbours' ends, where
+no boundary can be told from one range alone: the stitching step joins these ends, finds their boundaries, and plans the
+cuts range by range, carrying where the next piece starts. It holds the boundaries of one piece at a time, and no text
+but the stretch without letters and digits at a seam. Pieces are cut by offset out of the ranges. Giant files are read by
+Spark's text source in byte ranges that end with a line, and cut the same way (``file_pieces``); short texts take the
+same steps where they are.
 
 Null texts yield nothing, empty texts and texts within the limit one piece. Rows with a format that has no limit are
-cut at ``default_limit``. Repeated rows are dropped by key. Positions count code points.
+cut at ``default_limit``. Repeated rows are dropped by key. Positions count code points. Limits and overlaps are the
+first of their format in numerical order if it is listed more than once.
 """
 
 from __future__ import annotations
@@ -14,17 +18,22 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from siltstone.io import cut
 from siltstone.llm.common import map_rows
 
-#: Characters of a range; texts up to this length are planned where they are.
+#: Characters of a range; texts up to this length are planned where they are, which gives the same plan.
 RANGE_CHARS = 1 << 18
 #: Share of the limit that a piece must fill before a stronger boundary is preferred to a later, weaker one.
 LEAST_FILL = 0.5
-# Boundaries from strong to weak; a piece may end behind the match.
+#: Formats in the table of limits, which is broadcast; more are refused.
+MAX_FORMATS = 100_000
+# Boundaries from strong to weak; a piece may end behind the match. None of them holds a letter or digit.
 BOUNDARIES = (
     re.compile(r"\n[ \t]*\n\s*"),
     re.compile(r"\n"),
@@ -32,44 +41,34 @@ BOUNDARIES = (
     re.compile(r"[,;:，；：、،](?:\s+|(?<=[，；：、]))"),
     re.compile(r"\s+|(?<=[぀-ヿ一-鿿])(?=[぀-ヿ一-鿿])"),
 )
-RUN_HEAD, RUN_TAIL = re.compile(r"[^\W_]*"), re.compile(r"[^\W_]*\Z")
+RUN_HEAD, RUN_TAIL, SOLID = re.compile(r"[^\W_]*"), re.compile(r"[^\W_]*\Z"), re.compile(r"[^\W_]")
 
 
-def boundaries(text: str, lo: int, hi: int) -> list[list[int]]:
-    """By strength, the positions in (lo, hi] behind which a piece of ``text`` may end."""
-    out = []
-    for pattern in BOUNDARIES:
-        ends, at = [], max(0, lo - 64)
-        for m in pattern.finditer(text, at):
-            e = m.end()
-            if e > hi:
-                break
-            if e > lo:
-                ends.append(e)
-        out.append(ends)
-    return out
+def boundaries(text: str) -> list[list[int]]:
+    """By strength, the positions behind which a piece of ``text`` may end."""
+    return [[e for m in pattern.finditer(text) if (e := m.end())] for pattern in BOUNDARIES]
+
+
+def next_end(start: int, ends: list[list[int]], limit: int, overlap: int) -> int:
+    """Where the piece that begins at ``start`` ends, if the text goes on beyond the limit."""
+    for least in (start + max(overlap, int(limit * LEAST_FILL)), start + overlap):
+        for table in ends:
+            k = bisect_right(table, start + limit)
+            if k and table[k - 1] > least:
+                return table[k - 1]
+    return start + limit
 
 
 def cut_plan(length: int, table: list[list[int]], limit: int, overlap: int) -> list[tuple[int, int]]:
     """Pieces (start, end) of at most ``limit`` characters; each begins ``overlap`` characters before the last one's end."""
     overlap = max(0, min(overlap, limit - 1))
     pieces, start = [], 0
-    while True:
-        if length - start <= limit:
-            pieces.append((start, length))
-            return pieces
-        end = 0
-        for least in (start + max(overlap, int(limit * LEAST_FILL)), start + overlap):
-            for ends in table:
-                k = bisect_right(ends, start + limit)
-                if k and ends[k - 1] > least:
-                    end = ends[k - 1]
-                    break
-            if end:
-                break
-        end = end or start + limit
+    while length - start > limit:
+        end = next_end(start, table, limit, overlap)
         pieces.append((start, end))
         start = end - overlap
+    pieces.append((start, length))
+    return pieces
 
 
 def longest_run(text: str, more_than: int) -> bool:
@@ -77,160 +76,245 @@ def longest_run(text: str, more_than: int) -> bool:
     return len(text) > more_than and re.search(r"[^\W_]{%d}" % (more_than + 1), text) is not None
 
 
-def ranges_of(docs: DataFrame, key: str, text: str, range_chars: int, halo: str) -> DataFrame:
-    """``key, limit, overlap, length, off, body, before, chunk``: ``chunk`` is the range at ``off`` with a halo."""
-    n = F.char_length(text)
-    offs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(range_chars))
+def seams(body: str) -> tuple[int, int]:
+    """Of a range, the place of its first letter or digit and that behind its last one; (its length, 0) if it has none."""
+    first = SOLID.search(body)
+    if not first:
+        return len(body), 0
+    end = len(body)
+    while not body[end - 1].isalnum():
+        end -= 1
+    return first.start(), end
+
+
+class Planner:
+    """Plans one text from its ranges, given in order."""
+
+    def __init__(self, length: int, limit: int, overlap: int):
+        self.length, self.limit, self.overlap = length, limit, max(0, min(overlap, limit - 1))
+        self.ends: list[list[int]] = [[] for _ in BOUNDARIES]
+        self.carry, self.known, self.start, self.number = "", 0, 0, 0
+        self.run, self.forced = 0, False
+
+    def add(self, off: int, size: int, lead: str, tail: str, ends: list[list[int]], long: bool, head_run: int, tail_run: int) -> list[tuple[int, int, int]]:
+        """The pieces (number, start, end) that are settled once this range is known.
+
+        ``lead`` is the range up to its first letter or digit, this included; ``tail`` begins with the last one.
+        """
+        self.run += head_run
+        self.forced = self.forced or long or self.run > self.limit
+        if head_run < size:
+            self.run = tail_run
+        solid = bool(tail)
+        joint, base = self.carry + lead, off - len(self.carry)
+        if solid or off + size >= self.length:
+            inside = len(joint) - solid
+            for mine, found, inner in zip(self.ends, boundaries(joint), ends):
+                mine += [base + e for e in found if e <= inside]
+                mine += inner
+            self.known = off + size - max(0, len(tail) - 1)
+            self.carry = tail
+            if off + size >= self.length and len(tail) > 1:
+                for mine, found in zip(self.ends, boundaries(tail)):
+                    mine += [off + size - len(tail) + e for e in found]
+            if off + size >= self.length:
+                self.known = self.length
+        else:
+            self.carry = joint
+        return self.settle()
+
+    def settle(self) -> list[tuple[int, int, int]]:
+        out = []
+        while self.length - self.start > self.limit and self.known >= self.start + self.limit:
+            end = next_end(self.start, self.ends, self.limit, self.overlap)
+            out.append((self.number, self.start, end))
+            self.number += 1
+            self.start = end - self.overlap
+        self.ends = [t[bisect_right(t, self.start) :] for t in self.ends]
+        if self.known >= self.length and self.length - self.start <= self.limit:
+            out.append((self.number, self.start, self.length))
+            self.known = -1
+        return out
+
+
+def ranges_of(docs: DataFrame, key: str, text: str, range_chars: int, beyond: str = "0") -> DataFrame:
+    """``key, limit, overlap, length, off, size, body``; ``body`` is the range at ``off`` and ``beyond`` characters more."""
+    n = F.char_length(text).cast("bigint")
+    offs = F.sequence(F.lit(0).cast("bigint"), F.greatest(n - 1, F.lit(0).cast("bigint")), F.lit(range_chars).cast("bigint"))
     wide = docs.withColumn("length", n).withColumn("off", F.explode(offs))
-    before, size = F.least(F.col("off"), F.lit(64)), F.least(F.lit(range_chars), F.col("length") - F.col("off"))
-    return wide.select(key, "limit", "overlap", "length", "off", size.alias("size"), before.alias("before"), F.expr(f"substring({text}, off - least(off, 64) + 1, least(off, 64) + {range_chars} + {halo})").alias("chunk"))
+    size = F.least(F.lit(range_chars), F.col("length") - F.col("off")).cast("int")
+    return wide.select(key, "limit", "overlap", "length", "off", size.alias("size"), F.expr(f"substring({text}, cast(off as int) + 1, {range_chars} + {beyond})").alias("body"))
 
 
 def limited(docs: DataFrame, limits: DataFrame, default_limit: int = 4000, default_overlap: int = 200) -> DataFrame:
     """``docs`` with ``limit`` and ``overlap`` of their format, regardless of case. ``limits`` has a row a format.
 
-    Columns of these names in ``docs`` are replaced.
+    Columns of these names in ``docs`` are replaced. More than ``MAX_FORMATS`` formats raise.
     """
     small = limits.select(F.lower(F.trim("format")).alias("format_key"), F.col("max_chars").alias("limit"), F.col("overlap_chars").alias("overlap"))
-    joined = docs.drop("limit", "overlap").withColumn("format_key", F.lower(F.trim("format"))).join(F.broadcast(small.limit(10_000)), "format_key", "left").drop("format_key")
+    small = small.groupBy("format_key").agg(F.min(F.struct("limit", "overlap")).alias("l")).select("format_key", "l.*")
+    if small.count() > MAX_FORMATS:
+        raise ValueError(f"more than {MAX_FORMATS} formats")
+    joined = docs.drop("limit", "overlap").withColumn("format_key", F.lower(F.trim("format"))).join(F.broadcast(small), "format_key", "left").drop("format_key")
     return joined.fillna({"limit": default_limit, "overlap": default_overlap})
 
 
-def plans(docs: DataFrame, key: str = "doc_id", text: str = "content", range_chars: int = RANGE_CHARS) -> DataFrame:
-    """The cut plan of every text: ``key, length, limit, forced, starts, ends``.
+def plans(docs: DataFrame, key: str = "doc_id", text: str = "content", range_chars: int = RANGE_CHARS, with_text: bool = False) -> DataFrame:
+    """The cut plan of every text: ``key, length, limit, piece_no, start_pos, end_pos, forced`` (and ``piece``), a row a piece.
 
-    ``docs`` has ``limit`` and ``overlap``. ``forced`` tells whether an unbroken run is longer than the limit.
+    ``docs`` has ``limit`` and ``overlap``. ``forced`` is null but on the last piece of a text, where it tells whether an
+    unbroken run is longer than the limit.
     """
     docs = docs.select(key, text, "limit", "overlap").where(F.col(text).isNotNull())
-    kind = dict(docs.dtypes)[key]
-    n = F.char_length(text)
-    columns = f"{key} {kind}, length int, `limit` int, forced boolean, starts array<int>, ends array<int>"
+    columns = f"{_plan_schema(dict(docs.dtypes)[key], key)}{', piece string' if with_text else ''}"
 
     def make_whole():
         def f(batch):
-            out = [[] for _ in range(6)]
+            out = [[] for _ in range(8 if with_text else 7)]
             for k, t, limit, overlap in zip(*(c.to_pylist() for c in batch.columns)):
-                plan = cut_plan(len(t), boundaries(t, 0, len(t)), limit, overlap) if len(t) > limit else [(0, len(t))]
-                for column, value in zip(out, (k, len(t), limit, longest_run(t, limit), [a for a, _ in plan], [b for _, b in plan])):
-                    column.append(value)
+                plan = cut_plan(len(t), boundaries(t), limit, overlap) if len(t) > limit else [(0, len(t))]
+                for i, (a, b) in enumerate(plan):
+                    for column, value in zip(out, (k, len(t), limit, i, a, b, longest_run(t, limit) if i == len(plan) - 1 else None, t[a:b] if with_text else None)):
+                        column.append(value)
             return out
 
         return f
 
-    whole = map_rows(docs.where(n <= range_chars), make_whole, columns)
+    whole = map_rows(docs.where(F.char_length(text) <= range_chars), make_whole, columns)
+    giant = docs.where(F.char_length(text) > range_chars)
+    spans = stitched(ranges_of(giant, key, text, range_chars).repartition(key, "off"), key)
+    if with_text:
+        # Each piece lies in the range in which it starts, with the longest piece beyond it.
+        parts = ranges_of(giant, key, text, range_chars, "`limit`").select(key, "off", "body").dropDuplicates([key, "off"])
+        spans = spans.withColumn("off", F.col("start_pos") - F.col("start_pos") % range_chars).join(parts, [key, "off"])
+        spans = spans.withColumn("piece", F.expr("substring(body, cast(start_pos - off as int) + 1, cast(end_pos - start_pos as int))")).drop("off", "body").select(*whole.columns)
+    return whole.union(spans)
 
-    giant = docs.where(n > range_chars)
-    parts = ranges_of(giant, key, text, range_chars, "64").repartition(key, "off")
-    return whole.union(stitched(parts, key))
+
+def _plan_schema(kind: str, key: str) -> str:
+    return f"{key} {kind}, length bigint, `limit` int, piece_no bigint, start_pos bigint, end_pos bigint, forced boolean"
 
 
 def stitched(parts: DataFrame, key: str) -> DataFrame:
-    """Cut plans from ranges: ``key, limit, overlap, length, off, size, before, chunk`` (``before`` characters of halo).
+    """Cut plans from ranges: ``key, limit, overlap, length, off, size, body``. Ranges delivered twice count once.
 
-    Each range gives its boundaries and the runs at its edges; only these tables of a text come together.
+    Each range gives its boundaries, the runs at its edges and its seams; these tables are read in order by one task a
+    text, which keeps those of one piece.
     """
     kind = dict(parts.dtypes)[key]
-    columns = f"{key} {kind}, length int, `limit` int, forced boolean, starts array<int>, ends array<int>"
 
     def make_table():
         def f(batch):
-            out = [[] for _ in range(10)]
-            for k, limit, overlap, length, off, size, before, chunk in zip(*(c.to_pylist() for c in batch.columns)):
-                end = before + size
-                table = [[e - before + off for e in ends] for ends in boundaries(chunk, before, end)]
-                body = chunk[before:end]
-                head, tail = RUN_HEAD.match(body).end(), len(body) - RUN_TAIL.search(body).start()
-                for column, value in zip(out, (k, limit, overlap, length, off, size, table, longest_run(body, limit), head, tail)):
-                    column.append(value)
-            return out
-
-        return f
-
-    tables = map_rows(parts.select(key, "limit", "overlap", "length", "off", "size", "before", "chunk"), make_table, f"{key} {kind}, `limit` int, overlap int, length int, off int, size int, ends array<array<int>>, long boolean, head int, tail int")
-    joined = tables.groupBy(key).agg(F.first("limit").alias("limit"), F.first("overlap").alias("overlap"), F.first("length").alias("length"), F.sort_array(F.collect_set(F.struct("off", "size", "ends", "long", "head", "tail"))).alias("parts"))
-
-    def make_plan():
-        def f(batch):
-            out = [[] for _ in range(6)]
-            for k, limit, overlap, length, parts_ in zip(*(c.to_pylist() for c in batch.columns)):
-                table = [[e for p in parts_ for e in p["ends"][s]] for s in range(len(BOUNDARIES))]
-                forced, run = False, 0
-                for p in parts_:
-                    run += p["head"]
-                    forced = forced or p["long"] or run > limit
-                    if p["head"] < p["size"]:
-                        run = p["tail"]
-                plan = cut_plan(length, table, limit, overlap)
-                for column, value in zip(out, (k, length, limit, forced or run > limit, [a for a, _ in plan], [b for _, b in plan])):
+            out = [[] for _ in range(12)]
+            for k, limit, overlap, length, off, size, body in zip(*(c.to_pylist() for c in batch.columns)):
+                a, b = seams(body)
+                ends = [[off + a + e for e in found] for found in boundaries(body[a:b])] if b else [[] for _ in BOUNDARIES]
+                lead, tail = body[: a + 1], body[b - 1 :] if b else ""
+                head, end_run = RUN_HEAD.match(body).end(), len(body) - RUN_TAIL.search(body).start()
+                for column, value in zip(out, (k, limit, overlap, length, off, size, lead, tail, ends, longest_run(body, limit), head, end_run)):
                     column.append(value)
             return out
 
         return f
 
-    return map_rows(joined.select(key, "limit", "overlap", "length", "parts"), make_plan, columns)
+    schema = f"{key} {kind}, `limit` int, overlap int, length bigint, off bigint, size int, lead string, tail string, ends array<array<bigint>>, long boolean, head int, end_run int"
+    tables = map_rows(parts.select(key, "limit", "overlap", "length", "off", "size", "body"), make_table, schema)
+    arrow = to_arrow_schema(T._parse_datatype_string(_plan_schema(kind, key)))
+
+    def plan(batches):
+        now = planner = last = None
+        for batch in batches:
+            out: list[list] = [[] for _ in arrow]
+            for k, limit, overlap, length, off, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                if k != now:
+                    now, planner, last = k, Planner(length, limit, overlap), -1
+                if off <= last:
+                    continue
+                last = off
+                for number, a, b in planner.add(off, *rest):
+                    for column, value in zip(out, (k, length, limit, number, a, b, planner.forced if b == length else None)):
+                        column.append(value)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in zip(out, arrow)], schema=arrow)
+
+    return tables.repartition(key).sortWithinPartitions(key, "off").mapInArrow(plan, _plan_schema(kind, key))
 
 
 def pieces(docs: DataFrame, key: str = "doc_id", text: str = "content", range_chars: int = RANGE_CHARS) -> DataFrame:
     """``key, piece_no, start_pos, end_pos, piece`` of every text of ``docs`` (with ``limit`` and ``overlap``)."""
-    plan = plans(docs, key, text, range_chars).dropDuplicates([key])
-    spans = plan.select(key, F.posexplode(F.arrays_zip("starts", "ends")).alias("piece_no", "span")).select(key, "piece_no", F.col("span.starts").alias("start_pos"), F.col("span.ends").alias("end_pos"))
-    spans = spans.withColumn("off", (F.col("start_pos") / range_chars).cast("int") * range_chars)
-    # Each piece lies in the range in which it starts, with the longest piece as halo.
-    ranges = ranges_of(docs.select(key, text, "limit", "overlap").where(F.col(text).isNotNull()), key, text, range_chars, "`limit`").dropDuplicates([key, "off"])
-    return spans.join(ranges, [key, "off"]).select(key, "piece_no", "start_pos", "end_pos", F.expr("substring(chunk, start_pos - off + before + 1, end_pos - start_pos)").alias("piece"))
+    return plans(docs, key, text, range_chars, with_text=True).dropDuplicates([key, "piece_no"]).select(key, "piece_no", "start_pos", "end_pos", "piece")
 
 
 def cut_kinds(docs: DataFrame, key: str = "doc_id", text: str = "content") -> DataFrame:
     """``key, cut`` of the texts over their limit: ``forced`` or ``natural``."""
-    return plans(docs.where(F.char_length(text) > F.col("limit")), key, text).where("length > `limit`").select(key, F.when(F.col("forced"), "forced").otherwise("natural").alias("cut")).distinct()
+    ends = plans(docs.where(F.char_length(text) > F.col("limit")), key, text).where("forced is not null and length > `limit`")
+    return ends.select(key, F.when(F.col("forced"), "forced").otherwise("natural").alias("cut")).distinct()
 
 
-def file_ranges(files: DataFrame, limit: int, overlap: int, range_bytes: int = 1 << 26) -> DataFrame:
-    """Plan inputs for giant UTF-8 files (``path`` string, ``bytes`` bigint) on a shared file system.
+def file_ranges(spark: SparkSession, path: str, range_chars: int = RANGE_CHARS) -> DataFrame:
+    """``path, block, no, chars, body``: the UTF-8 files at ``path`` in ranges, in order of ``block`` and ``no``.
 
-    Tasks seek to their range; no file is loaded whole. ``path, off, chars, text``: ranges begin and end on a
-    character, so character offsets are prefix sums of ``chars`` over ``off``.
+    Spark's text source reads each block (``spark.sql.files.maxPartitionBytes``) in a task of its own, up to the end of its
+    last line; lines are put together to ranges of ``range_chars`` characters or, if a line is longer, that line. A line
+    must fit in a task's memory.
     """
-    parts = files.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("bigint"))).alias("off")).repartition("path", "off")
-
-    def make():
-        def f(batch):
-            out = [[] for _ in range(4)]
-            for path, size, off in zip(*(c.to_pylist() for c in batch.columns)):
-                with open(path, "rb") as h:
-                    h.seek(off)
-                    raw = h.read(range_bytes + 3)
-                a, b = 0, min(range_bytes, size - off)
-                while off and a < len(raw) and raw[a] & 0xC0 == 0x80:
-                    a += 1
-                while b < len(raw) and raw[b] & 0xC0 == 0x80:
-                    b += 1
-                body = raw[a:b].decode("utf-8", "replace")
-                for column, value in zip(out, (path, off, len(body), body)):
-                    column.append(value)
-            return out
-
-        return f
-
-    return map_rows(parts, make, "path string, off bigint, chars int, text string").withColumn("limit", F.lit(limit)).withColumn("overlap", F.lit(overlap))
-
-
-def file_pieces(files: DataFrame, limit: int, overlap: int, range_bytes: int = 1 << 26) -> DataFrame:
-    """``path, piece_no, start_pos, end_pos, piece`` of giant UTF-8 files; positions in characters.
-
-    Character offsets of ranges are prefix sums of their lengths; halos come from the neighbouring ranges. The text of
-    a file is never in one place, its boundary table is. A range must be longer than ``limit``, a file shorter than
-    2^31 characters.
+    lines = spark.read.option("lineSep", "\n").text(path).select("_metadata.file_path", "_metadata.file_block_start", "_metadata.file_size", "value")
+    schema = "path string, block bigint, no int, chars bigint, bytes bigint, file_size bigint, body string"
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def ranges(batches):
+        held: list[str] = []
+        now, size, number = None, 0, 0
+
+        def flush():
+            nonlocal held, size, number
+            body = "".join(held)
+            row = (*now[:2], number, len(body), len(body.encode()), now[2], body)
+            held, size, number = [], 0, number + 1
+            return pa.RecordBatch.from_arrays([pa.array([x], field.type) for x, field in zip(row, arrow)], schema=arrow)
+
+        for batch in batches:
+            for f, block, total, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if now != (f, block, total):
+                    if held:
+                        yield flush()
+                    now, number = (f, block, total), 0
+                held.append(line + "\n")
+                size += len(line) + 1
+                if size >= range_chars:
+                    yield flush()
+        if held:
+            yield flush()
+
+    found = cut(lines.mapInArrow(ranges, schema), "ranges")
+    # The source doesn't tell whether the last line has a line break: the size of the file does.
+    sums = found.groupBy("path").agg((F.sum("bytes") > F.first("file_size")).alias("open"), F.max(F.struct("block", "no")).alias("last"))
+    marked = found.join(sums, "path").withColumn("extra", (F.col("open") & (F.struct("block", "no") == F.col("last"))).cast("int"))
+    return marked.select("path", "block", "no", (F.col("chars") - F.col("extra")).alias("chars"), F.expr("left(body, cast(chars - extra as int))").alias("body")).where("chars > 0")
+
+
+def file_pieces(spark: SparkSession, path: str, limit: int, overlap: int, range_chars: int = RANGE_CHARS) -> DataFrame:
+    """``path, piece_no, start_pos, end_pos, piece`` of the giant UTF-8 files at ``path``; positions in characters.
+
+    Character offsets are prefix sums of the lengths of ranges, first by block. No file is in one place; its boundary
+    tables pass one task, in order. ``limit`` must not exceed ``range_chars``.
     """
-    w = Window.partitionBy("path").orderBy("off")
-    read = cut(file_ranges(files, limit, overlap, range_bytes).select("path", "off", "chars", "text"), "ranges")
-    lengths = read.select("path", F.col("off").alias("at"), "chars").withColumn("no", F.row_number().over(w.orderBy("at"))).withColumn("off", (F.sum("chars").over(w.orderBy("at")) - F.col("chars")).cast("int"))
-    lengths = lengths.withColumn("length", F.sum("chars").over(Window.partitionBy("path")).cast("int"))
-    placed = read.select("path", F.col("off").alias("at"), "text").join(lengths, ["path", "at"])
-    near = placed.select("path", (F.col("no") + 1).alias("no"), F.expr("right(text, 64)").alias("tail"))
-    after = placed.select("path", (F.col("no") - 1).alias("no"), F.substring("text", 1, max(64, limit)).alias("next"))
-    full = placed.join(near, ["path", "no"], "left").join(after, ["path", "no"], "left").fillna("", ["tail", "next"])
-    parts = cut(full.select("path", F.lit(limit).alias("limit"), F.lit(overlap).alias("overlap"), "length", "off", F.col("chars").alias("size"), F.char_length("tail").alias("before"), F.concat("tail", "text", "next").alias("chunk")), "parts")
-    spans = stitched(parts, "path").select("path", F.posexplode(F.arrays_zip("starts", "ends")).alias("piece_no", "span")).select("path", "piece_no", F.col("span.starts").alias("start_pos"), F.col("span.ends").alias("end_pos"))
-    inside = (spans["path"] == parts["path"]) & (spans["start_pos"] >= parts["off"]) & (spans["start_pos"] < parts["off"] + F.greatest(parts["size"], F.lit(1)))
-    return spans.join(parts, inside).select(spans["path"], "piece_no", "start_pos", "end_pos", F.expr("substring(chunk, start_pos - off + before + 1, end_pos - start_pos)").alias("piece"))
+    if limit > range_chars:
+        raise ValueError("ranges must be as long as the limit")
+    ranges = file_ranges(spark, path, range_chars)
+    blocks = ranges.groupBy("path", "block").agg(F.sum("chars").alias("n"))
+    w = Window.partitionBy("path").orderBy("block")
+    blocks = blocks.select("path", "block", (F.sum("n").over(w) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("path")).alias("length"))
+    inner = Window.partitionBy("path", "block").orderBy("no")
+    placed = ranges.join(blocks, ["path", "block"]).withColumn("off", F.col("before") + F.sum("chars").over(inner) - F.col("chars"))
+    placed = cut(placed.select("path", F.lit(limit).alias("limit"), F.lit(overlap).alias("overlap"), "length", "off", F.col("chars").cast("int").alias("size"), "body"), "placed")
+    spans = stitched(placed, "path")
+    # A piece may reach into the ranges behind: each range gives its part, parts are joined in order.
+    cell = lambda c: F.floor(F.col(c) / range_chars)
+    cells = F.explode(F.sequence(cell("off"), F.floor((F.col("off") + F.col("size") - 1) / range_chars)))
+    of_span = spans.select("path", "piece_no", "start_pos", "end_pos", F.explode(F.sequence(cell("start_pos"), F.floor((F.greatest("end_pos", F.col("start_pos") + 1) - 1) / range_chars))).alias("cell"))
+    of_range = placed.select("path", "off", "size", "body", cells.alias("cell"))
+    met = of_span.join(of_range, ["path", "cell"]).where("start_pos < off + size and end_pos > off").dropDuplicates(["path", "piece_no", "off"])
+    part = F.expr("substring(body, cast(greatest(start_pos - off, 0) as int) + 1, cast(least(end_pos, off + size) - greatest(start_pos, off) as int))")
+    joined = met.select("path", "piece_no", "start_pos", "end_pos", F.struct("off", part.alias("t")).alias("x")).groupBy("path", "piece_no", "start_pos", "end_pos").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    return joined.select("path", "piece_no", "start_pos", "end_pos", F.array_join(F.transform("x", lambda x: x["t"]), "").alias("piece"))

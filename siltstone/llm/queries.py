@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.io import table, tune
+from siltstone.io import shared_dir, table, tune
 from siltstone.llm import leaks, markup, mixing, neardup, pairs, pieces, quality, scans, sentences, splits
 from siltstone.llm.sql import SQL  # noqa: F401
 
@@ -59,6 +61,15 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.pieces(_limited_docs(spark, d))
 
 
+def p5_files(spark: SparkSession, d: str) -> DataFrame:
+    """The contents of ``docs``, written to text files by format, as giant files."""
+    docs = _limited_docs(spark, d).where("content is not null").select(F.coalesce(F.lower(F.trim("format")), F.lit("none")).alias("format"), "doc_id", "content").distinct()
+    path = f"{shared_dir(spark)}/siltstone/files-{uuid.uuid4().hex}"
+    docs.repartitionByRange(4, "format", "doc_id").sortWithinPartitions("format", "doc_id").select("content").write.text(path)
+    found = pieces.file_pieces(spark, path, 4000, 200)
+    return found.select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("file_no"), "piece_no", "start_pos", "end_pos", "piece")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return scans.Noise(table(tune(spark), d, "scanned_pages")).found()
 

@@ -233,22 +233,36 @@ def test_plan_bounds():
     for _ in range(150):
         text = "".join(rng.choice(["word ", "longerword", ". ", "\n", "\n\n", ", "]) for _ in range(rng.randint(0, 120)))
         limit, overlap = rng.randint(5, 60), rng.randint(0, 20)
-        plan = pieces.cut_plan(len(text), pieces.boundaries(text, 0, len(text)), limit, overlap)
+        plan = pieces.cut_plan(len(text), pieces.boundaries(text), limit, overlap)
         overlap = min(overlap, limit - 1)
         assert plan[0][0] == 0 and plan[-1][1] == len(text) and all(b - a <= limit for a, b in plan)
         assert all(nxt[0] == this[1] - overlap for this, nxt in zip(plan, plan[1:]))
 
 
+def test_planner_equals_whole():
+    """Ranges of any size give the plan of the whole text, also across long blanks, quotes and runs at their seams."""
+    rng = random.Random(12)
+    for _ in range(1500):
+        parts = ["word ", "x" * 30, ". ", "\n", "\n\n", ", ", "語。", "語", " " * 70, "\n \t\n", ".”) ", "。」）", "3.5", "!!", "\t" * 9, "-" * 80]
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 60)))
+        limit, overlap, size = rng.randint(5, 80), rng.randint(0, 20), rng.randint(1, 90)
+        planner, got = pieces.Planner(len(text), limit, overlap), []
+        for off in range(0, len(text), size):
+            body = text[off : off + size]
+            a, b = pieces.seams(body)
+            ends = [[off + a + e for e in found] for found in pieces.boundaries(body[a:b])] if b else [[] for _ in pieces.BOUNDARIES]
+            got += planner.add(off, len(body), body[: a + 1], body[b - 1 :] if b else "", ends, pieces.longest_run(body, limit), pieces.RUN_HEAD.match(body).end(), len(body) - pieces.RUN_TAIL.search(body).start())
+        assert [g[1:] for g in got] == pieces.cut_plan(len(text), pieces.boundaries(text), limit, overlap), (text, limit, overlap, size)
+        assert [g[0] for g in got] == list(range(len(got))) and planner.forced == pieces.longest_run(text, limit)
+
+
 def test_ranges_equal_whole(spark):
     rng = random.Random(6)
-    texts = ["".join(rng.choice(["word ", "x" * 30, ". ", "\n", "\n\n", ", ", "語。"]) for _ in range(rng.randint(5, 150))) for _ in range(40)]
+    texts = ["".join(rng.choice(["word ", "x" * 30, ". ", "\n", "\n\n", ", ", "語。", " " * 150]) for _ in range(rng.randint(5, 150))) for _ in range(40)]
     rows = [(i, t, 50, 7, 0) for i, t in enumerate(texts)] + [(100, None, 50, 7, 0), (101, "", 50, 7, 0), (0, texts[0], 50, 7, 0)]
     df = spark.createDataFrame(rows, "doc_id bigint, content string, `limit` int, overlap int, off int")
-    whole = {r.doc_id: (r.forced, r.starts, r.ends) for r in pieces.plans(df).collect()}
-    parts = {r.doc_id: (r.forced, r.starts, r.ends) for r in pieces.plans(df, range_chars=97).collect()}
-    assert whole == parts and 100 not in whole and whole[101] == (False, [0], [0])
-    for i, t in enumerate(texts):
-        assert whole[i][0] == pieces.longest_run(t, 50)
+    whole, parts = ({(r.doc_id, r.piece_no): (r.start_pos, r.end_pos, r.forced) for r in pieces.plans(df, range_chars=n).collect()} for n in (1 << 18, 97))
+    assert whole == parts and (100, 0) not in whole and whole[101, 0] == (0, 0, False)
     for size in (1 << 18, 97):
         got = {}
         for r in pieces.pieces(df, range_chars=size).orderBy("doc_id", "piece_no").collect():
@@ -258,22 +272,29 @@ def test_ranges_equal_whole(spark):
         assert all(p[0] + "".join(x[7:] for x in p[1:]) == texts[k] for k, p in got.items() if k < 100)
 
 
-def test_limits(spark):
-    limits = spark.createDataFrame([("pdf", 10, 2)], "format string, max_chars int, overlap_chars int")
+def test_limits(spark, monkeypatch):
+    limits = spark.createDataFrame([("pdf", 10, 2), ("PDF ", 12, 2)], "format string, max_chars int, overlap_chars int")
     docs = spark.createDataFrame([(1, " PDF", "a" * 11, 3), (2, "pdf", "a b c d e f g", 3), (3, None, "a" * 30, 3), (4, "pdf", None, 3)], "doc_id bigint, format string, content string, `limit` int")
     assert sorted(tuple(r) for r in pieces.cut_kinds(pieces.limited(docs, limits)).collect()) == [(1, "forced"), (2, "natural")]
-
-
-def test_file_ranges(spark, tmp_path):
-    text = "äöü word 語 " * 50
-    p = tmp_path / "x.txt"
-    p.write_text(text, encoding="utf-8")
-    df = spark.createDataFrame([(str(p), p.stat().st_size)], "path string, bytes bigint")
-    got = pieces.file_ranges(df, 50, 5, 37).orderBy("off").collect()
-    assert "".join(r.text for r in got) == text and all(r.chars == len(r.text) for r in got)
-    got = pieces.file_pieces(df, 20, 5, 97).orderBy("piece_no").collect()
-    plan = pieces.cut_plan(len(text), pieces.boundaries(text, 0, len(text)), 20, 5)
-    assert [(r.start_pos, r.end_pos) for r in got] == plan and all(r.piece == text[r.start_pos : r.end_pos] for r in got)
+    monkeypatch.setattr(pieces, "MAX_FORMATS", 0)
+    with pytest.raises(ValueError):
+        pieces.limited(docs, limits)
+
+
+@pytest.mark.parametrize("end", ["", "\n"])
+def test_file_pieces(spark, tmp_path, end):
+    text = "äöü word 語 \n" * 50 + "last one without a break" + end
+    (tmp_path / "x.txt").write_text(text, encoding="utf-8")
+    (tmp_path / "y.txt").write_text("short", encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200b")
+    try:
+        got = pieces.file_pieces(spark, str(tmp_path), 20, 5, 64).orderBy("piece_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    plan = pieces.cut_plan(len(text), pieces.boundaries(text), 20, 5)
+    mine = [r for r in got if r.path.endswith("x.txt")]
+    assert [(r.start_pos, r.end_pos) for r in mine] == plan and all(r.piece == text[r.start_pos : r.end_pos] for r in mine)
+    assert [r.piece for r in got if r.path.endswith("y.txt")] == ["short"]
 
 
 # --- p6
