@@ -417,16 +417,33 @@ def test_leaks(spark):
     assert leaks.leaked(d.limit(0), items).collect() == [] and leaks.leaked(d, items.limit(0)).collect() == []
 
 
-def test_one_edit_found():
+@pytest.mark.parametrize("errors", [1, 2, 3])
+def test_edits_found(errors):
+    """Passages with as many edits as the budget allows are all found, and none with more."""
     rng = random.Random(9)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(14)]
-    m = leaks.Matcher([(1, " ".join(words))], 1)
-    for _ in range(200):
-        k = rng.randrange(7)
+    m = leaks.Matcher([(1, " ".join(words), [])], errors)
+    for _ in range(300):
+        k, n = rng.randrange(7), rng.randint(0, errors + 2)
         s = "".join(words[k : k + 8])
-        at = rng.randrange(len(s))
-        edited = rng.choice([s[:at] + "z" + s[at + 1 :], s[:at] + s[at + 1 :], s[:at] + "z" + s[at:]])
-        assert m.find("qq" + edited + "qq")[1][0] <= 1
+        for _ in range(n):
+            at = rng.randrange(len(s))
+            s = rng.choice([s[:at] + "z" + s[at + 1 :], s[:at] + s[at + 1 :], s[:at] + "z" + s[at:]])
+        text = "qq" + s + "qq"
+        least = min(edit_distance(p, text) for p in m.passages.values())
+        assert m.find(text).get(1, (None,))[0] == (least if least <= errors else None)
+
+
+def test_leaks_fold_and_blocks(spark, monkeypatch):
+    """Letters of other scripts count whatever the items are; blocks of items give what all at once give."""
+    base = "alpha beta gamma delta epsilon zeta eta theta"
+    items = [(1, base), (2, "one two three four five six seven eight nine"), (3, "x one two three four five six seven eight"), (4, "uno dos tres cuatro cinco seis siete ocho")]
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta слово epsilon zeta eta theta"), (2, base.upper()), (3, "one two three four five six seven eight"), (4, "two three four five six seven eight nine"), (5, "UNO dós tres cuatro cinco seis siete ocho")], "doc_id bigint, text string")
+    for extra in ([], [(5, "раз два три четыре пять шесть семь восемь")]):
+        for most in (200_000, 1):
+            monkeypatch.setattr(leaks, "MAX_ITEMS", most)
+            got = sorted(tuple(r) for r in leaks.leaked(docs, spark.createDataFrame(items + extra, "item_id bigint, text string")).collect())
+            assert got == [(2, 1), (4, 2), (5, 4)]
 
 
 # --- p10
