@@ -2,11 +2,15 @@
 
 Every line is observed by a few coarse statistics (how it begins and ends, its length, cells, function words, signs of
 garbling); a hidden Markov model with the states prose, list, table and junk labels the lines (Viterbi), and the shares
-of the labels give the verdict. The emissions start from the fixed beliefs below and are re-estimated from a bounded
-sample of texts by Viterbi training.
+of the labels give the verdict. Emissions and transitions start from the fixed beliefs below and are re-estimated by
+Viterbi training over the lines of all texts: each round is a distributed sum of as many numbers as the model has. What
+was counted enters as shares, so the model does not depend on the number of texts, but for collections of few lines,
+where the beliefs prevail.
+
+Lines are observed once; training and verdicts work on their codes (two bytes a line).
 
 Null texts yield nothing. Empty and blank texts have no words, shares of zero and the verdict ``junk``. Very long lines
-are observed whole. Repeated rows give equal results.
+are observed whole. Repeated rows (by key) count once.
 """
 
 from __future__ import annotations
@@ -18,13 +22,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.io import cut
 from siltstone.llm.common import WORD, map_rows
 from siltstone.llm.pairs import LANGUAGE_OF
 
 KINDS = ("prose", "list", "table", "junk")
 COMMON = frozenset(LANGUAGE_OF)
-#: Texts from which the emissions are re-estimated, and the weight of the fixed beliefs in observations a state.
-TRAIN_TEXTS, BELIEF = 2000, 400.0
+#: Rounds of training, and the weights of the fixed beliefs and, at most, of what was counted, for each state.
+ROUNDS, BELIEF, COUNTED = 2, 400.0, 1000.0
 MARK = re.compile(r"\s*(?:[-*•‣◦▪–·]\s|\[[ xX]?\]\s|\(?\d{1,3}[.)]\s|\(?[a-zA-Z]\)\s|\d+(?:\.\d+)+\.?\s)")
 LEADER = re.compile(r"(?:\.{4,}|(?: \.){4,}|…{2,}|_{4,})\s*\d+\s*$")
 SEPARATOR = re.compile(r"[\s|:+=\-]{3,}$")
@@ -89,6 +94,8 @@ def garbled(s: str, words: list[str]) -> int:
     n = len(words)
     if n >= 12 and len(set(words)) < 0.2 * n:
         return 2
+    if n >= 12 and len(letters := [w for w in words if w.isalpha()]) >= 12 and sum(map(len, letters)) < 2 * len(letters) and letters[0].isascii():
+        return 2  # strewn letters
     raw = s.encode("latin-1", "ignore")
     latin = len(raw.translate(None, NOT_LATIN))
     if latin >= 12 and latin > 0.5 * alnum:
@@ -116,25 +123,60 @@ START = (0.7, 0.12, 0.1, 0.08)
 STAY = 0.9
 
 
+#: Values of each statistic; a line's code is one number of this mixed base.
+BASES = tuple(len(b[0]) for b in BELIEFS)
+
+
+def code_of(observed: tuple) -> int:
+    code = 0
+    for value, base in zip(observed, BASES):
+        code = code * base + value
+    return code
+
+
+def parts_of(code: int) -> tuple[int, ...]:
+    out = []
+    for base in reversed(BASES):
+        code, value = divmod(code, base)
+        out.append(value)
+    return tuple(reversed(out))
+
+
+PARTS = np.array([parts_of(c) for c in range(int(np.prod(BASES)))])
+
+
+def codes_of(text: str) -> bytes:
+    """The codes of all lines that aren't blank, two bytes each."""
+    lines = [x for x in text.split("\n") if x.strip()]
+    observed = [observe(x) for x in lines]
+    # Lines that come again and again say nothing new.
+    if len(lines) >= 6 and len({x.strip() for x in lines}) <= 0.34 * len(lines):
+        observed = [(*o[:5], 2) for o in observed]
+    return np.array([code_of(o) for o in observed], np.uint16).tobytes()
+
+
 class LineModel:
-    """The hidden Markov model; ``emissions`` are log shares like ``BELIEFS``."""
-
-    def __init__(self, emissions: list[np.ndarray] | None = None):
-        self.emissions = emissions or [np.log(np.array(b)) for b in BELIEFS]
-        go = np.full((4, 4), (1 - STAY) / 3)
-        np.fill_diagonal(go, STAY)
-        self.go, self.start = np.log(go).tolist(), np.log(START).tolist()
-        self.of = lru_cache(100_000)(self._of)
+    """The hidden Markov model; ``emissions`` (by statistic) and ``go`` (transitions) are shares like ``BELIEFS``."""
+
+    def __init__(self, emissions: list | None = None, go: list | None = None):
+        self.emissions = [np.array(b) for b in emissions or BELIEFS]
+        if go is None:
+            go = np.full((4, 4), (1 - STAY) / 3)
+            np.fill_diagonal(go, STAY)
+        self.shares = np.array(go)
+        self.go, self.start = np.log(self.shares).tolist(), np.log(START).tolist()
+        self.emit = sum(np.log(e)[:, PARTS[:, k]] for k, e in enumerate(self.emissions)).T.tolist()
         self.path = lru_cache(100_000)(self._path)
 
-    def _of(self, code: tuple) -> list[float]:
-        return [sum(float(e[k][v]) for e, v in zip(self.emissions, code)) for k in range(4)]
-
-    def _path(self, codes: tuple) -> tuple[int, ...]:
-        score = [s + e for s, e in zip(self.start, self.of(codes[0]))]
+    def _path(self, codes: bytes) -> bytes:
+        """The labels of lines with ``codes``, a byte each."""
+        codes = np.frombuffer(codes, np.uint16).tolist()
+        if not codes:
+            return b""
+        score = [s + e for s, e in zip(self.start, self.emit[codes[0]])]
         back = []
         for code in codes[1:]:
-            emit, new, came = self.of(code), [], []
+            emit, new, came = self.emit[code], [], []
             for k in range(4):
                 j = max(range(4), key=lambda j: score[j] + self.go[j][k])
                 came.append(j)
@@ -146,23 +188,11 @@ class LineModel:
         for came in reversed(back):
             k = came[k]
             out.append(k)
-        return tuple(reversed(out))
-
-    def labels(self, text: str) -> list[int]:
-        """A label for every line that isn't blank."""
-        lines = [x for x in text.split("\n") if x.strip()]
-        if not lines:
-            return []
-        codes = [observe(x) for x in lines]
-        if len(lines) > 2:
-            # Lines that come again and again say nothing new.
-            if len(lines) >= 6 and len({x.strip() for x in lines}) <= 0.34 * len(lines):
-                codes = [(*c[:5], 2) for c in codes]
-        return list(self.path(tuple(codes)))
+        return bytes(reversed(out))
 
-    def judge(self, text: str) -> tuple[list[float], str]:
+    def verdict(self, codes: bytes) -> tuple[list[float], str]:
         """Shares of the labels among the lines, and the verdict."""
-        labels = self.labels(text)
+        labels = self.path(codes)
         if not labels:
             return [0.0] * 4, "junk"
         n = [labels.count(k) for k in range(4)]
@@ -172,6 +202,9 @@ class LineModel:
         other = n[kind] >= 3 and n[kind] > 1.5 * n[0] or n[0] == 0 or kind == 3 and n[3] > n[0]
         return [x / total for x in n], KINDS[kind] if other else "prose"
 
+    def judge(self, text: str) -> tuple[list[float], str]:
+        return self.verdict(codes_of(text))
+
 
 def statistics(text: str) -> tuple[int, float, float, float, float]:
     """Words, mean word length, share of symbols among characters that aren't space, of closed lines, of common words."""
@@ -189,43 +222,82 @@ def statistics(text: str) -> tuple[int, float, float, float, float]:
     )
 
 
-def learn(texts: list[str], rounds: int = 2) -> LineModel:
-    """Viterbi training: label the lines, count what is observed under each label, and mix with the beliefs."""
+def observed(texts: DataFrame, keys: list[str], text: str = "text", stats: bool = False) -> DataFrame:
+    """``keys, codes`` and, if asked for, the statistics of every text that isn't null, a row a key, as a table."""
+    kinds = dict(texts.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", codes binary"
+    numbers = ", word_count int, mean_word_length double, symbol_share double, closed_line_share double, common_word_share double" if stats else ""
+
+    def make():
+        def f(batch):
+            columns = [c.to_pylist() for c in batch.columns]
+            counted = list(zip(*map(statistics, columns[-1]))) if stats else []
+            return [*columns[:-1], [codes_of(t) for t in columns[-1]], *counted]
+
+        return f
+
+    return cut(map_rows(texts.select(*keys, text).where(F.col(text).isNotNull()), make, schema + numbers).dropDuplicates(keys), "observed")
+
+
+def trained(codes: DataFrame, rounds: int = ROUNDS) -> LineModel:
+    """The model after Viterbi training over all rows of ``codes``: the lines are labelled, and what is observed under each label counted."""
     model = LineModel()
     for _ in range(rounds):
-        counts = [np.array(b) * BELIEF for b in BELIEFS]
-        for t in texts:
-            lines = [x for x in t.split("\n") if x.strip()]
-            for line, k in zip(lines, model.labels(t)):
-                for c, v in zip(counts, observe(line)):
-                    c[k][v] += 0.25
-        model = LineModel([np.log(c / c.sum(1, keepdims=True)) for c in counts])
+        model = reestimated(model, codes)
     return model
 
 
-def trained(texts: DataFrame, text: str = "text") -> list:
-    """Emissions learnt from about ``TRAIN_TEXTS`` texts, picked by a hash of the text."""
-    there = texts.where(F.col(text).isNotNull())
-    share = min(1.0, TRAIN_TEXTS / max(1, there.count()))
-    picked = there.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(share * 1_000_000)).select(F.substring(text, 1, 20_000).alias("t"))
-    return learn([r["t"] for r in picked.collect()]).emissions
+def reestimated(model: LineModel, codes: DataFrame) -> LineModel:
+    emissions, go = [e.tolist() for e in model.emissions], model.shares.tolist()
 
+    def make():
+        now = LineModel(emissions, go)
+        seen, steps = np.zeros((4, len(PARTS)), np.int64), np.zeros((4, 4), np.int64)
 
-def verdicts(texts: DataFrame, keys: list[str], text: str = "text", emissions: list | None = None, stats: bool = True) -> DataFrame:
-    """``keys``, the statistics (if ``stats``), label shares and ``kind`` of every text that isn't null."""
-    kinds = dict(texts.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
-    numbers = "word_count int, mean_word_length double, symbol_share double, closed_line_share double, common_word_share double, " if stats else ""
+        def f(batch):
+            for c in batch.column(0).to_pylist():
+                labels = np.frombuffer(now.path(c), np.uint8)
+                np.add.at(seen, (labels, np.frombuffer(c, np.uint16)), 1)
+                np.add.at(steps, (labels[:-1], labels[1:]), 1)
+
+        def rest():
+            k, v = np.nonzero(seen)
+            i, j = np.nonzero(steps)
+            return [0] * len(k) + [1] * len(i), [*k, *i], [*v, *j], [*seen[k, v], *steps[i, j]]
+
+        return f, rest
+
+    rows = map_rows(codes.select("codes"), make, "what int, k int, v int, n bigint").groupBy("what", "k", "v").agg(F.sum("n").alias("n")).collect()
+    seen, steps = np.zeros((4, len(PARTS))), np.zeros((4, 4))
+    for r in rows:
+        (steps if r["what"] else seen)[r["k"], r["v"]] += r["n"]
+
+    def mixed(belief: np.ndarray, counts: np.ndarray) -> list:
+        """The belief and the counted shares, row by row, by their weights."""
+        n = counts.sum(1, keepdims=True)
+        weight = COUNTED * n / (n + BELIEF)
+        return ((BELIEF * belief + weight * counts / np.maximum(n, 1)) / (BELIEF + weight)).tolist()
+
+    of = lambda k, size: np.stack([seen[:, PARTS[:, k] == v].sum(1) for v in range(size)], 1)
+    return LineModel([mixed(np.array(b), of(k, len(b[0]))) for k, b in enumerate(BELIEFS)], mixed(LineModel().shares, steps))
+
+
+def verdicts(texts: DataFrame, keys: list[str], text: str = "text", stats: bool = True, train: bool = True) -> DataFrame:
+    """``keys``, the statistics (if ``stats``), label shares and ``kind`` of every text that isn't null, a row a key."""
+    rows = observed(texts, keys, text, stats)
+    model = trained(rows) if train else LineModel()
+    emissions, go = [e.tolist() for e in model.emissions], model.shares.tolist()
+    kept = [c for c in rows.columns if c != "codes"]
+    kinds = dict(rows.dtypes)
 
     def make():
-        model = LineModel(emissions)
+        now = LineModel(emissions, go)
 
         def f(batch):
-            columns = [c.to_pylist() for c in batch.columns]
-            judged = [model.judge(t) for t in columns[-1]]
-            counted = list(zip(*map(statistics, columns[-1]))) if stats else []
-            return [*columns[:-1], *counted, *zip(*(shares for shares, _ in judged)), [kind for _, kind in judged]]
+            found = [now.verdict(c) for c in batch.column(len(kept)).to_pylist()]
+            return [*batch.columns[: len(kept)], *zip(*(shares for shares, _ in found)), [kind for _, kind in found]]
 
         return f
 
-    return map_rows(texts.select(*keys, text).where(F.col(text).isNotNull()), make, f"{schema}, {numbers}prose_share double, list_share double, table_share double, junk_share double, kind string")
+    schema = ", ".join(f"{k} {kinds[k]}" for k in kept)
+    return map_rows(rows.select(*kept, "codes"), make, f"{schema}, prose_share double, list_share double, table_share double, junk_share double, kind string")

@@ -81,15 +81,15 @@ def p6_paragraphs(spark: SparkSession, d: str) -> DataFrame:
 def _quality(spark: SparkSession, d: str, stats: bool) -> DataFrame:
     chunks = table(tune(spark), d, "chunks", "doc_id", "chunk_ix", "content").select(F.lit("chunks").alias("origin"), F.col("doc_id").alias("row_id"), F.col("chunk_ix").alias("ix"), F.col("content").alias("text"))
     contexts = table(spark, d, "qa_pairs", "pair_id", "context").select(F.lit("qa_pairs").alias("origin"), F.col("pair_id").alias("row_id"), F.lit(0).alias("ix"), F.col("context").alias("text"))
-    return quality.verdicts(chunks.union(contexts), ["origin", "row_id", "ix"], stats=stats, emissions=quality.trained(chunks))
+    return quality.verdicts(chunks.union(contexts), ["origin", "row_id", "ix"], stats=stats)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return _quality(spark, d, False).where("kind <> 'prose'").select("origin", "row_id", "ix", "kind").distinct()
+    return _quality(spark, d, False).where("kind <> 'prose'").select("origin", "row_id", "ix", "kind")
 
 
 def p7_statistics(spark: SparkSession, d: str) -> DataFrame:
-    return _quality(spark, d, True).dropDuplicates(["origin", "row_id", "ix"])
+    return _quality(spark, d, True)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

@@ -379,12 +379,28 @@ def test_verdict(text, kind):
 
 
 def test_quality_rows(spark):
-    df = spark.createDataFrame([(1, "The pump is old.\nIt works.", 5), (2, None, 5), (3, "", 5)], "row_id bigint, text string, kind int")
-    got = {r.row_id: r for r in quality.verdicts(df, ["row_id"]).collect()}
-    assert set(got) == {1, 3} and got[1].word_count == 6 and got[1].closed_line_share == 1 and abs(got[1].mean_word_length - 19 / 6) < 1e-9 and got[3].word_count == 0
+    df = spark.createDataFrame([(1, "The pump is old.\nIt works.", 5), (2, None, 5), (3, "", 5), (1, "The pump is old.\nIt works.", 5)], "row_id bigint, text string, kind int")
+    rows = quality.verdicts(df, ["row_id"]).collect()
+    got = {r.row_id: r for r in rows}
+    assert len(rows) == 2 and set(got) == {1, 3} and got[1].word_count == 6 and got[1].closed_line_share == 1 and abs(got[1].mean_word_length - 19 / 6) < 1e-9 and got[3].word_count == 0
     assert quality.verdicts(df.limit(0), ["row_id"]).collect() == []
 
 
+def test_line_codes():
+    rng = random.Random(3)
+    for _ in range(100):
+        parts = tuple(rng.randrange(b) for b in quality.BASES)
+        assert quality.parts_of(quality.code_of(parts)) == parts == tuple(quality.PARTS[quality.code_of(parts)])
+
+
+def test_training_counts_all_lines(spark):
+    """Ten times the same texts give nearly the same model; what is seen often under a label becomes likelier there."""
+    texts = ["- one thing\n- two things\n- three\n- four", "The pump of the hall was checked by the crew and it is old.\nIt was closed by hand in the hall."] * 60
+    models = [quality.trained(quality.observed(spark.createDataFrame([(i, t) for i, t in enumerate(texts * n)], "row_id bigint, text string"), ["row_id"])) for n in (1, 10)]
+    assert models[0].emissions[0][1][1] > quality.BELIEFS[0][1][1] and models[1].emissions[0][1][1] > quality.BELIEFS[0][1][1]
+    assert all(abs(a - b).max() < 0.25 for a, b in zip(models[0].emissions, models[1].emissions)) and all(quality.np.allclose(e.sum(1), 1) for m in models for e in [*m.emissions, m.shares])
+
+
 # --- p8
 
 
