@@ -3,8 +3,8 @@
 Every record gets a membership over the target sources: records with a source have that source, records whose source
 is missing get the posterior of a naive Bayes classifier trained on a bounded sample of the labelled ones. Nonnegative
 rates (expected repeats) are fitted by projected gradient steps on the squared difference between expected and wanted
-tokens of each source: each step is one distributed sum of as many numbers as there are sources. Rates are bounded by
-the repeats allowed; a rate's fraction is rounded by a hash of the record and a cut by source that meets the
+tokens of each source: each step is one distributed sum of as many numbers as there are sources. Steps that do not
+converge raise. Rates are bounded by the repeats allowed, so what gap is left in the end is out of reach; a rate's fraction is rounded by a hash of the record and a cut by source that meets the
 expected tokens, so every run repeats the same rows.
 
 Empty and null texts have no tokens and a rate of at most one; sources without a target are not used; a target without
@@ -30,22 +30,21 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 #: Labelled rows a source from which the classifier learns, about; features are hashed to this many cells.
 TRAIN_ROWS, CELLS = 500, 1 << 13
 STEPS = 60
+#: Share of all tokens by which fitted sums may miss a target: where each step is a pass over the unlabelled rows, and where not.
+CLOSE, CLOSER = 1e-4, 1e-10
 #: Steps of the cut by which fractions of rates are rounded.
 ROUNDING = 1024
 REPORT = "source string, target_share double, target_tokens double, once_tokens bigint, most_tokens bigint, expected_tokens double, actual_tokens bigint, actual_share double, reachable boolean"
 
 
 def tokenizer(path: str = TOKENIZER):
-    """A counter of tokens, or of UTF-8 bytes over four where no vocabulary file is found."""
-    try:
-        import tiktoken
+    """A counter of tokens. A missing vocabulary file or library raises: sizes in other units would make another mix."""
+    import tiktoken
 
-        with open(path, "rb") as h:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, h)}
-        encoding = tiktoken.Encoding("sizes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda text: len(encoding.encode_ordinary(text))
-    except (ImportError, OSError):
-        return lambda text: -(-len(text.encode()) // 4)
+    with open(path, "rb") as h:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, h)}
+    encoding = tiktoken.Encoding("sizes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: len(encoding.encode_ordinary(text))
 
 
 def features(text: str) -> np.ndarray:
@@ -139,7 +138,8 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer_path: str = TOKENIZER, st
 
     Mix: ``doc_id, source, tokens, rate, repeats``. Report, a row a source: ``source, target_share, target_tokens,
     once_tokens`` (each labelled row once), ``most_tokens`` (each as often as allowed), ``expected_tokens,
-    actual_tokens, actual_share, reachable``. ``targets`` has a row a source (a bounded list).
+    actual_tokens, actual_share, reachable``. ``reachable`` tells whether the fitted rates meet the target; where they
+    don't, all rates of the source stand at their bounds. ``targets`` has a row a source (a bounded list).
     """
     spark = docs.sparkSession
     wanted = sorted((r["source"], float(r["target_share"]), int(r["max_repeats"])) for r in targets.select("source", "target_share", "max_repeats").distinct().collect())
@@ -155,18 +155,21 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer_path: str = TOKENIZER, st
     eye, history = np.eye(len(sources)), np.zeros((0, len(sources)))
     soft_size = unlabelled.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()["t"] if use_unlabelled else 0
     scale = once + soft_size / max(1, len(sources))
-    before = None
+    before, close = None, (CLOSE if soft_size else CLOSER) * max(1.0, once.sum())
     for _ in range(steps):
         now = rates_of(eye, caps, history) * once
         if soft_size:
             now = now + expected(unlabelled, caps, history)
         step = np.where(scale > 0, 0.7 * (goal - now) / np.maximum(scale, 1.0), 0.0)
-        if np.abs(goal - now).max() <= 1e-4 * max(1.0, once.sum()) or np.abs(step).max() < 1e-6:
+        if np.abs(goal - now).max() <= close:
             break
         history = np.vstack([history, step])
-        if before is not None and np.abs(now - before).max() <= 2e-5 * max(1.0, once.sum()):
+        if before is not None and np.abs(now - before).max() <= 0.2 * close:
             break  # what is left is out of reach
         before = now
+    else:
+        raise RuntimeError(f"rates have not converged in {steps} steps")
+    reached = goal - now <= 10 * close
 
     def make():
         def f(batch):
@@ -204,5 +207,5 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer_path: str = TOKENIZER, st
     for k, (s, share, cap) in enumerate(wanted):
         most = float(once[k] * cap)
         r = sums.get(s)
-        report.append((s, share, float(goal[k]), int(once[k]), int(most), float(r["e"]) if r else 0.0, int(r["t"]) if r else 0, (r["t"] if r else 0) / total, bool(most >= goal[k])))
+        report.append((s, share, float(goal[k]), int(once[k]), int(most), float(r["e"]) if r else 0.0, int(r["t"]) if r else 0, (r["t"] if r else 0) / total, bool(reached[k])))
     return mixed, spark.createDataFrame(report, REPORT)

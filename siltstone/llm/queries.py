@@ -102,7 +102,8 @@ def p8_near(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    _, report = mixing.mix(table(tune(spark), d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"))
+    """By the rows that have a source: those without one belong to none."""
+    _, report = mixing.mix(table(tune(spark), d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"), use_unlabelled=False)
     return report.where("not reachable").select("source")
 
 

@@ -43,3 +43,13 @@ def test_empty(spark):
     assert mixing.mix(docs.limit(0), targets)[0].count() == 0
     mixed, report = mixing.mix(docs, targets.limit(0))
     assert report.count() == 0 and mixed.count() == 0
+
+
+def test_raises(spark):
+    import pytest
+
+    docs, targets = data(spark)
+    with pytest.raises(RuntimeError):
+        mixing.mix(docs, targets, steps=1)
+    with pytest.raises(OSError):
+        mixing.tokenizer("/nowhere/vocabulary")
