@@ -40,16 +40,37 @@ STOP_WORDS = {
         que quien qué quién cómo cuándo dónde cuál cual si este esta estos estas ese esa se su sus lo le les más menos porque ya
         aunque después antes entre tras desde hasta sí hay puede permanece""",
 }
-LANGUAGE_OF = {}
-for _lang, _words in STOP_WORDS.items():
-    for _w in _words.split():
-        LANGUAGE_OF.setdefault(_w, []).append(_lang)
+# The same for languages in which answers may stray.
+OTHER_STOP_WORDS = {
+    "it": """il lo la i gli le un una uno di del della dello dei degli delle da dal dalla in nel nella nei con su sul sulla per tra fra e ed o ma non è sono
+        era ha hanno che chi cui come quando dove perché se anche più molto questo questa questi queste viene nessuno essere stato""",
+    "pt": """o a os as um uma uns umas de do da dos das em no na nos nas com por para pelo pela e ou mas não é são era foi tem têm que quem como quando onde
+        porque se também mais muito este esta isto esse essa seu sua ao à até já""",
+    "nl": """de het een en of maar niet is zijn was waren wordt worden heeft hebben van in op aan met voor door bij naar uit over onder na om te dat die
+        dit deze wie wat waar hoe als ook nog wel geen er ze hij zij wij meer dan""",
+    "sv": """en ett den det de och eller men inte är var har hade som att på av med för till från vid om under över efter när där vad vem hur också mer än
+        den här man sig sin sitt kan ska blir""",
+    "pl": """i w we na z ze do od po za o u przez dla przy nie jest są był była było być się że który która które co kto jak gdy gdzie czy ale oraz lub
+        także już tylko jego jej ich ten ta to te""",
+}
+LANGUAGE_OF, VOTERS = {}, {}
+for _lang, _words in (STOP_WORDS | OTHER_STOP_WORDS).items():
+    for _w in dict.fromkeys(_words.split()):
+        VOTERS.setdefault(_w, []).append(_lang)
+        if _lang in STOP_WORDS:
+            LANGUAGE_OF.setdefault(_w, []).append(_lang)
+LANGUAGES = (*STOP_WORDS, *OTHER_STOP_WORDS)
 # Languages by their names in instructions.
 LANGUAGE_NAMES = {
     "en": "english englisch englischer englischen anglais anglaise inglés inglesa ingles",
     "de": "german deutsch deutscher deutschen allemand allemande alemán alemana aleman",
     "fr": "french französisch französischer französischen français française francés francesa frances francais",
     "es": "spanish spanisch spanischer spanischen espagnol espagnole español española castellano espanol",
+    "it": "italian italienisch italien italienne italiano italiana",
+    "pt": "portuguese portugiesisch portugais portugués portuguesa português",
+    "nl": "dutch niederländisch néerlandais holandés neerlandés",
+    "sv": "swedish schwedisch suédois sueco",
+    "pl": "polish polnisch polonais polaco",
     "cyrillic": "russian russisch russe ruso rusa",
     "cjk": "chinese japanese chinesisch japanisch chinois japonais chino japonés mandarin",
     "arabic": "arabic arabisch arabe árabe",
@@ -67,6 +88,7 @@ SCRIPTS = {
     "greek": re.compile("[Ͱ-Ͽ]"),
     "hebrew": re.compile("[֐-׿]"),
 }
+UNSPACED = re.compile("[฀-๿぀-ヿ㐀-鿿]")
 WIDE = re.compile("[Ͱ-ӿ֐-ۿऀ-ॿ฀-๿぀-ヿ㐀-鿿가-힣]")
 # Phrases by which a writer declines, and by which they do so politely. Apostrophes are straight.
 REFUSAL_PHRASES = """i cannot answer|i can't answer|i cannot help|i can't help|i cannot assist|i can't assist|i cannot provide|i can't provide|
@@ -100,8 +122,6 @@ NEVER_LAST = frozenset(
 )
 #: Shares of an answer's words copied from the question, and of the question's words copied, that make a copy.
 COPIED, COPIED_OF_QUESTION = 0.9, 0.5
-#: Longest refusal sentence, in words; more words carry something else.
-REFUSAL_WORDS = 40
 
 
 def _automaton(phrases: str) -> ahocorasick.Automaton:
@@ -181,37 +201,46 @@ def script_of(text: str) -> str | None:
     return best if counts[best] * (2 if best in ("cjk", "hangul") else 1) > latin else None
 
 
+def units(text: str) -> list[str]:
+    """Words in lower case; in scripts without spaces each letter is one."""
+    words = WORD.findall(text.lower())
+    if text.isascii() or not UNSPACED.search(text):
+        return words
+    return [x for w in words for x in (w if UNSPACED.search(w) else [w])]
+
+
 def votes(words: list[str]) -> dict[str, int]:
-    n = {"en": 0, "de": 0, "fr": 0, "es": 0}
+    n = dict.fromkeys(LANGUAGES, 0)
     for w in words:
-        if w in LANGUAGE_OF:
-            for lang in LANGUAGE_OF[w]:
-                n[lang] += 1
+        for lang in VOTERS.get(w, ()):
+            n[lang] += 1
     return n
 
 
 def language_differs(question: str, q_words: list[str], answer: str, a_words: list[str], instruction: str) -> bool:
+    """Whether the answer's stop words (or script) vote for another language than the question's; languages with equal
+    votes stand together."""
     there, here = script_of(question), script_of(answer)
-    lang = here
+    langs = {here}
     if here == there is None:
         a, q = votes(a_words), votes(q_words)
-        own = max(q, key=q.get)
-        if not q[own]:
-            return False
-        lang = max(a, key=a.get)
-        if lang == own or a[lang] < 2 or a[lang] - a[own] < max(2, 0.15 * len(a_words)) and not (a[own] == 0 and len(a_words) <= 8):
+        most, asked_most = max(a.values()), max(q.values())
+        if not asked_most:
             return False
-        if list(a.values()).count(a[lang]) > 1:
+        own = max(a[k] for k in LANGUAGES if q[k] == asked_most)
+        langs = {k for k in LANGUAGES if a[k] == most}
+        if own == most or most < 2 or most - own < max(2, 0.15 * len(a_words)) and not (own == 0 and len(a_words) <= 8):
             return False
     elif here == there:
         return False
     elif here is None:
         a = votes(a_words)
-        lang = max(a, key=a.get)
-        if a[lang] < 2:
+        most = max(a.values())
+        langs = {k for k in LANGUAGES if a[k] == most}
+        if most < 2:
             return False
-    asked = {LANGUAGE_NAMED[w] for w in WORD.findall(instruction.lower()) if w in LANGUAGE_NAMED} if instruction else ()
-    return lang not in asked
+    asked = {LANGUAGE_NAMED[w] for w in WORD.findall(instruction.lower()) if w in LANGUAGE_NAMED} if instruction else set()
+    return langs.isdisjoint(asked)
 
 
 def only_declines(answer: str) -> bool:
@@ -231,7 +260,7 @@ def only_declines(answer: str) -> bool:
             hit = m.end()
         if hit:
             lead = s[:hit]
-            if len(words) > REFUSAL_WORDS or CONTRAST.search(s[hit:]):
+            if CONTRAST.search(s[hit:]):
                 return False
             if ' "' in lead or "“" in lead or re.search(r"\b(?:said|says|wrote|noted|that they|sagte|schrieb|a dit|dijo)\b", lead):
                 return False
@@ -255,7 +284,7 @@ def breaks_off(answer: str, a_words: list[str]) -> bool:
     for c in text:
         if c in "([{":
             stack.append(c)
-        elif c in ")]}" and stack:
+        elif c in ")]}" and stack and stack[-1] == "([{"[")]}".index(c)]:
             stack.pop()
     if stack:
         return True
@@ -280,18 +309,19 @@ def breaks_off(answer: str, a_words: list[str]) -> bool:
 
 def defect(question: str | None, answer: str | None, instruction: str | None) -> str | None:
     answer = answer or ""
-    a_words = WORD.findall(answer.lower())
+    a_words = units(answer)
     bare = "".join(a_words)
     if not bare or bare in STAND_INS and not re.search(r"\w{3,}\s+\w", answer.strip("[](){}<>\"' ")) and not answer.strip().lower() == "a":
         return "empty"
     if bare in STAND_INS and len(a_words) > 1:
         return "empty"
     question = question or ""
-    q_words = WORD.findall(question.lower())
+    q_words = units(question)
     if language_differs(question, q_words, answer, a_words, instruction or ""):
         return "other_language"
     if len(a_words) >= 3 and len(q_words) >= 3:
         known = set(q_words)
+        # Copied words are known words, so only answers with enough of these need the automaton.
         if sum(w in known for w in a_words) >= COPIED * len(a_words):
             copied = SuffixAutomaton(q_words).covered(a_words)
             if copied >= COPIED * len(a_words) and copied >= COPIED_OF_QUESTION * len(q_words):

@@ -41,7 +41,6 @@ THAI = re.compile("(?<=[ก-๎])[ \n]+(?=[ก-๎])")
 THAI_LETTER, LETTER = re.compile("[ก-๎]"), re.compile(r"[^\W\d_]")
 OPEN = {"“": "”", "„": "“", "«": "»", "「": "」", "『": "』", "(": ")", "（": "）", "[": "]"}
 CLOSE = {v: k for k, v in OPEN.items()} | {"“": "„"}
-BRACKETS = frozenset("([（")
 CJK = re.compile("[぀-ヿ㐀-鿿]")
 CAPITALS = re.compile(r"[^\W\d_a-z]{1,3}\.")
 #: Evidence for the corpus tables: a short word, a full stop, and what follows.
@@ -49,6 +48,8 @@ SHORT_STOP = re.compile(r"(?<![^\W_])([^\W\d_]{1,6})\. +([\"“„«(]?)([^\W_]+
 LONG_STOP = re.compile(r"[^\W\d_]{3,}[.!?][ \n]+([^\W\d_]+)")
 #: Of a word with a full stop, the share of occurrences before a small letter that makes it an abbreviation.
 ABBREVIATION_SHARE = 0.3
+#: Of all short words with a full stop, the share that must be one word for the corpus to know it as an abbreviation.
+KNOWN_SHARE = 1e-5
 #: Of all sentences, the share (counted once a document) that must start with a word for it to count as a usual beginning.
 STARTER_SHARE = 2e-4
 
@@ -208,8 +209,8 @@ class Splitter:
             c = text[e] if e < limit else ""
         if not text[e:limit].strip() if e >= limit - 2 else False:
             return limit
-        if (quoted or closed) and (marks := open_marks(text[at:e])):
-            return 0 if e - at < 1500 or any(m in BRACKETS for m in marks) else e
+        if (quoted or closed) and any(self.closes(text, m, e, limit, seen) for m in open_marks(text[at:e])):
+            return 0
         spaced = not c or c.isspace()
         i = e
         while i < limit and text[i].isspace():
@@ -283,7 +284,7 @@ class Splitter:
                 return 0
             if token.isupper():
                 return self.by_name(text, i, limit, e, seen, token)
-        if word in NEVER_LAST and not word[-1:].isdigit():
+        if word in NEVER_LAST and not word[-1:].isdigit() and not self.ordinary(text, token, seen):
             if len(word) > 1 or lead.isdigit() or lead.isupper():
                 return 0
         inner = "." in token
@@ -297,6 +298,15 @@ class Splitter:
             return self.by_name(text, i, limit, e, seen, token)
         return e
 
+    @staticmethod
+    def closes(text: str, mark: str, e: int, limit: int, seen: dict) -> bool:
+        """Whether an open mark is closed in the rest of the block; one that isn't holds nothing together."""
+        key = (mark, limit)
+        if key not in seen:
+            ends = '"' if mark == '"' else "”“" if mark == "„" else OPEN[mark]
+            seen[key] = max(text.rfind(c, e, limit) for c in ends)
+        return seen[key] >= e
+
     def abbreviation(self, text: str, token: str, seen: dict) -> bool:
         """Document first: the word with a full stop before a small letter, a digit or a comma; then the corpus."""
         key = ("a", token)
@@ -313,6 +323,14 @@ class Splitter:
             seen[key] = found or token.lower() in self.abbreviations
         return seen[key]
 
+    def ordinary(self, text: str, token: str, seen: dict) -> bool:
+        """Document before list: whether a listed abbreviation is a word of its own here, which stands without a full stop
+        and never as an abbreviation."""
+        key = ("o", token)
+        if key not in seen:
+            seen[key] = len(token) > 1 and re.search(rf"(?<=[^\W\d_] ){re.escape(token)}(?= [^\W\d_A-Z])", text) is not None and not self.abbreviation(text, token, {})
+        return seen[key]
+
     def by_name(self, text: str, i: int, limit: int, e: int, seen: dict, token: str) -> int:
         """After an abbreviation: a name goes on with the sentence, an ordinary word begins another."""
         while i < limit and not text[i].isalnum():
@@ -328,18 +346,21 @@ class Splitter:
         key = ("n", word)
         if key not in seen:
             low = word.lower()
-            if word in self.starters or f" {low} " in text or f" {low}," in text:
+            if f" {low} " in text or f" {low}," in text:
                 seen[key] = False
             else:
-                seen[key] = True
+                # A capital letter in the middle of a sentence tells a name, whatever sentences begin with elsewhere.
+                inside = re.search(rf"[^\W\d_A-Z]{{3,}},? {re.escape(word)}(?![^\W_])", text) is not None
+                seen[key] = inside or word not in self.starters
         return 0 if seen[key] else e
 
 
 def corpus_evidence(df: DataFrame, text: str = "text") -> tuple[frozenset[str], frozenset[str]]:
     """Abbreviations and usual sentence beginnings, counted over all rows of ``df``.
 
-    Each task sends sums; the result keeps only words of at most six letters, and beginnings of at least
-    ``STARTER_SHARE`` of all sentences (at most 1 / STARTER_SHARE words), so its size is bounded.
+    Each task sends sums; the result keeps only abbreviations of at least ``KNOWN_SHARE`` of all short words with a full
+    stop, and beginnings of at least ``STARTER_SHARE`` of all sentences, so it has at most 1 / KNOWN_SHARE + 1 /
+    STARTER_SHARE words.
     """
 
     def make():
@@ -356,9 +377,9 @@ def corpus_evidence(df: DataFrame, text: str = "text") -> tuple[frozenset[str],
         return count
 
     sums = cut(map_rows(df.select(text).where(F.col(text).isNotNull()), make, "kind string, word string, open boolean, n bigint").groupBy("kind", "word").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("open"), F.col("n")).otherwise(0)).alias("n_open")), "evidence")
-    total = F.sum(F.when(F.col("kind") == "s", F.col("n"))).alias("total")
-    total = sums.agg(total).first()["total"] or 0
-    kept = sums.where(((F.col("kind") == "a") & (F.col("n") >= 3) & (F.col("n_open") >= ABBREVIATION_SHARE * F.col("n"))) | ((F.col("kind") == "s") & (F.col("n") >= max(4.0, STARTER_SHARE * total))))
+    totals = {r["kind"]: r["n"] for r in sums.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    total = totals.get("s", 0)
+    kept = sums.where(((F.col("kind") == "a") & (F.col("n") >= max(3.0, KNOWN_SHARE * totals.get("a", 0))) & (F.col("n_open") >= ABBREVIATION_SHARE * F.col("n"))) | ((F.col("kind") == "s") & (F.col("n") >= max(4.0, STARTER_SHARE * total))))
     rows = kept.select("kind", "word").collect()
     return frozenset(r.word for r in rows if r.kind == "a"), frozenset(r.word for r in rows if r.kind == "s")
 

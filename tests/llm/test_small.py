@@ -203,6 +203,9 @@ def test_split_records(spark):
         ("Wozu dient die Pumpe?", "Leider fehlen mir dafür die Angaben. Bitte fragen Sie eine Fachkraft.", None, "refusal"), ("À quoi sert la pompe ?", "Désolé, il m'est impossible d'en dire plus.", None, "refusal"), ("Why?", "I cannot confirm the date, but the pump is in the hall.", None, None),
         ("How does the pump of Ann behave in the hall?", "HOW DOES THE PUMP OF ANN BEHAVE IN THE HALL", None, "copies_question"), ("How does the pump of Ann behave in the hall?", "How does the pump of Ann behave in the hall? It is loud and slow.", None, None),
         ("How does the pump behave in the hall?", "Die Pumpe ist in der Halle und wird nicht gebraucht.", None, "other_language"), ("How does the pump behave in the hall?", "Die Pumpe ist in der Halle und wird nicht gebraucht.", "Answer in German.", None), ("How does the pump behave?", "ポンプを点検してください。", None, "other_language"), (None, "A good answer.", None, None),
+        ("水泵为什么没有检查？", "水泵为什么没有检查", None, "copies_question"), ("水泵为什么没有检查？", "水泵为什么没有检查？因为班长在地下室测量了过滤器。", None, None),
+        ("How does the pump behave in the hall?", "La pompa della sala è molto vecchia e non viene più usata da nessuno.", None, "other_language"), ("How does the pump behave in the hall?", "De pomp van de hal is niet meer in gebruik en wordt verkocht.", None, "other_language"),
+        ("¿Cómo se usa la bomba en la sala?", "La bomba de la sala no se usa para nada porque es muy vieja.", None, None), ("What is the pump for?", "It lifts (see the plan [2) and fills", None, "truncated"),
     ],
 )
 def test_defects(q, a, i, d):
@@ -512,3 +515,13 @@ def test_sentences_behind_the_beginning():
     assert [text[a:b] for a, b in s.units(text)][-1] == "The phrase สวัสดี ครับ is a greeting in Thai."
     text = "The Xyz. Before it was. " * 60 + "Here xyz Xyz. goes on."
     assert [text[a:b] for a, b in s.units(text)][0] != "The Xyz."
+
+
+def test_sentences_evidence():
+    s = sentences.Splitter()
+    units = lambda text, s=s: [text[a:b] for a, b in s.units(text)]
+    long = "“" + "It goes on and on. " * 200 + "” he said."
+    assert units(long) == [long] and units('He said "go on. Then he left. She stayed.') == ['He said "go on.', "Then he left.", "She stayed."]
+    assert units("They had no pump. I said no. Then we left.") == ["They had no pump.", "I said no.", "Then we left."] and units("See no. 5 or No. Seven.") == ["See no. 5 or No. Seven."]
+    named = sentences.Splitter(frozenset(), frozenset({"May"}))
+    assert units("It met J. May today. They saw that May was here.", named) == ["It met J. May today.", "They saw that May was here."]
