@@ -83,7 +83,8 @@ def connected_components(edges: DataFrame, levels: int = 2, fan_in: int = 4, max
 
     Forests of single partitions first, then of ``fan_in`` merged partitions, ``levels`` times: each level leaves at
     most one edge a node and forest. What spans more partitions is contracted by joins with the least neighbour,
-    which never gathers the neighbours of a node. ``edges`` should be a table read, so that its partitions are known.
+    which never gathers the neighbours of a node; each round shortens all chains by half, and components that have not
+    settled in ``max_rounds`` raise. ``edges`` should be a table read, so that its partitions are known.
     """
     partitions = edges.rdd.getNumPartitions()
     self_loops = edges.where("a = b").select("a").distinct()
@@ -92,12 +93,14 @@ def connected_components(edges: DataFrame, levels: int = 2, fan_in: int = 4, max
         partitions = max(1, partitions // fan_in)
         e = e.coalesce(partitions).mapInArrow(forest, "a bigint, b bigint")
     e = cut(e, "forest")
-    for _ in range(max_rounds):
+    for done in range(max_rounds + 1):
         # Stable when every node hangs on exactly one root, and no root hangs on anything.
         per_node = e.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("x"))
         loose = per_node.where("m <> x").select("a").union(per_node.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a"))
         if loose.isEmpty():
             break
+        if done == max_rounds:
+            raise RuntimeError(f"components have not settled in {max_rounds} rounds")
         least = per_node.select("a", "m")
         # Large and small star: each child hangs on its least parent, other parents hang on it, roots are followed once.
         linked = e.join(least, "a").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b")))
@@ -183,12 +186,13 @@ def split_records(records: DataFrame, shares: DataFrame, key: str = "pair_id") -
     """``key, source, split`` for every record; records whose ``source`` denotes one file share a split."""
     rows = cut(records.select(key, "source").groupBy(key).agg(F.min("source").alias("source")), "records")
     files = cut(same_file(rows), "files")
-    member = rows.join(files, "source", "left").withColumn("component", F.coalesce("component", F.xxhash64(F.lit("record"), key)))
-    by_source = rows.where(F.col("source").isNotNull()).groupBy("source").agg(F.count("*").alias("n"))
-    sized = by_source.join(files, "source").groupBy("component").agg(F.sum("n").alias("size"))
-    single = rows.where(F.col("source").isNull()).select(F.xxhash64(F.lit("record"), key).alias("component"), F.lit(1).cast("bigint").alias("size"))
-    wanted = {r["split"]: float(r["share"]) for r in shares.collect()}
-    return member.join(assign_splits(sized.union(single), wanted), "component").select(key, "source", "split")
+    named, single = rows.where(F.col("source").isNotNull()), rows.where(F.col("source").isNull()).withColumn("component", F.xxhash64(F.lit("record"), key))
+    # Records are counted by source before files are joined, and meet their split through a table with a row a source.
+    sized = named.groupBy("source").agg(F.count("*").alias("n")).join(files, "source").groupBy("component").agg(F.sum("n").alias("size"))
+    groups = cut(sized.union(single.select("component", F.lit(1).cast("bigint").alias("size"))), "groups")
+    dealt = cut(assign_splits(groups, {r["split"]: float(r["share"]) for r in shares.collect()}), "dealt")
+    by_source = files.join(dealt, "component").select("source", "split")
+    return named.join(by_source, "source").select(key, "source", "split").union(single.join(dealt, "component").select(key, "source", "split"))
 
 
 def spelling_pairs(records: DataFrame) -> DataFrame:

@@ -157,6 +157,8 @@ def test_components(spark):
         parent[max(find(a), find(b))] = min(find(a), find(b))
     got = {r.node: r.component for r in splits.connected_components(spark.createDataFrame(edges, "a bigint, b bigint").repartition(16)).collect()}
     assert got == {x: find(x) for x in parent}
+    with pytest.raises(RuntimeError):
+        splits.connected_components(spark.createDataFrame([(9 - i, 10 - i) for i in range(9)], "a bigint, b bigint").repartition(9), levels=0, max_rounds=0)
 
 
 def test_greedy_bulk():
