@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -19,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 WORDS = re.compile(r"\w+")
 
 
-def map_rows(df: DataFrame, make: Callable, schema: str) -> DataFrame:
+def map_rows(df: DataFrame, make: Callable, schema: str, profile=None) -> DataFrame:
     """``mapInArrow`` over columns: ``make()`` runs once a task and gives ``f(*columns as lists) -> tuple of lists``."""
     out = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(out)
@@ -31,7 +32,7 @@ def map_rows(df: DataFrame, make: Callable, schema: str) -> DataFrame:
                 columns = f(*(c.to_pylist() for c in batch.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=field.type) for c, field in zip(columns, arrow)], schema=arrow)
 
-    return df.mapInArrow(run, out)
+    return df.mapInArrow(run, out, profile=profile)
 
 
 def tokens(text: str | None) -> list[str]:
@@ -50,6 +51,37 @@ def cosine_of(a: Counter, b: Counter) -> float:
     return dot / math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values())) if dot else 0.0
 
 
+@F.pandas_udf(T.BooleanType())
+def window_found(answer: pd.Series, text: pd.Series) -> pd.Series:
+    """Whether some window of as many words as the answer has a cosine of word counts over 0.8 with it; null counts as empty.
+
+    White space parts the words of windows; the sums slide along, in whole numbers.
+    """
+
+    def one(a, t) -> bool:
+        want, n = bow(a), len((a or "").split())
+        words = [tokens(x) for x in (t or "").split()]
+        norm = sum(x * x for x in want.values())
+        if not norm or len(words) < n:
+            return False
+        have: Counter = Counter()
+        dot = square = 0
+        for i, new in enumerate(words):
+            for w in new:
+                dot += want.get(w, 0)
+                square += 2 * have[w] + 1
+                have[w] += 1
+            for w in words[i - n] if i >= n else ():
+                have[w] -= 1
+                square -= 2 * have[w] + 1
+                dot -= want.get(w, 0)
+            if i >= n - 1 and 25 * dot * dot > 16 * norm * square:
+                return True
+        return False
+
+    return pd.Series([one(a, t) for a, t in zip(answer, text)], dtype="bool")
+
+
 @F.pandas_udf(T.DoubleType())
 def bow_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
     """Cosine of the word counts of two texts; null counts as empty."""
@@ -67,28 +99,36 @@ def bow_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([cosine_of(bag(x), bag(y)) for x, y in zip(a, b)], dtype="float64")
 
 
+@F.pandas_udf(T.DoubleType())
+def best_cosine(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The largest cosine of a text's word counts to those of an array of texts; 0 for an empty array."""
+    return pd.Series([max((cosine_of(bow(x), bow(t)) for t in ts), default=0.0) if ts is not None and len(ts) else 0.0 for x, ts in zip(a, b)], dtype="float64")
+
+
 # --- chunks -----------------------------------------------------------------------------------------------------
 
 
 def word_chunks(text: str, size: int = 512, overlap: int = 50, reach: int = 20) -> list[str]:
     """Runs of about ``size`` words that overlap and end at a sentence end within ``reach`` words if there is one.
 
-    A text of at most ``size`` words stays as it is. Every chunk begins behind the beginning of the one before.
+    A text of at most ``size`` words stays as it is. Every chunk begins behind the beginning of the one before. The ends
+    of sentences are listed once; each chunk takes the last of them in its reach, by bisection.
     """
     w = text.split()
     if len(w) <= size:
         return [text]
-    out, start = [], 0
-    while start < len(w):
-        end = start + size
-        if end >= len(w):
-            out.append(" ".join(w[start:]))
-            break
-        stops = (i + 1 for i in range(min(end + reach, len(w) - 1), max(end - reach, start), -1) if w[i][-1] in ".!?")
-        end = next(stops, end)
-        out.append(" ".join(w[start:end]))
-        start = max(start + 1, end - overlap)
-    return out
+    closed = [i for i, x in enumerate(w, 1) if x.endswith((".", "!", "?"))]
+    spans: list[tuple[int, int]] = []
+    start = 0
+    while start + size < len(w):
+        hard = start + size
+        k = bisect_right(closed, min(hard + reach + 1, len(w)))
+        end = closed[k - 1] if k and closed[k - 1] > max(hard - reach, start) + 1 else hard
+        spans.append((start, end))
+        start = max(end - overlap, start + 1)
+    if start < len(w):
+        spans.append((start, len(w)))
+    return [" ".join(w[a:b]) for a, b in spans]
 
 
 def char_chunks(text: str, size: int = 1500, overlap: int = 150, separators: tuple[str, ...] = ("\n\n", "\n", ". ", ", ", " ")) -> list[str]:

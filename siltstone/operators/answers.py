@@ -65,25 +65,46 @@ def text_answers(docs: DataFrame, key: str = "doc_id", text: str = "content", ma
     return arrow.map_rows(docs.select(key, text).where(F.col(text).isNotNull()), make, f"{key} {kind}, n int, text string, type string, subtype string, score double, context string")
 
 
-def all_answers(docs: DataFrame, key: str = "doc_id", text: str = "content") -> DataFrame:
-    """Union of text and visual candidates with ``seq``, their order within the document."""
-    t = text_answers(docs, key, text).select(key, F.lit(0).alias("kind_no"), "n", "text", "type", "subtype", "score", F.lit(None).cast("string").alias("question"))
-    u = t.unionByName(visual_answers(docs, key, text))
+def all_answers(docs: DataFrame, key: str = "doc_id", text: str = "content", combined: bool = True) -> DataFrame:
+    """Union of text, visual and combined candidates with ``seq``, their order within the document."""
+    none = F.lit(None).cast("string")
+    t = text_answers(docs, key, text).select(key, F.lit(0).alias("kind_no"), "n", "text", "type", "subtype", "score", none.alias("question"), "context")
+    u = t.unionByName(visual_answers(docs, key, text).withColumn("context", none))
+    if combined:
+        u = u.unionByName(combined_answers(docs, key, text).withColumn("kind_no", F.lit(9)).withColumn("question", none))
     return u.withColumn("seq", F.row_number().over(Window.partitionBy(key).orderBy("kind_no", "n")))
 
 
 def related_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "content", reach: int = 3) -> DataFrame:
-    """``key, place, context, related``: each visual context with the ``reach`` paragraphs around where it stands."""
-    p = docs.select(key, F.split(text, "\n\n").alias("p")).select(key, "p", F.posexplode("p").alias("i", "para"))
-    found = p.select(key, "p", "i", F.explode(F.regexp_extract_all("para", F.lit(r"\[Visual Context:([^\]]+)\]"), 1)).alias("c"))
-    lo = F.greatest(F.col("i") - reach, F.lit(0))
-    return found.select(key, F.col("i").alias("place"), strip(F.col("c")).alias("context"), F.array_join(F.slice("p", lo + 1, F.col("i") + reach + 1 - lo), "\n\n").alias("related"))
+    """``key, n, place, context, related``: each visual context (``n``, in order) with the ``reach`` paragraphs around every
+    paragraph that holds its text."""
+    p = docs.select(key, F.split(text, "\n\n").alias("p"), F.posexplode(F.regexp_extract_all(text, F.lit(r"\[Visual Context:([^\]]+)\]"), 1)).alias("n", "c"))
+    p = p.select(key, "n", "p", strip(F.col("c")).alias("context"))
+    found = p.select(key, "n", "p", "context", F.posexplode("p").alias("place", "para")).where(F.col("para").contains(F.col("context")))
+    lo = F.greatest(F.col("place") - reach, F.lit(0))
+    return found.select(key, "n", "place", "context", F.array_join(F.slice("p", lo + 1, F.col("place") + reach + 1 - lo), "\n\n").alias("related"))
+
+
+def combined_answers(docs: DataFrame, key: str = "doc_id", text: str = "content") -> DataFrame:
+    """``key, n, text, type, subtype, score, context``: visual answers tied to the visual contexts they stand near.
+
+    A visual answer belongs to a context if its marker stands within three paragraphs of the context's text; its score is
+    the mean of its own and 0.9. Equal texts are told apart by their kind and number.
+    """
+    near = related_paragraphs(docs, key, text).select(key, F.col("n").alias("context_no"), "place", F.col("context").alias("visual_context"), "related")
+    v = visual_answers(docs, key, text).select(key, "kind_no", F.col("n").alias("answer_no"), "text", "subtype", "score")
+    met = near.join(v, key).where(F.col("related").contains(F.col("text")))
+    order = F.row_number().over(Window.partitionBy(key).orderBy("context_no", "place", "kind_no", "answer_no"))
+    said = F.concat("text", F.lit(" (Visual) - Related to: "), "visual_context")
+    return met.select(key, (order - 1).alias("n"), said.alias("text"), F.lit("combined").alias("type"), F.concat(F.lit("text_"), "subtype").alias("subtype"), ((F.col("score") + 0.9) / 2).alias("score"), F.col("related").alias("context"))
 
 
 def verified(answer: Column, text: Column) -> Column:
-    """Whether the answer stands in the text, without regard to case and white space."""
+    """Whether the answer stands in the text, without regard to case and white space, or a window of as many words is
+    much like it (cosine of word counts over 0.8). The windows are only looked at where the first test fails."""
     norm = lambda c: F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")))
-    return norm(text).contains(norm(answer))
+    found = norm(text).contains(norm(answer))
+    return found | arrow.window_found(F.when(~found, norm(answer)), F.when(~found, norm(text)))
 
 
 def answer_rank(score: Column, kind: Column, text: Column) -> Column:
@@ -106,12 +127,28 @@ def ranked(answers: DataFrame, key: str = "doc_id", top: int = 50) -> DataFrame:
 
 
 def located(pairs: DataFrame, answer: str = "answer", content: str = "content", least: float = 0.6) -> DataFrame:
-    """Adds ``main_text``, ``ocr_text`` and ``image_caption``: where the answer's like is found."""
+    """Adds ``main_text``, ``ocr_text`` and ``image_caption``: where the answer's like is found.
+
+    The main text is compared as one; of the OCR and caption sections any may be like the answer.
+    """
     paragraphs = F.split(F.coalesce(content, F.lit("")), "\n\n")
-    marked = lambda name: (lambda p: p.startswith(f"[{name}:"))
-    ocr, caption = marked("OCR Text"), marked("Image Caption")
+    ocr, caption = (lambda p: p.startswith("[OCR Text:")), (lambda p: p.startswith("[Image Caption:"))
     main = F.array_join(F.filter(paragraphs, lambda p: ~ocr(p) & ~caption(p)), "\n\n")
-    body = lambda name, is_: F.array_join(F.transform(F.filter(paragraphs, is_), lambda p: F.regexp_extract(p, rf"(?s)\[{name}: (.*?)\]", 1)), " ")
+
+    def body(name: str, marked):
+        return F.transform(F.filter(paragraphs, marked), lambda p: F.regexp_extract(p, rf"\[{name}: (.*?)\]", 1))
+
     x = pairs.withColumn("main_text", arrow.bow_cosine(F.col(answer), main) >= least)
-    x = x.withColumn("ocr_text", arrow.bow_cosine(F.col(answer), body("OCR Text", ocr)) >= least)
-    return x.withColumn("image_caption", arrow.bow_cosine(F.col(answer), body("Image Caption", caption)) >= least)
+    x = x.withColumn("ocr_text", arrow.best_cosine(F.col(answer), body("OCR Text", ocr)) >= least)
+    return x.withColumn("image_caption", arrow.best_cosine(F.col(answer), body("Image Caption", caption)) >= least)
+
+
+def extracted_by_model(docs: DataFrame, model, key: str = "doc_id", text: str = "content", prompts=None) -> DataFrame:
+    """``key, record, text, reasoning, score, type``: answers that a model finds in the text and that are verified there."""
+    from siltstone.functions.parse import parse_answers
+    from siltstone.models.clients import generate
+    from siltstone.models.prompts import Prompts
+
+    asked = generate(docs.withColumn("prompt", (prompts or Prompts()).column("answers", text=F.col(text))), model, [key])
+    found = parse_answers(asked, key, "reply").join(docs.select(key, F.col(text).alias("source_text")), key)
+    return found.where(verified(F.col("text"), F.col("source_text"))).drop("source_text")

@@ -15,7 +15,7 @@ from siltstone.functions.arrow import chunked
 from siltstone.functions.parse import density, parse_qa_lines, parse_triplets, parse_verdicts
 from siltstone.functions.text import clean_text
 from siltstone.io import cut
-from siltstone.models.clients import Template, generate
+from siltstone.models.clients import Retry, Template, generate, verdict_ok
 from siltstone.models.prompts import Prompts, format_examples
 from siltstone.operators.filters import content_ok, dense_enough, lengths_fit, pair_valid, route, supported
 from siltstone.operators.similarity import chunk_scores, merge_chunks, near_dup_flags
@@ -46,10 +46,11 @@ def triplets_of(chunks: DataFrame, model: Callable, prompts: Prompts | None = No
 
 
 def judged(pairs: DataFrame, model: Callable, prompts: Prompts | None = None) -> DataFrame:
-    """Pairs with ``validation_scores`` (null for replies that aren't well-formed)."""
+    """Pairs with ``validation_scores`` (null for replies that aren't well-formed after three tries)."""
     prompts = prompts or Prompts()
     p = prompts.column("judge", question=F.col("question"), answer=F.col("answer"), instruction=F.col("instruction"), text=F.col("context"))
-    replies = parse_verdicts(generate(pairs.withColumn("prompt", p), model, ["doc_id", "seq"]), "reply")
+    patient = model if isinstance(model, Template) else Retry(model, verdict_ok)
+    replies = parse_verdicts(generate(pairs.withColumn("prompt", p), patient, ["doc_id", "seq"]), "reply")
     names = ("answer_validity", "question_quality", "instruction_quality")
     scores = F.when(F.col("well_formed"), F.create_map(*[x for n in names for x in (F.lit(n), F.col(n))]))
     return pairs.join(replies.select("doc_id", "seq", scores.alias("validation_scores")), ["doc_id", "seq"])
