@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,9 @@ def main(arguments: list[str] | None = None) -> None:
     if not a.again:
         try:
             state = spark.read.parquet(f"{a.output}/state")
-        except Exception:  # noqa: BLE001 - the first run has no state
-            state = None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # only the first run has no state; any other fault must not start all over again
     docs = read_documents(spark, a.input, state, config, a.first).withColumn("doc_id", F.xxhash64("source")).persist()
     accepted, failed = run(docs.where("error is null"), client(a.model, **({"url": a.url} if a.url else {})), config)
     write_jsonl(accepted, f"{a.output}/instruction_data")

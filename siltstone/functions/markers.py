@@ -100,7 +100,7 @@ def combine_annotations(images: Column, location: bool = False) -> Column:
     return F.array_join(F.filter(F.transform(images, one), lambda s: s != ""), "\n\n")
 
 
-def image_context(annotation: Column, questions: tuple[str, str] = ("What is shown in this image?", "What is the main subject?")) -> Column:
+def image_context(annotation: Column, questions: tuple[str, ...] = ("Describe the picture in one line.", "Name the thing it is about.")) -> Column:
     """A one-line summary of an annotation; ``Visual content`` if it says nothing."""
     objects = F.transform(F.filter(annotation["context"]["objects"], lambda o: o["confidence"] > 0.7), lambda o: o["label"])
     answers = F.transform(F.filter(annotation["context"]["visual_qa"], lambda q: q["question"].isin(*questions) & ~F.lower(q["answer"]).isin(*UNSURE)), lambda q: q["answer"])

@@ -50,6 +50,13 @@ def diversity(texts: DataFrame, group: str, order: str, text: str) -> DataFrame:
     return x.select(group, value.alias("diversity"))
 
 
+def pair_diversity(pairs: DataFrame, group: str, order: str, question: str = "question", answer: str = "answer") -> DataFrame:
+    """``group, question_diversity, answer_diversity, overall_diversity`` (the mean of both)."""
+    q = diversity(pairs, group, order, question).withColumnRenamed("diversity", "question_diversity")
+    a = diversity(pairs, group, order, answer).withColumnRenamed("diversity", "answer_diversity")
+    return q.join(a, group).withColumn("overall_diversity", (F.col("question_diversity") + F.col("answer_diversity")) / 2)
+
+
 #: Metrics by name, for configurations that list them.
 REGISTRY = {"relevance": lambda q, a, c: relevance(a, c), "question_quality": lambda q, a, c: question_quality(q), "ngram_overlap": lambda q, a, c: ngram_overlap(a, c), **{n: (lambda q, a, c, n=n: overlap_metrics(a, c)[n]) for n in ("bleu", "meteor", "rouge1", "rouge2", "rougeL")}}
 
