@@ -108,17 +108,25 @@ def image_context(annotation: Column, questions: tuple[str, ...] = ("Describe th
     return F.coalesce(F.nullif(joined, F.lit("")), F.lit("Visual content"))
 
 
-def merge_images(text: Column, images: Column, relationships: Column) -> Column:
+def merge_images(text: Column, images: Column, relationships: Column, keep_all: bool = False) -> Column:
     """Text and image sections in one: titled parts without relationships, else each image after its paragraph.
 
     ``images``: array<struct<target, section>>; a relationship's ``source`` names a paragraph or page (``paragraph_3``).
+    ``keep_all``: images of paragraphs that aren't there follow the last one; else they are left out.
     """
     shown = F.array_join(F.transform(images, lambda i: i["section"]), "\n\n")
     apart = F.concat_ws("\n\n", F.when(F.coalesce(text, F.lit("")) != "", F.concat(F.lit(TEXT_TITLE + "\n"), text)), F.concat(F.lit(VISUAL_TITLE + "\n"), shown))
     paragraphs = F.split(F.coalesce(text, F.lit("")), "\n\n")
 
     def placed(p: Column, i: Column) -> Column:
-        here = F.filter(relationships, lambda r: F.regexp_extract(r["source"], r"^(?:paragraph|page)_(\d+)$", 1) == i.cast("string"))
+        def meant(r: Column) -> Column:
+            n = F.regexp_extract(r["source"], r"^(?:paragraph|page)_(\d+)$", 1)
+            if not keep_all:
+                return n == i.cast("string")
+            last = F.size(paragraphs) - 1
+            return F.least(F.coalesce(n.try_cast("int"), last), last) == i
+
+        here = F.filter(relationships, meant)
 
         def lines(r: Column) -> Column:
             section = F.get(F.transform(F.filter(images, lambda m: m["target"] == r["target"]), lambda m: m["section"]), F.lit(0))

@@ -135,7 +135,7 @@ def with_images(docs: DataFrame, images: DataFrame, annotator: Callable = header
     shown = F.struct("image_no", F.struct(target.alias("target"), combine_annotations(F.array("annotation")).alias("section")).alias("image"), F.struct(F.lit("embedded_content").alias("type"), place.alias("source"), target.alias("target"), image_context(F.col("annotation")).alias("context")).alias("relationship"))
     by_doc = each.select(key, shown.alias("s")).groupBy(key).agg(F.array_sort(F.collect_list("s")).alias("s"))
     x = docs.join(by_doc, key, "left")
-    merged = merge_images(F.col(text), F.transform("s", lambda s: s["image"]), F.transform("s", lambda s: s["relationship"]))
+    merged = merge_images(F.col(text), F.transform("s", lambda s: s["image"]), F.transform("s", lambda s: s["relationship"]), keep_all=True)
     return x.withColumn(text, merged).withColumn("relationships", F.transform("s", lambda s: s["relationship"])).drop("s")
 
 

@@ -118,3 +118,70 @@ def test_state(spark):
     assert sorted(r.source for r in state.unprocessed(files, s).distinct().collect()) == ["b", "c"]
     assert sorted(tuple(r) for r in state.processing_stats(files, s).collect()) == [("pdf", 1, 1, 0), ("txt", 2, 0, 1)]
     assert state.processing_stats(files.limit(0), s).collect() == []
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_large_groups_in_blocks(spark, monkeypatch, dense):
+    """Groups compared block by block give what gathered groups give."""
+    rng = random.Random(7)
+    rows = [(g, i, [rng.choice([0.0, 1.0, 2.0]) for _ in range(3)] if dense else " ".join(rng.choices("abcde", k=4))) for g in (1, 2) for i in range(60)] + [(3, 0, [1.0, 0.0, 0.0] if dense else "a"), (3, 1, None if not dense else [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, f"g int, o int, v {'array<double>' if dense else 'string'}")
+    calls = {"greedy": lambda: similarity.near_dup_flags(df, "g", "o", "v", 0.9), "reference": lambda: similarity.near_dup_flags(df, "g", "o", "v", 0.9, "reference"), "merge": lambda: similarity.merge_heads(df, "g", "o", "v", 0.9)}
+    want = {k: sorted(map(tuple, f().collect())) for k, f in calls.items()}
+    monkeypatch.setattr(similarity, "BLOCK", 16)
+    for k, f in calls.items():
+        assert sorted(map(tuple, f().collect())) == want[k], k
+
+
+def test_located_and_related(spark):
+    long = "[OCR Text: " + " ".join(f"w{i}" for i in range(40)) + "]"
+    docs = spark.createDataFrame([(1, "red pump", f"Main words here\n\n[OCR Text: red pump]\n\n{long}"), (2, "x y", None), (3, "cat", "[Image Caption: a dog]\n\n[Image Caption: cat]")], "k int, answer string, content string")
+    got = {r.k: (r.main_text, r.ocr_text, r.image_caption) for r in answers.located(docs).collect()}
+    assert got == {1: (False, True, False), 2: (False, False, False), 3: (False, False, True)}
+    text = "p0\n\np1 the red pump\n\np2\n\np3\n\np4\n\np5 [Visual Context: red pump] [OCR Text: AB 12]"
+    d = spark.createDataFrame([(1, text), (2, None), (3, "none")], "doc_id int, content string")
+    rel = answers.related_paragraphs(d).orderBy("place").collect()
+    assert [(r.place, len(r.related.split("\n\n"))) for r in rel] == [(1, 5), (5, 4)]
+    comb = answers.combined_answers(d).collect()
+    assert [(r.text, r.subtype, round(r.score, 3)) for r in comb] == [("AB 12 (Visual) - Related to: red pump", "text_ocr_text", 0.85)]
+    kinds = {r.type for r in answers.all_answers(d).collect()}
+    assert {"visual", "combined"} <= kinds
+
+
+def test_verified_windows(spark):
+    rows = [("the red pump", "It is the  RED\npump."), ("pump red the", "so the red pump it is"), ("a b c d e", "x a b c d y"), ("a b c d e", "a b x y z c"), (None, "x"), ("x", None), ("", "")]
+    df = spark.createDataFrame(rows, "a string, t string")
+    got = [r[0] for r in df.select(answers.verified(F.col("a"), F.col("t"))).collect()]
+
+    def brute(a, t):
+        a, t = (" ".join((x or "").lower().split()) for x in (a, t))
+        n, w = len(a.split()), t.split()
+        return a in t or any(arrow.cosine_of(arrow.bow(a), arrow.bow(" ".join(w[i : i + n]))) > 0.8 for i in range(len(w) - n + 1))
+
+    assert got == [brute(*r) for r in rows] and got[:4] == [True, True, False, False]
+
+
+def test_generated_questions(spark):
+    a = spark.createDataFrame([(1, 1, "AB 12 (Visual) - Related to: pump", "combined", "text_ocr_text", 0.9, None, "The pump is red. It is AB 12."), (1, 2, "the pump", "entity", "name", 0.7, None, "The pump is red.")], "doc_id int, seq int, text string, type string, subtype string, score double, question string, context string")
+    made = questions.from_templates(a).collect()
+    assert any("It is AB 12." in r.question for r in made if r.category == "combined")
+
+    def model(prompts):
+        return [("Question Type: factual\nQuestion: What colour has the pump?\nVerification: said\nComplexity: 0.2" if p.startswith("ASK") else "Original: What colour has the pump?\nImproved: Which colour does the pump have?\nReasoning: clear\nKeep/Replace: Replace") for p in prompts]
+
+    got = {r.question for r in questions.from_model(a, model).collect()}
+    assert "Which colour does the pump have?" in got and "What colour has the pump?" not in got and len(got) == 4
+    ranked = questions.generated(a, model).collect()
+    assert ranked and {r.category for r in ranked} == {"combined", "text"}
+
+
+def test_extracted_by_model(spark):
+    d = spark.createDataFrame([(1, "The pump is red and old.")], "doc_id int, content string")
+    got = answers.extracted_by_model(d, lambda ps: ["Answer: pump is red\nConfidence: 0.9\nType: Fact\n\nAnswer: nothing of it\nConfidence: 1"] * len(ps)).collect()
+    assert [(r.text, r.score) for r in got] == [("pump is red", 0.9)]
+
+
+def test_pair_diversity(spark):
+    d = spark.createDataFrame([(1, 1, "a b c d", "x"), (1, 2, "a b c e", "x")], "g int, o int, question string, answer string")
+    r = metrics.pair_diversity(d, "g", "o").first()
+    assert r.question_diversity == pytest.approx(0.6125) and r.answer_diversity == pytest.approx(0.75) and r.overall_diversity == pytest.approx((0.6125 + 0.75) / 2)

@@ -19,6 +19,43 @@ def test_run(spark):
     assert pipeline.run(docs.limit(0))[0].count() == 0
 
 
+def test_run_rejects(spark):
+    """Doubtful pairs and replies that cannot be parsed end among the failed, with their reason."""
+    first = ("The pump in the hall is red and old and loud.", "It is red and that is so.", "Mind this: the pump in the hall is very loud.")
+    ok, failed = pipeline.run(spark.createDataFrame([(i, "a.txt", f"{x} {TEXT}") for i, x in enumerate(first)], "doc_id bigint, source string, content string"), Template(), Config(quality=Quality(min_question_words=5, answer_support=0.0, relevance=0.0)))
+    assert {r.reason for r in failed.collect()} == {"low_scores", "no_verdict"} and ok.count() >= 1
+
+
+def test_shared_folder(spark, monkeypatch):
+    from siltstone import io
+
+    class Elsewhere:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "spark://x:7077"
+
+            @staticmethod
+            def getConf():
+                return {}
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return default
+
+    Elsewhere.sparkContext.getConf = staticmethod(lambda: Conf())
+    Elsewhere.conf = Conf()
+    try:
+        io.shared_dir(Elsewhere)
+        raise AssertionError
+    except ValueError:
+        pass
+    Elsewhere.sparkContext.master = "local[4]"
+    assert io.shared_dir(Elsewhere).startswith("file://")
+    kept = io.cut(spark.range(3))
+    assert kept.count() == 3 and io.clean_up(spark) and not io.clean_up(spark)
+
+
 def test_self_instruct(spark):
     docs = spark.createDataFrame([(1, "Rome is old and large.")], "doc_id bigint, content string")
     p = Prompts()
