@@ -51,6 +51,21 @@ class Template:
         return "\n".join(parts)
 
 
+@dataclass
+class Asker:
+    """A deterministic stand-in that asks one question about an answer, and shortens long questions when it revises them."""
+
+    def __call__(self, prompts: list[str]) -> list[str]:
+        return [self.reply(p) for p in prompts]
+
+    def reply(self, prompt: str) -> str:
+        answer = prompt.partition(": ")[2].partition("\n")[0]
+        if prompt.startswith("ASK"):
+            return f"Question Type: direct\nQuestion: Of what does the text say {answer.rstrip('.')}?\nVerification: it stands there\nComplexity: 0.3"
+        long = [q for q in prompt.split("\n")[1:-1] if len(q.split()) > 20]
+        return "\n\n".join(f"Original: {q}\nImproved: {' '.join(q.split()[:20]).rstrip('?')}?\nReasoning: shorter\nKeep/Replace: Replace" for q in long)
+
+
 @dataclass
 class Replay:
     """Replies by prompt; unknown prompts give an empty reply."""

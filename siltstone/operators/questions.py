@@ -55,7 +55,12 @@ def from_templates(answers: DataFrame, key: str = "doc_id", custom: dict | None
     x = x.join(F.broadcast(known), ["category", "wanted"], "left").withColumn("subtype_used", F.when(F.col("known"), F.col("wanted")).otherwise(default[F.col("category")]))
     sentence = F.lit("this passage")
     if "context" in answers.columns:
-        best = best_sentence(x.where("category <> 'visual'").withColumn("at", F.struct(key, "seq")), "at", "text", "context").select(f"at.{key}", "at.seq", "sentence")
+        # Only for kinds with a template that names it.
+        asks = [F.concat_ws(" ", "category", "subtype_used") == f"{c} {k}" for (c, k), ts in {**TEMPLATES, **(custom or {})}.items() if any("{context}" in one for one in ts)]
+        some = asks[0] if asks else F.lit(False)
+        for a in asks[1:]:
+            some = some | a
+        best = best_sentence(x.where(some).withColumn("at", F.struct(key, "seq")), "at", "text", "context").select(f"at.{key}", "at.seq", "sentence")
         x, sentence = x.join(best, [key, "seq"], "left"), F.coalesce("sentence", F.lit("this passage"))
     own = (F.col("subtype") == "analysis") & F.col("question").isNotNull()
     made = x.where(~F.coalesce(own, F.lit(False))).join(t.select("category", F.col("subtype").alias("subtype_used"), "ix", "template"), ["category", "subtype_used"])

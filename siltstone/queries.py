@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltstone.config import Config, Quality
-from siltstone.functions import arrow, markers, parse
+from siltstone.functions import arrow, embed, markers, parse
 from siltstone.functions import text as fn
 from siltstone.io import table, tune
-from siltstone.models.clients import Template
+from siltstone.models.clients import Asker, Template
 from siltstone.operators import answers, filters, metrics, questions, similarity, state
 from siltstone.plans import pipeline
 
@@ -140,13 +140,13 @@ def _marker_sql(no: int, marker: str, subtype: str, score: float) -> str:
 _VISUAL = f"""m as ({_marker_sql(1, "OCR Text", "ocr_text", 0.8)} union all {_marker_sql(2, "Image Caption", "caption", 0.9)} union all {_marker_sql(3, "Detected Objects", "objects", 0.85)} union all {_marker_sql(4, "Scene Description", "scene", 0.9)} union all {_marker_sql(5, "Visual Analysis", "analysis", 0.85)}),
 b as (select doc_id, kind_no, n, {stripped("body")} as body, subtype, score from m),
 o as (select doc_id, kind_no, n, array_to_string(list_transform(list_filter(list_transform(string_split(body, ','), lambda e: {stripped("e")}), lambda e: coalesce(try_cast(regexp_extract(e, '\\(([0-9]*\\.?[0-9]+)\\)$', 1) as double), 0) > 0.7), lambda e: {stripped("regexp_replace(e, '\\([^()]*\\)$', '')")}), ', ') as body, subtype, score from b where kind_no = 3),
-a as (select doc_id, n, unnest(string_split(body, '|')) as p, score from b where kind_no = 5),
-v as (select doc_id, body as text, subtype, score, cast(null as varchar) as question from b where kind_no in (2, 4) or kind_no = 1 and length(body) >= 3
-union all select doc_id, body, subtype, score, null from o where body <> ''
-union all select doc_id, {stripped("substr(p, position('->' in p) + 2)")}, 'analysis', score, {stripped("substr(p, 1, position('->' in p) - 1)")} from a where contains(p, '->'))"""
+a as (select doc_id, n, unnest(string_split(body, '|')) as p, generate_subscripts(string_split(body, '|'), 1) as m, score from b where kind_no = 5),
+v as (select doc_id, body as text, subtype, score, cast(null as varchar) as question, kind_no, n, 0 as m from b where kind_no in (2, 4) or kind_no = 1 and length(body) >= 3
+union all select doc_id, body, subtype, score, null, kind_no, n, 0 from o where body <> ''
+union all select doc_id, {stripped("substr(p, position('->' in p) + 2)")}, 'analysis', score, {stripped("substr(p, 1, position('->' in p) - 1)")}, 5, n, m from a where contains(p, '->'))"""
 
 
-@query(f"with {DOCS}, {_VISUAL} select * from v")
+@query(f"with {DOCS}, {_VISUAL} select doc_id, text, subtype, score, question from v")
 def visual_answers(spark, d):
     return markers.visual_answers(docs(spark, d, "content")).select("doc_id", "text", "subtype", "score", "question")
 
@@ -187,28 +187,82 @@ def template_questions(spark, d):
     return questions.from_templates(v).select("doc_id", "ix", "question", "answer")
 
 
-@query()
-def ranked_questions(spark, d):
-    v = markers.visual_answers(docs(spark, d, "content")).withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("kind_no", "n")))
-    q = questions.from_templates(v).join(v.select("doc_id", "seq", "score"), ["doc_id", "seq"]).withColumn("seq", F.col("seq") * 10 + F.col("ix"))
-    return questions.ranked_questions(q).select("doc_id", "seq", "question", F.round("ranking_score", 6).alias("ranking_score"), "place")
+#: Documents in which a phrase of their own is named as a visual context, and an OCR marker stands beside it.
+_PHRASE = "([A-Za-z]{5,} [a-z]{3,})"
+PLANTED = DOCS.replace("d as (", "d0 as (", 1) + f""", d1 as (select doc_id, content, regexp_extract(content, '{_PHRASE}', 1) as phrase from d0),
+d as (select doc_id, content || chr(10) || chr(10) || '[OCR Text: ' || phrase || '] [Visual Context: ' || phrase || ']' as content from d1 where phrase <> '')"""
+
+
+def planted(spark, d: str) -> DataFrame:
+    x = docs(spark, d, "content").withColumn("phrase", F.regexp_extract("content", _PHRASE, 1)).where("phrase <> ''")
+    return x.select("doc_id", F.concat("content", F.lit("\n\n[OCR Text: "), "phrase", F.lit("] [Visual Context: "), "phrase", F.lit("]")).alias("content"))
+
 
+_RELATED = f"""rc as (select doc_id, string_split(content, chr(10) || chr(10)) as p, unnest(regexp_extract_all(content, '\\[Visual Context:([^\\]]+)\\]', 1)) as c, generate_subscripts(regexp_extract_all(content, '\\[Visual Context:([^\\]]+)\\]', 1), 1) as n from d),
+re as (select doc_id, p, n, {stripped("c")} as c, unnest(p) as para, generate_subscripts(p, 1) as i from rc),
+rel as (select doc_id, cast(n - 1 as integer) as n, cast(i - 1 as integer) as place, c as context, array_to_string(p[greatest(i - 3, 1) : i + 3], chr(10) || chr(10)) as related from re where contains(para, c))"""
 
-@query(f"""with {DOCS}, p as (select doc_id, string_split(content, chr(10) || chr(10)) as p from d where content is not null),
-e as (select doc_id, p, unnest(p) as para, generate_subscripts(p, 1) as i from p),
-x as (select doc_id, p, i, unnest(regexp_extract_all(para, '\\[Visual Context:([^\\]]+)\\]', 1)) as c from e)
-select doc_id, cast(i - 1 as integer) as place, {stripped("c")} as context, array_to_string(p[greatest(i - 3, 1) : i + 3], chr(10) || chr(10)) as related from x""")
+
+@query(f"with {PLANTED}, {_RELATED} select * from rel")
 def related_paragraphs(spark, d):
-    return answers.related_paragraphs(docs(spark, d, "content"))
+    return answers.related_paragraphs(planted(spark, d))
 
 
-@query()
+@query(f"""with {PLANTED}, {_RELATED}, {_VISUAL} select v.doc_id, v.text || ' (Visual) - Related to: ' || context as text, 'text_' || subtype as subtype, round((score + 0.9) / 2, 6) as score, related as context
+from rel join v on rel.doc_id = v.doc_id and contains(related, v.text)""")
+def combined_answers(spark, d):
+    return answers.combined_answers(planted(spark, d)).select("doc_id", "text", "subtype", F.round("score", 6).alias("score"), "context")
+
+
+@query(f"""with {DOCS}, x as (select doc_id, content, metadata.original_images as im, metadata.relationships as rl from d),
+p as (select doc_id, unnest(string_split(coalesce(content, ''), chr(10) || chr(10))) as t, generate_subscripts(string_split(coalesce(content, ''), chr(10) || chr(10)), 1) - 1 as i from x),
+r as (select doc_id, im, unnest(rl) as r, generate_subscripts(rl, 1) as k from x),
+l as (select doc_id, i, 0 as k, t from p union all
+  select p.doc_id, p.i, r.k, concat_ws(chr(10) || chr(10), case when r.r.context is not null then chr(10) || '[Visual Context: ' || r.r.context || ']' end, '[Image Caption: ' || r.r.target || ']')
+  from p join r on r.doc_id = p.doc_id and regexp_extract(r.r.source, '^(?:paragraph|page)_(\\d+)$', 1) = cast(p.i as varchar) where list_contains(r.im, r.r.target)),
+inside as (select doc_id, string_agg(t, chr(10) || chr(10) order by i, k) as t from l group by doc_id)
+select doc_id, case when im is null or len(im) = 0 then content
+  when rl is null or len(rl) = 0 then concat_ws(chr(10) || chr(10), case when coalesce(content, '') <> '' then '=== Document Text ===' || chr(10) || content end, '=== Visual Content ===' || chr(10) || array_to_string(list_transform(im, lambda i: '[Image Caption: ' || i || ']'), chr(10) || chr(10)))
+  else inside.t end as merged from x join inside using (doc_id)""")
 def merged_images(spark, d):
     x = docs(spark, d, "content", "metadata")
     images = F.transform("metadata.original_images", lambda i: F.struct(i.alias("target"), F.concat(F.lit("[Image Caption: "), i, F.lit("]")).alias("section")))
     return x.select("doc_id", markers.merge_images(F.col("content"), images, F.col("metadata.relationships")).alias("merged"))
 
 
+_CLASS = "case when regexp_matches(lq, '^(?:who|whose|whom|wer|qui|quién)(?:[^\\p{L}]|$)') then 'HUMAN' when regexp_matches(lq, '^(?:where|wo|où|dónde)(?:[^\\p{L}]|$)') then 'LOCATION' when regexp_matches(lq, '^(?:when|how many|how much|wann|wie oft|combien|quand|cuándo|cuántas)(?:[^\\p{L}]|$)') then 'NUMERIC' when regexp_matches(lq, '^(?:why|how|describe|explain|warum|beschreibe|pourquoi|cómo)(?:[^\\p{L}]|$)') then 'DESCRIPTION' else 'ENTITY' end"
+
+
+def _text_near_sql(source: str, group: str, order: str, text: str, threshold: float) -> str:
+    """CTEs up to ``n(grp, ord, i, nb)``: items of each group in order, with the numbers of those that are near them."""
+    return f"""i as (select {group} as grp, {order} as ord, {text} as text, row_number() over (partition by {group} order by {order}) as i from {source}),
+t as (select grp, i, w, count(*) as n from (select grp, i, unnest(regexp_extract_all(lower(coalesce(text, '')), '{WORD}')) as w from i) group by all), s as (select grp, i, sum(n * n) as s from t group by all),
+p as (select a.grp, a.i, b.i as j, sum(a.n * b.n) as dot from t a join t b on a.grp = b.grp and a.w = b.w and a.i <> b.i group by all),
+q as (select p.grp, p.i, p.j from p join s x on x.grp = p.grp and x.i = p.i join s y on y.grp = p.grp and y.i = p.j where p.dot / sqrt(cast(x.s as double) * y.s) > {threshold}),
+n as (select i.grp, i.ord, i.i, coalesce(list(q.j) filter (q.j is not null), []) as nb from i left join q on i.grp = q.grp and i.i = q.i group by all)"""
+
+
+@query(f"""with recursive {DOCS}, {_VISUAL}, tt(category, subtype, ix, template) as (values {_TEMPLATES}), sq as (select doc_id, text, subtype, score, question, row_number() over (partition by doc_id order by kind_no, n, m) as seq from v),
+fq as (select doc_id, seq * 10 + ix as seq, score, replace(replace(template, '{{answer}}', text), '{{context}}', 'this passage') as question from sq join tt on tt.category = 'visual' and tt.subtype = sq.subtype where question is null union all select doc_id, seq * 10, score, question from sq where question is not null),
+fit as (select * from fq where score >= 0.6 and {n_words('question')} between 3 and 50), {_text_near_sql("fit", "doc_id", "seq", "question", 0.85)},
+f(grp, i, kept) as (select distinct grp, 0::bigint, []::bigint[] from n union all select n.grp, n.i, case when len(list_intersect(f.kept, n.nb)) > 0 then f.kept else list_append(f.kept, n.i) end from f join n on n.grp = f.grp and n.i = f.i + 1),
+kk as (select fit.*, trim(lower(fit.question)) as lq from n join f on n.grp = f.grp and f.i = n.i join fit on fit.doc_id = n.grp and fit.seq = n.ord where list_contains(f.kept, n.i)),
+kr as (select doc_id, seq, question, score * case {_CLASS} when 'DESCRIPTION' then 1.2 when 'ENTITY' then 1.1 when 'NUMERIC' then 0.9 else 1.0 end::double * 1.1::double as rank from kk),
+kp as (select *, row_number() over (partition by doc_id order by rank desc, seq) as place from kr) select doc_id, seq, question, round(rank, 6) as ranking_score, place from kp where place <= 50""")
+def ranked_questions(spark, d):
+    v = markers.visual_answers(docs(spark, d, "content")).withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("kind_no", "n")))
+    q = questions.from_templates(v).join(v.select("doc_id", "seq", "score"), ["doc_id", "seq"]).withColumn("seq", F.col("seq") * 10 + F.col("ix"))
+    return questions.ranked_questions(q).select("doc_id", "seq", "question", F.round("ranking_score", 6).alias("ranking_score"), "place")
+
+
+
+@query()
+def model_questions(spark, d):
+    """Questions of all kinds: templates, and what the stand-in model asks and refines, ranked."""
+    found = answers.filtered(answers.all_answers(docs(spark, d, "content")))
+    return questions.generated(found, Asker()).select("doc_id", "seq", "question", "category", F.round("ranking_score", 6).alias("ranking_score"), "place")
+
+
 # --- replies ----------------------------------------------------------------------------------------------------
 
 _TRIPLET = "concat('---START_TRIPLET---', chr(10), 'QUESTION: ', coalesce(question, ''), chr(10), 'ANSWER: ', coalesce(answer, ''), chr(10), 'INSTRUCTION: ', coalesce(instruction, ''), chr(10), case when pair_id % 7 = 0 then '' else '---END_TRIPLET---' end)"
@@ -359,7 +413,13 @@ def pair_checks(spark, d):
 
 
 
-@query(f"with {QA} select pair_id, contains({normal('context')}, {normal('answer')}) as found from qa")
+@query(f"""with {QA}, x as (select pair_id, {normal('context')} as t, {normal('answer')} as a from qa), o as (select pair_id, a, list_filter(string_split(t, ' '), lambda y: y <> '') as w, len(list_filter(string_split(a, ' '), lambda y: y <> '')) as n from x where not contains(t, a)),
+ac as (select pair_id, w, count(*) as n from (select pair_id, unnest(regexp_extract_all(a, '{WORD}')) as w from o) group by all), na as (select pair_id, sum(n * n) as s from ac group by pair_id),
+t as (select pair_id, n, len(w) as len, unnest(w) as word, generate_subscripts(w, 1) as i from o), k as (select pair_id, n, len, i, unnest(regexp_extract_all(word, '{WORD}')) as w from t),
+ws as (select pair_id, s, w, count(*) as c from (select pair_id, w, unnest(range(greatest(1, i - n + 1), least(i, len - n + 1) + 1)) as s from k) group by all),
+m as (select ws.pair_id, ws.s, sum(ws.c * coalesce(ac.n, 0)) as dot, sum(ws.c * ws.c) as sq from ws left join ac on ac.pair_id = ws.pair_id and ac.w = ws.w group by all),
+h as (select distinct m.pair_id from m join na on na.pair_id = m.pair_id where 25 * m.dot * m.dot > 16 * na.s * m.sq)
+select x.pair_id, contains(x.t, x.a) or h.pair_id is not null as found from x left join h on h.pair_id = x.pair_id""")
 def verified_answers(spark, d):
     return qa(spark, d, "answer", "context").select("pair_id", answers.verified(F.col("answer"), F.col("context")).alias("found"))
 
@@ -425,15 +485,6 @@ def chunk_relevance(spark, d):
     return similarity.chunk_scores(chunks(spark, d)).select("doc_id", "chunk_ix", F.round("relevance", 6).alias("relevance"))
 
 
-def _text_near_sql(source: str, group: str, order: str, text: str, threshold: float) -> str:
-    """CTEs up to ``n(grp, ord, i, nb)``: items of each group in order, with the numbers of those that are near them."""
-    return f"""i as (select {group} as grp, {order} as ord, {text} as text, row_number() over (partition by {group} order by {order}) as i from {source}),
-t as (select grp, i, w, count(*) as n from (select grp, i, unnest(regexp_extract_all(lower(coalesce(text, '')), '{WORD}')) as w from i) group by all), s as (select grp, i, sum(n * n) as s from t group by all),
-p as (select a.grp, a.i, b.i as j, sum(a.n * b.n) as dot from t a join t b on a.grp = b.grp and a.w = b.w and a.i <> b.i group by all),
-q as (select p.grp, p.i, p.j from p join s x on x.grp = p.grp and x.i = p.i join s y on y.grp = p.grp and y.i = p.j where p.dot / sqrt(cast(x.s as double) * y.s) > {threshold}),
-n as (select i.grp, i.ord, i.i, coalesce(list(q.j) filter (q.j is not null), []) as nb from i left join q on i.grp = q.grp and i.i = q.i group by all)"""
-
-
 def _dense_sql(threshold: float) -> str:
     return f"""with recursive e as (select label, vec_id, row_number() over (partition by label order by vec_id) as i, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
 p as (select a.label, a.i, b.i as j from e a join e b on a.label = b.label and a.i <> b.i where list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) > {threshold}),
@@ -556,6 +607,52 @@ def question_diversity(spark, d):
     return metrics.diversity(qa(spark, d, "conv_id", "question"), "conv_id", "pair_id", "question").select("conv_id", F.round("diversity", 6).alias("diversity"))
 
 
+def _diversity_sql(column: str, name: str) -> str:
+    """CTEs up to ``name(conv_id, diversity)``."""
+    p = name
+    return f"""{p}_t as (select conv_id, pair_id, {_words_sql(column)} as w from qa), {p}_l as (select conv_id, count(distinct x) / count(x) as lexical from (select conv_id, unnest(w) as x from {p}_t) group by conv_id),
+{p}_g as (select conv_id, pair_id, {_grams('w', 2)} as g2, {_grams('w', 3)} as g3 from {p}_t),
+{p}_o as (select a.conv_id, avg(0.4::double * {_jaccard('a.g2', 'b.g2')} + 0.6::double * {_jaccard('a.g3', 'b.g3')}) as overlap from {p}_g a join {p}_g b on a.conv_id = b.conv_id and a.pair_id < b.pair_id group by a.conv_id),
+{p}_n as (select conv_id, count(*) as n from {p}_t group by conv_id),
+{p} as (select n.conv_id, case when n < 2 then coalesce(lexical, 0) else 0.5 * coalesce(lexical, 0) + 0.5 * (1 - coalesce(overlap, 0)) end as diversity from {p}_n n left join {p}_l using (conv_id) left join {p}_o using (conv_id))"""
+
+
+@query(f"""with {QA}, {_diversity_sql('question', 'dq')}, {_diversity_sql('answer', 'da')}
+select conv_id, round(dq.diversity, 6) as question_diversity, round(da.diversity, 6) as answer_diversity, round((dq.diversity + da.diversity) / 2, 6) as overall_diversity from dq join da using (conv_id)""")
+def pair_diversity(spark, d):
+    x = metrics.pair_diversity(qa(spark, d, "conv_id", "question", "answer"), "conv_id", "pair_id")
+    return x.select("conv_id", *[F.round(c, 6).alias(c) for c in ("question_diversity", "answer_diversity", "overall_diversity")])
+
+
+def _counted_grams(name: str, column: str) -> str:
+    parts = " union all ".join(f"select pair_id, {n} as k, unnest(list_transform(range(1, greatest(len({column}) - {n - 2}, 1)), lambda i: array_to_string({column}[i : i + {n - 1}], ' '))) as g from w" for n in range(1, 5))
+    return f"{name} as (select pair_id, k, g, count(*) as n from ({parts}) group by all)"
+
+
+@query(f"""with {QA}, w as (select pair_id, {_words_sql('answer')} as a, {_words_sql('context')} as c from qa), {_counted_grams('ga', 'a')}, {_counted_grams('gc', 'c')},
+m as (select ga.pair_id, ga.k, sum(least(ga.n, gc.n)) as hit from ga join gc using (pair_id, k, g) group by all), ks as (select unnest([1, 2, 3, 4]) as k),
+p as (select w.pair_id, len(a) as la, len(c) as lc, sum(ln(case when coalesce(hit, 0) = 0 then 0.1::double else hit end / greatest(1, len(a) - ks.k + 1))) as l, max(case when ks.k = 1 then coalesce(hit, 0) end) as first from w, ks left join m on m.pair_id = w.pair_id and m.k = ks.k group by all)
+select pair_id, round(case when la = 0 or lc = 0 or first = 0 then 0 else case when la > lc then 1.0 else exp(1 - lc / la::double) end * exp(l / 4) end, 6) as bleu from p""")
+def bleu_scores(spark, d):
+    x = qa(spark, d, "answer", "context").withColumn("m", arrow.overlap_metrics("answer", "context"))
+    return x.select("pair_id", F.round("m.bleu", 6).alias("bleu"))
+
+
+def _hashed_sql(name: str, column: str) -> str:
+    h = "md5(w)"
+    digit = lambda i: f"(strpos('0123456789abcdef', substr({h}, {i}, 1)) - 1)"
+    place = " + ".join(f"{digit(i)} * {16 ** (7 - i)}" for i in range(1, 8))
+    return f"{name} as (select pair_id, ({place}) % 64 as b, sum(case when {digit(8)} % 2 = 0 then 1 else -1 end) as v from (select pair_id, unnest({_words_sql(column)}) as w from qa) group by all)"
+
+
+@query(f"""with {QA}, {_hashed_sql('ha', 'question')}, {_hashed_sql('hb', 'answer')}, na as (select pair_id, sum(v * v) as s from ha group by pair_id), nb as (select pair_id, sum(v * v) as s from hb group by pair_id),
+dd as (select pair_id, sum(ha.v * hb.v) as s from ha join hb using (pair_id, b) group by pair_id)
+select qa.pair_id, round(coalesce(dd.s / nullif(sqrt(na.s::double * nb.s), 0), 0), 6) as similarity from qa left join dd using (pair_id) left join na using (pair_id) left join nb using (pair_id)""")
+def hashed_similarity(spark, d):
+    x = embed.embedded(embed.embedded(qa(spark, d, "question", "answer"), "question", into="vq"), "answer", into="va")
+    return x.select("pair_id", F.round(embed.cosine(F.col("vq"), F.col("va")), 6).alias("similarity"))
+
+
 @query()
 def pair_metrics(spark, d):
     x = metrics.pair_metrics(qa(spark, d, "question", "answer", "context"))
@@ -577,12 +674,27 @@ def code_contexts(spark, d):
     return x.select("doc_id", "code", fn.around(F.col("text"), start, start + F.length("code")).alias("around"))
 
 
-@query()
+@query(f"""with {QA}, st as (select pair_id, answer, string_split(regexp_replace(coalesce(context, ''), '([.!?])[\\s\\x{{0B}}]+', '\\1' || chr(1), 'g'), chr(1)) as ss from qa),
+se as (select pair_id, answer, unnest(list_filter(ss, lambda y: y <> '')) as s, generate_subscripts(list_filter(ss, lambda y: y <> ''), 1) as i from st), sr as (select pair_id * 100000 + i as sid, pair_id, i, answer, s from se), {_cosine_sql('answer', 's', ids='sid', rows='sr')},
+best as (select sr.pair_id, s, row_number() over (partition by sr.pair_id order by round(value, 12) desc, i) as place from sr join cos using (sid))
+select qa.pair_id, coalesce(best.s, 'this content') as sentence from qa left join best on best.pair_id = qa.pair_id and best.place = 1""")
 def best_sentences(spark, d):
     return questions.best_sentence(qa(spark, d, "answer", "context"))
 
 
-@query()
+def _located_sql(rows: str, key: str, least: float = 0.6) -> str:
+    """CTEs up to ``loc(key, main_text, ocr_text, image_caption)`` over ``rows(key, answer, content)``."""
+    marked = "starts_with(para, '[OCR Text:') or starts_with(para, '[Image Caption:')"
+    section = lambda name: f"regexp_extract(para, '\\[{name}: (.*?)\\]', 1)"
+    return f"""lp as (select {key}, answer, unnest(string_split(coalesce(content, ''), chr(10) || chr(10))) as para, generate_subscripts(string_split(coalesce(content, ''), chr(10) || chr(10)), 1) as i from {rows}),
+lm as (select {key}, any_value(answer) as answer, coalesce(string_agg(para, chr(10) || chr(10) order by i) filter (not ({marked})), '') as main from lp group by {key}),
+ls as (select {key} * 100000 + i as sid, {key}, answer, starts_with(para, '[OCR') as ocr, case when starts_with(para, '[OCR') then {section('OCR Text')} else {section('Image Caption')} end as body from lp where {marked}),
+{_cosine_sql('answer', 'main', ids=key, rows='lm', cos='cm')}, {_cosine_sql('answer', 'body', ids='sid', rows='ls', cos='cs')},
+lb as (select {key}, max(value) filter (ocr) as o, max(value) filter (not ocr) as c from ls join cs using (sid) group by {key}),
+loc as (select cm.{key}, cm.value >= {least} as main_text, coalesce(o, 0) >= {least} as ocr_text, coalesce(c, 0) >= {least} as image_caption from cm left join lb using ({key}))"""
+
+
+@query(f"""with {DOCS}, x as (select doc_id, content, regexp_extract(content, '\\[Image Caption: ([^\\]]*)\\]', 1) as answer from d), y as (select * from x where answer <> ''), {_located_sql('y', 'doc_id')} select * from loc""")
 def located_answers(spark, d):
     x = docs(spark, d, "content").withColumn("answer", F.regexp_extract("content", r"\[Image Caption: ([^\]]*)\]", 1)).where("answer <> ''")
     return answers.located(x).select("doc_id", "main_text", "ocr_text", "image_caption")
@@ -590,7 +702,7 @@ def located_answers(spark, d):
 
 # --- layout, images, prompts ------------------------------------------------------------------------------------
 
-# Spans made of the first 40 lines of each document: words as spans, their places by position, sizes by line.
+# Spans made of all lines of each document: words as spans, their places by position, sizes by line.
 _SPANS = f"""l as (select doc_id, unnest(string_split(content, chr(10))) as line_text, generate_subscripts(string_split(content, chr(10)), 1) as line from d where content is not null),
 sp as (select doc_id, line, unnest(regexp_split_to_array(line_text, ' ')) as text, generate_subscripts(regexp_split_to_array(line_text, ' '), 1) as w, case when line = 1 then 15.0 else 11.0 end as size from l where line_text <> '')"""
 
@@ -662,7 +774,14 @@ def variation_prompts(spark, d):
     return x.select("pair_id", Prompts().column("variation", question=F.col("question"), answer=F.col("answer"), text=F.col("context")).alias("prompt"))
 
 
-@query()
+@query(f"""with {QA}, {DOCS}, dl as (select source, doc_id, content from d where source is not null qualify row_number() over (partition by source order by loaded_at desc, doc_id desc) = 1),
+sp as (select source, unnest(string_split(coalesce(content, ''), chr(10) || chr(10))) as p, generate_subscripts(string_split(coalesce(content, ''), chr(10) || chr(10)), 1) as i from dl),
+sx as (select source, i * 3 as o, p as t from sp where not (starts_with(p, '[OCR Text:') or starts_with(p, '[Image Caption:'))
+union all select source, i * 3 + 1, regexp_extract(p, '\\[OCR Text: (.*?)\\]', 1) from sp where regexp_matches(p, '\\[OCR Text: (.*?)\\]')
+union all select source, i * 3 + 2, regexp_extract(p, '\\[Image Caption: (.*?)\\]', 1) from sp where regexp_matches(p, '\\[Image Caption: (.*?)\\]')),
+sa as (select source, string_agg(t, chr(10) || chr(10) order by o) as text from sx group by source),
+pj as (select pair_id, answer, dl.content, sa.text from qa join dl on dl.source = qa.source left join sa on sa.source = qa.source where dl.content is not null), {_cosine_sql('answer', 'text', rows='pj', cos='ck')},
+ok as (select pj.pair_id, answer, content from pj join ck using (pair_id) where ck.value >= 0.3), {_located_sql('ok', 'pair_id')} select * from loc""")
 def source_validation(spark, d):
     x = metrics.validate_against_source(qa(spark, d, "answer", "source"), docs(spark, d, "source", "content", "loaded_at"), 0.3)
     return x.select("pair_id", "main_text", "ocr_text", "image_caption")
