@@ -239,6 +239,12 @@ def observed(texts: DataFrame, keys: list[str], text: str = "text", stats: bool
     return cut(map_rows(texts.select(*keys, text).where(F.col(text).isNotNull()), make, schema + numbers).dropDuplicates(keys), "observed")
 
 
+def numbers(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys`` and the five statistics of every text that isn't null, a row a key, rounded to six places."""
+    rows = observed(texts, keys, text, stats=True).drop("codes")
+    return rows.select(*[F.round(c, 6).alias(c) if c.endswith(("length", "share")) else c for c in rows.columns])
+
+
 def trained(codes: DataFrame, rounds: int = ROUNDS) -> LineModel:
     """The model after Viterbi training over all rows of ``codes``: the lines are labelled, and what is observed under each label counted."""
     model = LineModel()

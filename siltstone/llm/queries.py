@@ -20,6 +20,11 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_groups(table(tune(spark), d, "qa_pairs", "pair_id", "question", "answer"))
 
 
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """Of each record, its copies and links, without the group's name (a hash)."""
+    return p1_groups(spark, d).select("pair_id", "copies", "links")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.kinds_of(table(tune(spark), d, "docs", "doc_id", "content"))
 
@@ -78,10 +83,14 @@ def p6_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return scans.Noise(table(tune(spark), d, "scanned_pages")).paragraphs()
 
 
-def _quality(spark: SparkSession, d: str, stats: bool) -> DataFrame:
+def _texts(spark: SparkSession, d: str) -> DataFrame:
     chunks = table(tune(spark), d, "chunks", "doc_id", "chunk_ix", "content").select(F.lit("chunks").alias("origin"), F.col("doc_id").alias("row_id"), F.col("chunk_ix").alias("ix"), F.col("content").alias("text"))
     contexts = table(spark, d, "qa_pairs", "pair_id", "context").select(F.lit("qa_pairs").alias("origin"), F.col("pair_id").alias("row_id"), F.lit(0).alias("ix"), F.col("context").alias("text"))
-    return quality.verdicts(chunks.union(contexts), ["origin", "row_id", "ix"], stats=stats)
+    return chunks.union(contexts)
+
+
+def _quality(spark: SparkSession, d: str, stats: bool) -> DataFrame:
+    return quality.verdicts(_texts(spark, d), ["origin", "row_id", "ix"], stats=stats)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -92,6 +101,11 @@ def p7_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _quality(spark, d, True)
 
 
+def p7_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """The five numbers of each text alone."""
+    return quality.numbers(_texts(spark, d), ["origin", "row_id", "ix"])
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked(table(tune(spark), d, "documents", "doc_id", "text"), table(spark, d, "eval_items"))
 
