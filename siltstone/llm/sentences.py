@@ -328,9 +328,25 @@ class Splitter:
         and never as an abbreviation."""
         key = ("o", token)
         if key not in seen:
-            seen[key] = len(token) > 1 and re.search(rf"(?<=[^\W\d_] ){re.escape(token)}(?= [^\W\d_A-Z])", text) is not None and not self.abbreviation(text, token, {})
+            found, at = False, text.find(f" {token} ", 1) if len(token) > 1 else -1
+            while at >= 0 and not found:
+                found = text[at - 1].isalpha() and text[at + len(token) + 2 : at + len(token) + 3].islower()
+                at = text.find(f" {token} ", at + 1)
+            seen[key] = found and not self.abbreviation(text, token, seen)
         return seen[key]
 
+    @staticmethod
+    def inside(text: str, word: str) -> bool:
+        """Whether ``word`` stands behind a word in small letters somewhere."""
+        at = text.find(f" {word}", 1)
+        while at >= 0:
+            end = at + 1 + len(word)
+            a = at - 1 if text[at - 1] == "," else at
+            if text[max(0, a - 3) : a].isalpha() and text[max(0, a - 3) : a].islower() and not text[end : end + 1].isalnum():
+                return True
+            at = text.find(f" {word}", end)
+        return False
+
     def by_name(self, text: str, i: int, limit: int, e: int, seen: dict, token: str) -> int:
         """After an abbreviation: a name goes on with the sentence, an ordinary word begins another."""
         while i < limit and not text[i].isalnum():
@@ -350,8 +366,7 @@ class Splitter:
                 seen[key] = False
             else:
                 # A capital letter in the middle of a sentence tells a name, whatever sentences begin with elsewhere.
-                inside = re.search(rf"[^\W\d_A-Z]{{3,}},? {re.escape(word)}(?![^\W_])", text) is not None
-                seen[key] = inside or word not in self.starters
+                seen[key] = word not in self.starters or self.inside(text, word)
         return 0 if seen[key] else e
 
 
