@@ -43,9 +43,9 @@ OPEN = {"“": "”", "„": "“", "«": "»", "「": "」", "『": "』", "(":
 CLOSE = {v: k for k, v in OPEN.items()} | {"“": "„"}
 CJK = re.compile("[぀-ヿ㐀-鿿]")
 CAPITALS = re.compile(r"[^\W\d_a-z]{1,3}\.")
-#: Evidence for the corpus tables: a short word, a full stop, and what follows.
-SHORT_STOP = re.compile(r"(?<![^\W_])([^\W\d_]{1,6})\. +([\"“„«(]?)([^\W_]+)")
-LONG_STOP = re.compile(r"[^\W\d_]{3,}[.!?][ \n]+([^\W\d_]+)")
+#: Evidence for the corpus tables: a stop, the short word before it, and what follows.
+STOP = re.compile(r"[.!?](?: +|[ \n]+)")
+SHORT_WORD, NEXT_WORD = re.compile(r"(?<![^\W_])[^\W\d_]{1,6}\Z"), re.compile(r"([\"“„«(]?)([^\W_]+)")
 #: Of a word with a full stop, the share of occurrences before a small letter that makes it an abbreviation.
 ABBREVIATION_SHARE = 0.3
 #: Of all short words with a full stop, the share that must be one word for the corpus to know it as an abbreviation.
@@ -382,11 +382,19 @@ def corpus_evidence(df: DataFrame, text: str = "text") -> tuple[frozenset[str],
         def count(batch: pa.RecordBatch):
             c: Counter = Counter()
             for t in batch.column(0).to_pylist():
-                for w, quote, nxt in SHORT_STOP.findall(t):
-                    c["a", w.lower(), bool(not quote and (nxt[0].islower() and not nxt[1:2].isupper() or nxt[0].isdigit()))] += 1
-                for w in set(LONG_STOP.findall(t)):
-                    if w[0].isupper():
-                        c["s", w, True] += 1
+                begins = set()
+                for m in STOP.finditer(t):
+                    at = m.start()
+                    follows = NEXT_WORD.match(t, m.end())
+                    if not follows:
+                        continue
+                    quote, nxt = follows.groups()
+                    if m[0][0] == "." and "\n" not in m[0] and (short := SHORT_WORD.search(t[max(0, at - 7) : at])):
+                        c["a", short[0].lower(), not quote and (nxt[0].islower() and not nxt[1:2].isupper() or nxt[0].isdigit())] += 1
+                    if not quote and nxt[0].isupper() and t[max(0, at - 3) : at].isalpha() and at > 2:
+                        begins.add(nxt)
+                for w in begins:
+                    c["s", w, True] += 1
             return [k[0] for k in c], [k[1] for k in c], [k[2] for k in c], list(c.values())
 
         return count
