@@ -31,19 +31,23 @@ def visual_answers(docs: DataFrame, key: str = "doc_id", text: str = "content",
 
     Null texts yield none. An analysis is split at ``|``, then at its first ``->``.
     """
-    def kind(no: int, subtype: str, score: float, items: Column) -> DataFrame:
-        x = docs.select(key, F.posexplode(items).alias("n", "b"))
-        return x.select(key, F.lit(no).alias("kind_no"), "n", F.col("b").alias("text"), F.lit("visual").alias("type"), F.lit(subtype).alias("subtype"), F.lit(score).alias("score"), F.lit(None).cast("string").alias("question"))
+    def found(no: int, subtype: str, score: float, items: Column) -> Column:
+        return F.transform(items, lambda b, n: row(no, n, b, subtype, score, F.lit(None).cast("string")))
+
+    def row(no: int, n: Column, body: Column, subtype: str, score: float, question: Column) -> Column:
+        return F.struct(F.lit(no).alias("kind_no"), n.alias("n"), body.alias("text"), F.lit("visual").alias("type"), F.lit(subtype).alias("subtype"), F.lit(score).alias("score"), question.alias("question"))
 
     t = F.col(text)
-    out = kind(1, "ocr_text", 0.8, F.filter(bodies(t, OCR), lambda b: F.length(b) >= min_length))
-    out = out.union(kind(2, "caption", 0.9, bodies(t, CAPTION)))
-    out = out.union(kind(3, "objects", 0.85, F.filter(F.transform(bodies(t, OBJECTS), lambda b: confident_objects(b)), lambda b: b != "")))
-    out = out.union(kind(4, "scene", 0.9, bodies(t, SCENE)))
+    at = lambda p: F.instr(p, "->")
     pairs = F.filter(F.flatten(F.transform(bodies(t, ANALYSIS), lambda b: F.split(b, r"\|"))), lambda p: p.contains("->"))
-    x = docs.select(key, F.posexplode(pairs).alias("n", "p"))
-    at = F.expr("position('->' in p)")
-    return out.union(x.select(key, F.lit(5).alias("kind_no"), "n", strip(F.expr("substring(p, position('->' in p) + 2)")).alias("text"), F.lit("visual").alias("type"), F.lit("analysis").alias("subtype"), F.lit(0.85).alias("score"), strip(F.substring(F.col("p"), F.lit(1), at - 1)).alias("question")))
+    kinds = (
+        found(1, "ocr_text", 0.8, F.filter(bodies(t, OCR), lambda b: F.length(b) >= min_length)),
+        found(2, "caption", 0.9, bodies(t, CAPTION)),
+        found(3, "objects", 0.85, F.filter(F.transform(bodies(t, OBJECTS), lambda b: confident_objects(b)), lambda b: b != "")),
+        found(4, "scene", 0.9, bodies(t, SCENE)),
+        F.transform(pairs, lambda p, n: row(5, n, strip(F.substring(p, at(p) + 2, F.length(p))), "analysis", 0.85, strip(F.substring(p, F.lit(1), at(p) - 1)))),
+    )
+    return docs.where(t.contains("[")).select(key, F.explode(F.concat(*kinds)).alias("a")).select(key, "a.*")
 
 
 def sections(docs: DataFrame, key: str = "doc_id", text: str = "content") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.functions import arrow
 from siltstone.functions.markers import visual_answers
 from siltstone.functions.text import strip, word_count
+from siltstone.io import cut
 from siltstone.operators.similarity import near_dup_flags
 
 SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[^\W\d_a-z])")
@@ -116,7 +117,7 @@ def answer_rank(score: Column, kind: Column, text: Column) -> Column:
 
 def filtered(answers: DataFrame, key: str = "doc_id", min_words: int = 3, max_words: int = 100, min_score: float = 0.6, similarity: float = 0.85) -> DataFrame:
     """Candidates within the bounds that are near copies of no earlier kept one of the document."""
-    fit = answers.where(word_count(F.col("text")).between(min_words, max_words) & (F.col("score") >= min_score))
+    fit = cut(answers.where(word_count(F.col("text")).between(min_words, max_words) & (F.col("score") >= min_score)), "fit")
     return fit.join(near_dup_flags(fit, key, "seq", "text", similarity).where("kept").drop("kept"), [key, "seq"])
 
 

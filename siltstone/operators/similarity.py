@@ -53,7 +53,7 @@ def near_dup_flags(df: DataFrame, group: str, order: str, value: str, threshold:
 
         return f
 
-    small, large, sizes = by_size(df, group)
+    small, large, sizes = by_size(df.select(group, order, value), group)
     out = arrow.map_rows(_grouped(small, group, order, value), make, f"{group} {kinds[group]}, `{order}` {kinds[order]}, kept boolean")
     if large is None:
         return out
@@ -81,7 +81,7 @@ def merge_heads(df: DataFrame, group: str, order: str, value: str, threshold: fl
 
         return f
 
-    small, large, sizes = by_size(df, group)
+    small, large, sizes = by_size(df.select(group, order, value), group)
     out = arrow.map_rows(_grouped(small, group, order, value), make, f"{group} {kinds[group]}, `{order}` {kinds[order]}, head {kinds[order]}")
     if large is None:
         return out
@@ -94,7 +94,11 @@ def merge_heads(df: DataFrame, group: str, order: str, value: str, threshold: fl
 
 
 def by_size(df: DataFrame, group: str) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Rows of groups of at most ``BLOCK`` items, those of larger groups, and these groups with their number of ``blocks``."""
+    """Rows of groups of at most ``BLOCK`` items, those of larger groups, and these groups with their number of ``blocks``.
+
+    The rows are read twice, so they are written first, whatever makes them.
+    """
+    df = cut(df, "items")
     sizes = cut(df.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select(group, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "sizes")
     if sizes.isEmpty():
         return df, None, None
