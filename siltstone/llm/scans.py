@@ -359,8 +359,8 @@ def in_map(bits: bytes, word: str) -> bool:
 def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: list[str]) -> DataFrame:
     """One pass over the texts: places of words that may be misread, and how often words meet contexts.
 
-    Places: ``token, page_id, line_no, word_no, near`` (numbers of the context words around it). Pairs: ``token, context, n`` for
-    words of the map ``learnt`` and the contexts themselves, summed by task.
+    Places: ``token, page_id, line_no, word_no, near`` (numbers of the context words around it). Pairs: ``token, row, context, n``
+    (``row``: the word's own number as a context, or -1) for words of the map ``learnt`` and the contexts themselves, summed by task.
     """
     kinds = dict(pages.dtypes)
     size = max(1, len(contexts))
@@ -377,7 +377,8 @@ def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: l
             key, n = held
             held[:] = np.zeros(0, np.int64), np.zeros(0, np.int64)
             none = [None] * len(key)
-            rows = [names[x] for x in (key // size).tolist()], none, none, none, none, (key % size).tolist(), n.tolist()
+            words = (key // size).tolist()
+            rows = [names[x] for x in words], none, none, none, none, (key % size).tolist(), n.tolist(), [x if x < size else -1 for x in words]
             names[size:] = []
             ids.clear()
             ids.update(number)
@@ -387,7 +388,7 @@ def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: l
         def f(batch):
             if len(seen) > HELD:
                 seen.clear()
-            out = [[] for _ in range(7)]
+            out = [[] for _ in range(8)]
             sequence: list[int] = []
 
             def look(w: str) -> tuple[int, str]:
@@ -410,7 +411,7 @@ def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: l
                 end = len(sequence)
                 for t, i, k, at in found:
                     near = [c for j in (at - 2, at - 1, at + 1, at + 2) if end > j >= 0 and 0 <= (c := sequence[j]) < size]
-                    for column, value in zip(out, (t, p, i, k, near, None, None)):
+                    for column, value in zip(out, (t, p, i, k, near, None, None, None)):
                         column.append(value)
                 sequence += [-1] * WINDOW
             s = np.array(sequence, np.int64)
@@ -431,7 +432,7 @@ def places_and_pairs(pages: DataFrame, judged: bytes, learnt: bytes, contexts: l
 
         return f, pairs
 
-    return cut(map_rows(pages.select("page_id", "text", "skip"), make, f"token string, page_id {kinds['page_id']}, line_no int, word_no int, near array<int>, context int, n bigint"), "places")
+    return cut(map_rows(pages.select("page_id", "text", "skip"), make, f"token string, page_id {kinds['page_id']}, line_no int, word_no int, near array<int>, context int, n bigint, row int"), "places")
 
 
 def information(n: np.ndarray, row: np.ndarray, column: np.ndarray, total: float) -> np.ndarray:
@@ -445,11 +446,10 @@ class Vectors:
 
     def __init__(self, pairs: DataFrame, contexts: list[str]):
         size = len(contexts)
-        pairs = cut(pairs.groupBy("token", "context").agg(F.sum("n").alias("n")), "pairs")
-        number = {w: k for k, w in enumerate(contexts)}
+        pairs = cut(pairs.groupBy("token", "row", "context").agg(F.sum("n").alias("n")), "pairs")
         n = np.zeros((size, size))
-        for r in pairs.where(F.col("token").isin(contexts)).toArrow().to_pylist() if contexts else ():
-            n[number[r["token"]], r["context"]] = r["n"]
+        known = pairs.where("row >= 0").select("row", "context", "n").toArrow()
+        n[known.column("row").to_numpy(), known.column("context").to_numpy()] = known.column("n").to_numpy()
         self.total, self.column = n.sum(), n.sum(0)
         values, vectors = np.linalg.eigh(information((n + n.T) / 2, n.sum(1)[:, None], self.column[None, :], self.total)) if size else (np.zeros(0), np.zeros((0, 0)))
         best = np.argsort(-values)[:DIMENSIONS]
@@ -496,7 +496,7 @@ class Noise:
         rows = places_and_pairs(self.pages, bitmap(self.best.select("token")), bitmap(wanted), contexts)
         places = rows.where("page_id is not null").select("token", "page_id", "line_no", "word_no", "near").join(self.best, "token")
         settled = places.where("fits = 1 and sure").select("page_id", "line_no", "word_no", "correction")
-        vectors = Vectors(rows.where("page_id is null").select("token", "context", "n"), contexts)
+        vectors = Vectors(rows.where("page_id is null").select("token", "row", "context", "n"), contexts)
         v = cut(vectors.words.join(wanted.distinct(), "token", "left_semi"), "vectors")
         each = self.candidates.where("variant is not null").join(open_, "token", "left_semi").join(v.select(F.col("token").alias("variant"), "v"), "variant", "left")
         each = each.groupBy("token").agg(F.collect_list(F.struct("variant", "m", "sure", "v")).alias("each")).join(v.select("token", F.col("v").alias("own")), "token", "left")
