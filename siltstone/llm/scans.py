@@ -73,7 +73,7 @@ def header_key(line: str) -> str:
 def edges(text: str) -> tuple[list[int], list[tuple[str, int, str, bool]]]:
     """Lines that hold only a page number, and the two top and bottom lines: (place, line, key, heading-like).
 
-    Lines that begin small or end like a sentence are text, even if they come again.
+    Lines that begin small or end like a sentence are text, even if they come again; so are second lines that are full.
     """
     lines = text.split("\n")
     at = [i for i, x in enumerate(lines) if x.strip()]
@@ -87,6 +87,8 @@ def edges(text: str) -> tuple[list[int], list[tuple[str, int, str, bool]]]:
         s = lines[rest[k]].strip()
         if s[-1] in ".,;!?" or s[0].islower():
             continue
+        if place[-1] == "2" and len(s) + 1 + len(lines[rest[k + 1]].split()[0]) > width:
+            continue  # a full line of text: the next word had no room on it
         like = False
         if s[0].isupper() and place == "top":
             like = len(s) + 1 + len(lines[rest[1]].split()[0] if len(rest) > 1 else "") <= width
@@ -132,13 +134,17 @@ def headers_of(lines: DataFrame) -> DataFrame:
     """
     counted = lines.groupBy("key", "doc_id", "place").agg(F.count("*").alias("n"), F.max("like").alias("like"))
     everywhere = counted.where("place in ('top', 'bottom')").groupBy("key").agg(F.count_distinct("doc_id").alias("docs"), F.max("like").alias("like")).where("docs >= 3 and like").select("key", F.lit(True).alias("common"))
-    near = lines.select("doc_id", "place", F.col("key").alias("other"), F.explode(F.array(*[F.col("page_no") + k for k in AROUND])).alias("page_no"))
-    close = F.levenshtein("key", "other") <= F.when(F.length("key") < 12, 1).when(F.length("key") < 28, 2).otherwise(3)
-    around = lines.join(near, ["doc_id", "place", "page_no"]).where(close).select("page_id", "line_no", F.lit(True).alias("near")).distinct()
-    same = counted.where("n >= 2").select("key", "doc_id", "place", F.lit(True).alias("again"))
-    found = lines.join(same, ["key", "doc_id", "place"], "left").join(everywhere, "key", "left").join(around, ["page_id", "line_no"], "left")
     false = F.lit(False)
-    found = found.withColumn("own", F.coalesce("again", false) | F.coalesce("near", false))
+    same = counted.where("n >= 2").select("key", "doc_id", "place", F.lit(True).alias("again"))
+    lines = cut(lines.join(same, ["key", "doc_id", "place"], "left").withColumn("again", F.coalesce("again", false)), "edges")
+    # Lines without an equal are compared with those of the same place on the pages around.
+    alone = lines.where("not again").select("doc_id", "place", "page_id", "line_no", "key", F.explode(F.array(*[F.col("page_no") + k for k in AROUND])).alias("page_no"))
+    close = F.levenshtein("key", "other", 3) <= F.when(F.length("key") < 12, 1).when(F.length("key") < 28, 2).otherwise(3)
+    close = close & (F.levenshtein("key", "other", 3) >= 0)
+    near = alone.join(lines.select("doc_id", "place", "page_no", F.col("key").alias("other")), ["doc_id", "place", "page_no"]).where(close)
+    around = near.select("page_id", "line_no", F.lit(True).alias("near")).distinct()
+    found = lines.join(everywhere, "key", "left").join(around, ["page_id", "line_no"], "left")
+    found = found.withColumn("own", F.col("again") | F.coalesce("near", false))
     # Some line of the place repeats in the document, so a heading-like line there is furniture, too.
     has = found.where("own").select("doc_id", "place").distinct().withColumn("has", F.lit(True))
     found = cut(found.select("page_id", "doc_id", "place", "line_no", "like", "own", F.coalesce("common", false).alias("common")), "furniture").join(has, ["doc_id", "place"], "left")
