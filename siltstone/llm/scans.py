@@ -105,7 +105,7 @@ AROUND = (-3, -2, -1, 1, 2, 3)
 
 def prepared(scanned: DataFrame) -> DataFrame:
     """``page_id, doc_id, page_no, text, skip, headers, numbers``, a row a page, as a table."""
-    pages = scanned.where(F.col("text").isNotNull()).groupBy("page_id").agg(F.max_by(F.struct("doc_id", "page_no", "text"), F.struct("scanned_at", "text")).alias("p")).select("page_id", "p.*")
+    pages = scanned.where(F.col("text").isNotNull()).groupBy("page_id").agg(F.max_by(F.struct("doc_id", "page_no", "text"), F.struct("scanned_at", F.xxhash64("text"))).alias("p")).select("page_id", "p.*")
 
     def make():
         def f(batch):
