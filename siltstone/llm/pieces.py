@@ -41,7 +41,7 @@ BOUNDARIES = (
     re.compile(r"[,;:，；：、،](?:\s+|(?<=[，；：、]))"),
     re.compile(r"\s+|(?<=[぀-ヿ一-鿿])(?=[぀-ヿ一-鿿])"),
 )
-RUN_HEAD, RUN_TAIL, SOLID = re.compile(r"[^\W_]*"), re.compile(r"[^\W_]*\Z"), re.compile(r"[^\W_]")
+RUN_HEAD, SOLID = re.compile(r"[^\W_]*"), re.compile(r"[^\W_]")
 
 
 def boundaries(text: str) -> list[list[int]]:
@@ -87,6 +87,14 @@ def seams(body: str) -> tuple[int, int]:
     return first.start(), end
 
 
+def tail_run(body: str) -> int:
+    """The length of the run of letters and digits at the end of ``body``."""
+    n = len(body)
+    while n and body[n - 1].isalnum():
+        n -= 1
+    return len(body) - n
+
+
 class Planner:
     """Plans one text from its ranges, given in order."""
 
@@ -210,7 +218,7 @@ def stitched(parts: DataFrame, key: str) -> DataFrame:
                 a, b = seams(body)
                 ends = [[off + a + e for e in found] for found in boundaries(body[a:b])] if b else [[] for _ in BOUNDARIES]
                 lead, tail = body[: a + 1], body[b - 1 :] if b else ""
-                head, end_run = RUN_HEAD.match(body).end(), len(body) - RUN_TAIL.search(body).start()
+                head, end_run = RUN_HEAD.match(body).end(), tail_run(body)
                 for column, value in zip(out, (k, limit, overlap, length, off, size, lead, tail, ends, longest_run(body, limit), head, end_run)):
                     column.append(value)
             return out
@@ -308,13 +316,15 @@ def file_pieces(spark: SparkSession, path: str, limit: int, overlap: int, range_
     inner = Window.partitionBy("path", "block").orderBy("no")
     placed = ranges.join(blocks, ["path", "block"]).withColumn("off", F.col("before") + F.sum("chars").over(inner) - F.col("chars"))
     placed = cut(placed.select("path", F.lit(limit).alias("limit"), F.lit(overlap).alias("overlap"), "length", "off", F.col("chars").cast("int").alias("size"), "body"), "placed")
-    spans = stitched(placed, "path")
+    spans = stitched(placed.repartition("path", "off"), "path")
     # A piece may reach into the ranges behind: each range gives its part, parts are joined in order.
     cell = lambda c: F.floor(F.col(c) / range_chars)
     cells = F.explode(F.sequence(cell("off"), F.floor((F.col("off") + F.col("size") - 1) / range_chars)))
     of_span = spans.select("path", "piece_no", "start_pos", "end_pos", F.explode(F.sequence(cell("start_pos"), F.floor((F.greatest("end_pos", F.col("start_pos") + 1) - 1) / range_chars))).alias("cell"))
     of_range = placed.select("path", "off", "size", "body", cells.alias("cell"))
-    met = of_span.join(of_range, ["path", "cell"]).where("start_pos < off + size and end_pos > off").dropDuplicates(["path", "piece_no", "off"])
+    met = of_span.join(of_range, ["path", "cell"]).where("start_pos < off + size and end_pos > off")
     part = F.expr("substring(body, cast(greatest(start_pos - off, 0) as int) + 1, cast(least(end_pos, off + size) - greatest(start_pos, off) as int))")
-    joined = met.select("path", "piece_no", "start_pos", "end_pos", F.struct("off", part.alias("t")).alias("x")).groupBy("path", "piece_no", "start_pos", "end_pos").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    # The parts are taken out before anything is shuffled, so no range travels with its pieces.
+    met = met.select("path", "piece_no", "start_pos", "end_pos", "off", part.alias("t")).dropDuplicates(["path", "piece_no", "off"])
+    joined = met.select("path", "piece_no", "start_pos", "end_pos", F.struct("off", "t").alias("x")).groupBy("path", "piece_no", "start_pos", "end_pos").agg(F.array_sort(F.collect_list("x")).alias("x"))
     return joined.select("path", "piece_no", "start_pos", "end_pos", F.array_join(F.transform("x", lambda x: x["t"]), "").alias("piece"))

@@ -70,7 +70,7 @@ def p5_files(spark: SparkSession, d: str) -> DataFrame:
     """The contents of ``docs``, written to text files by format, as giant files."""
     docs = _limited_docs(spark, d).where("content is not null").select(F.coalesce(F.lower(F.trim("format")), F.lit("none")).alias("format"), "doc_id", "content").distinct()
     path = f"{shared_dir(spark)}/siltstone/files-{uuid.uuid4().hex}"
-    docs.repartitionByRange(4, "format", "doc_id").sortWithinPartitions("format", "doc_id").select("content").write.text(path)
+    docs.repartition(8, "format").sortWithinPartitions("format", "doc_id").select("content").write.text(path)
     found = pieces.file_pieces(spark, path, 4000, 200)
     return found.select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("file_no"), "piece_no", "start_pos", "end_pos", "piece")
 

@@ -256,7 +256,7 @@ def test_planner_equals_whole():
             body = text[off : off + size]
             a, b = pieces.seams(body)
             ends = [[off + a + e for e in found] for found in pieces.boundaries(body[a:b])] if b else [[] for _ in pieces.BOUNDARIES]
-            got += planner.add(off, len(body), body[: a + 1], body[b - 1 :] if b else "", ends, pieces.longest_run(body, limit), pieces.RUN_HEAD.match(body).end(), len(body) - pieces.RUN_TAIL.search(body).start())
+            got += planner.add(off, len(body), body[: a + 1], body[b - 1 :] if b else "", ends, pieces.longest_run(body, limit), pieces.RUN_HEAD.match(body).end(), pieces.tail_run(body))
         assert [g[1:] for g in got] == pieces.cut_plan(len(text), pieces.boundaries(text), limit, overlap), (text, limit, overlap, size)
         assert [g[0] for g in got] == list(range(len(got))) and planner.forced == pieces.longest_run(text, limit)
 
